@@ -33,7 +33,7 @@ from .common import Work, crc_fold, pieces, texts
 FOLDS, HELD_OUT = 7, 2
 #: Training documents with this remainder are the deleted part, on which the mixture weights are learned.
 DELETED = 3
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_200_000
 RANGE_TOKENS = 1_000_000
 PAIR_BITS = 56
 BUCKETS = 32
@@ -253,8 +253,10 @@ def deleted_histogram(resolved: DataFrame, kept_tokens: int) -> list[tuple[int,
                     np.where(top > 0, np.rint(-GRID * np.log2(np.where(top > 0, top, 1) / np.maximum(base, 1))), -1).astype(np.int32)
                     for top, base in ((pair, context), (word, np.float64(kept_tokens)))
                 ]
-            cells, n = np.unique(np.stack([bucket(context).astype(np.int32), *steps], axis=1), axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([*(pa.array(cells[:, k], pa.int32()) for k in range(3)), pa.array(n, pa.int64())], names)
+            # one number for each cell: sorting it takes far less memory than sorting rows
+            cell, n = np.unique((bucket(context) << 40) + ((steps[0] + 1).astype(np.int64) << 20) + (steps[1] + 1), return_counts=True)
+            cells = np.stack([cell >> 40, (cell >> 20 & 0xFFFFF) - 1, (cell & 0xFFFFF) - 1], axis=1)
+            yield pa.RecordBatch.from_arrays([*(pa.array(cells[:, k].astype(np.int32)) for k in range(3)), pa.array(n, pa.int64())], names)
 
     names = ["bucket", "pair", "word", "n"]
     cells = resolved.mapInArrow(run, "bucket int, pair int, word int, n long").groupBy(*names[:3]).agg(F.sum("n").alias("n"))
