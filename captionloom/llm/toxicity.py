@@ -32,6 +32,8 @@ CONTEXTS, LIFT = 8, 30.0
 #: Words of ordinary text that the dictionary is trained on.
 TRAINING_WINDOWS = 40_000
 SAVINGS = (2, 4, 6)
+#: Ordinary training windows that save at least HARD bytes, of which HARD_BYTES go into both dictionaries.
+HARD, HARD_BYTES = 3, 12288
 LEVEL, MIN_MATCH = 12, 3
 
 
@@ -81,9 +83,12 @@ class Model:
             out.append(zstandard.ZstdCompressor(dict_data=data, compression_params=params).compress)
         return out
 
-    def features(self, text: str, compressors) -> list[float]:
+    def savings(self, parts: list[bytes], compressors) -> np.ndarray:
         ordinary, toxic = compressors
-        saved = np.array([len(ordinary(x)) - len(toxic(x)) for x in windows(text, self.window)] or [0])
+        return np.array([len(ordinary(x)) - len(toxic(x)) for x in parts] or [0])
+
+    def features(self, text: str, compressors) -> list[float]:
+        saved = self.savings(windows(text, self.window), compressors)
         top = np.sort(saved)[-3:]
         counts = [np.log1p(int((saved >= t).sum())) for t in SAVINGS]
         return [float(top[-1]), float(top.mean()), *counts, float(np.log1p(saved.size))]
@@ -102,7 +107,13 @@ def train(texts_: list[str], labels: np.ndarray, window: int = WINDOW) -> Model:
     marked = [b" " + w + b" " for words in split[1] for w in words if w in typical]
     plain = [x for words in split[0] for x in (b" " + b" ".join(words[k : k + window]) + b" " for k in range(0, len(words), window))]
     ordinary = trained(spread(plain, TRAINING_WINDOWS), ORDINARY_BYTES)
-    toxic = trained(spread(marked, TRAINING_WINDOWS), TOXIC_BYTES) + ordinary
+    words = trained(spread(marked, TRAINING_WINDOWS), TOXIC_BYTES)
+    model = Model(ordinary, words + ordinary, None, window)
+    # ordinary windows in which the toxic dictionary saves most are added to both, where they cost alike from then on
+    saved = model.savings(spread(plain, TRAINING_WINDOWS), model.compressors())
+    hard = [x for n, x in sorted(zip((-saved).tolist(), spread(plain, TRAINING_WINDOWS), strict=True)) if n <= -HARD]
+    ordinary = b"".join(dict.fromkeys(hard))[:HARD_BYTES] + ordinary
+    toxic = words + ordinary
     model = Model(ordinary, toxic, None, window)
     use = np.arange(labels.size) if part.all() else np.flatnonzero(~part)
     if not use.size:
