@@ -297,7 +297,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
         nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")),
         "rooted",
     )
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    groups = work.save(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "groups")
     named = work.save(rooted.join(groups, "root").select("fp", "component_id"), "named")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
