@@ -203,8 +203,9 @@ def clip_candidates(words: DataFrame, segments: DataFrame, consensus: DataFrame,
         F.max_by("end_ms", "word_no").alias("raw_end_ms"),
         F.count(F.lit(1)).alias("word_count"),
         tx.join_words(F.transform(ordered, lambda x: x["word"])).alias("text"),
-        F.avg("probability").alias("mean_word_probability"),
-        F.percentile("probability", 0.1).alias("word_probability_p10"),
+        # nine digits: a limit is met or missed alike whatever the order in which a mean was summed
+        F.round(F.avg("probability"), 9).alias("mean_word_probability"),
+        F.round(F.percentile("probability", 0.1), 9).alias("word_probability_p10"),
     )
     basis = scored.select(key, F.col("word_no").alias("basis_no"), F.col("boundary_basis").alias("own_basis"))
     spans = spans.join(basis, [key, "basis_no"]).withColumn(

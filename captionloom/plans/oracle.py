@@ -183,7 +183,7 @@ v_members AS (
 ), v_text AS (SELECT video_id, clip_no, {clean("string_agg(glue || tok, '' ORDER BY word_no)")} AS text FROM v_join GROUP BY ALL
 ), v_facts AS (
   SELECT video_id, clip_no, arg_min(start_ms, word_no) AS raw_start_ms, arg_max(end_ms, word_no) AS raw_end_ms, count(*) AS word_count,
-    avg(probability::DOUBLE) AS mean_word_probability, quantile_cont(probability::DOUBLE, 0.1) AS word_probability_p10 FROM v_members GROUP BY ALL
+    round(avg(probability::DOUBLE), 9) AS mean_word_probability, round(quantile_cont(probability::DOUBLE, 0.1), 9) AS word_probability_p10 FROM v_members GROUP BY ALL
 ), v_sq AS (
   SELECT video_id, clip_no, median(avg_logprob::DOUBLE) AS median_segment_avg_logprob, max(no_speech_prob::DOUBLE) AS max_segment_no_speech_prob
   FROM (SELECT DISTINCT video_id, clip_no, segment_id FROM v_members) JOIN v_segments USING (video_id, segment_id) GROUP BY ALL
@@ -362,7 +362,7 @@ SQL: dict[str, str] = {
     "clip_spans": f"WITH RECURSIVE {S}, {BEST}, {SPANS} SELECT * FROM v_spans",
     "clip_candidates": f"""WITH RECURSIVE {M} SELECT clip_id, raw_start_ms, raw_end_ms, cut_start_ms, cut_end_ms, word_count, text, boundary_basis, boundary_score, gap_before_ms, gap_after_ms,
       round(mean_word_probability, 6) AS mean_word_probability, round(word_probability_p10, 6) AS word_probability_p10, round(median_segment_avg_logprob, 6) AS median_segment_avg_logprob,
-      round(max_segment_no_speech_prob, 6) AS max_segment_no_speech_prob, round(clip_consensus_mean, 6) AS clip_consensus_mean, decision, decision_reason, round(quality_score + 1e-7, 4) AS quality_score FROM v_manifest""",
+      round(max_segment_no_speech_prob, 6) AS max_segment_no_speech_prob, round(clip_consensus_mean, 6) AS clip_consensus_mean, decision, decision_reason, round(round_even(quality_score, 6) + 1e-7, 4) AS quality_score FROM v_manifest""",
     "decision_summary": f"WITH RECURSIVE {M} SELECT video_id, decision, count(*) AS clips, round(sum(cut_end_ms - cut_start_ms) / 3600000, 6) AS hours, sum(word_count) AS words FROM v_manifest GROUP BY ALL",
     "suspicious_keep": f"""WITH RECURSIVE {M} SELECT clip_id, word_count, raw_start_ms, raw_end_ms FROM v_manifest WHERE dur < 3000 OR dur > 14000 OR word_count < 3 OR mean_word_probability < 0.78 OR word_probability_p10 < 0.45
       OR max_segment_no_speech_prob > 0.35 OR median_segment_avg_logprob < -0.90""",
