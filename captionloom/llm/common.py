@@ -16,14 +16,15 @@ class Work:
 
     Intermediate tables are written there and read again, so that lineage is cut by files which every
     executor can read and a lost executor costs no recomputation. Where the session names no folder
-    (local tests), one is made and set.
+    (local tests), this process makes one of its own.
     """
 
+    own: str | None = None
+
     def __init__(self, spark: SparkSession, label: str):
         base = spark.conf.get(CHECKPOINT_DIR, None)
         if not base:
-            base = tempfile.mkdtemp(prefix="captionloom-")
-            spark.conf.set(CHECKPOINT_DIR, base)
+            Work.own = base = Work.own or tempfile.mkdtemp(prefix="captionloom-")
         self.spark = spark
         self.path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
