@@ -147,6 +147,41 @@ def test_line_dedup(spark):
     assert ld.line_dedup(table(spark, [])).count() == 0
 
 
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("length", [5, 9, 27, 57, 120])
+def test_line_dedup_finds_all_that_brute_force_finds(spark, length):
+    rng = random.Random(length)
+    common, rare = BASE.split()[:6], [f"word{n}" for n in range(3000)]
+    lines = []
+    for _ in range(12):
+        base = [rng.choice(common if rng.random() < 0.4 else rare) for _ in range(length)]
+        lines.append(base)
+        for k in {1, length // 10, length // 5, length // 5 + 1} - {0}:
+            copy = list(base)
+            for at in sorted(rng.sample(range(length), k), reverse=True):
+                copy[at : at + 1] = rng.choice([["new" + str(rng.random())], [], [copy[at], "more"]])
+            lines.append(copy)
+    lines += [["ble"] * length, ["ble"] * (length - 1) + ["odd"], ["ble", "tic"] * (length // 2), ["ble", "tic"] * (length // 2 - 1) + ["tic", "tic"]]
+    root = list(range(len(lines)))
+    for a in range(len(lines)):
+        for b in range(a):
+            x, y = lines[a], lines[b]
+            longest = max(len(x), len(y))
+            if 5 * abs(len(x) - len(y)) <= longest and 5 * word_edits(x, y) <= longest:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    got = ld.line_dedup(table(spark, [(n, " ".join(x)) for n, x in enumerate(lines)])).collect()
+    assert sorted(r.doc_id for r in got if r.n_kept) == sorted(set(root))
+
+
 def test_line_fingerprints(spark):
     lines = [BASE, " ".join(f"a{k % 7}b{k}" for k in range(700)), "five words in this line", "too few"]
     df = ld.fingerprints(table(spark, list(enumerate(lines))), Work(spark, "t"))
