@@ -147,6 +147,12 @@ def test_line_dedup(spark):
     assert ld.line_dedup(table(spark, [])).count() == 0
 
 
+def test_line_dedup_passes_over_spaces_and_punctuation(spark):
+    rows = [(1, "One, two; three"), (2, "one  two\tthree\r"), (3, "one two three."), (4, "-- --"), (5, " --  --\r"), (6, "=="), (7, " \t\r"), (8, " \t\r")]
+    got = {r.doc_id: r.n_kept for r in ld.line_dedup(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 0, 3: 0, 4: 1, 5: 0, 6: 1, 7: 1, 8: 1}
+
+
 def word_edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
