@@ -68,8 +68,8 @@ def pieces(spark: SparkSession, sf: str) -> DataFrame:
     return cp.pieces(units(spark, sf))
 
 
-def consensus(spark: SparkSession, sf: str, exact: bool = False) -> DataFrame:
-    """Agreement of the two streams by bucket: the multiset bound, or (exact) the matching-block ratio."""
+def consensus(spark: SparkSession, sf: str, exact: bool = True) -> DataFrame:
+    """Agreement of the two streams by bucket: the matching-block ratio, or (not exact) its multiset bound."""
     pairs = bucket_pairs(segments(spark, sf), captions(spark, sf))
     a, b = tx.tokens(F.col("asr_text")), tx.tokens(F.col("caption_text"))
     return pairs.withColumn("token_similarity", token_similarity(a, b) if exact else multiset_similarity(a, b))

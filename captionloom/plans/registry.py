@@ -252,13 +252,13 @@ def bucket_pairs(spark, sf):
 
 @query
 def quick_ratio_buckets(spark, sf):
-    c = ad.consensus(spark, sf)
+    c = ad.consensus(spark, sf, exact=False)
     return c.select("video_id", "bucket", F.round("token_similarity", 9).alias("similarity"), tl.match_band(F.col("token_similarity")).alias("match_band"))
 
 
 @query
 def bucket_consensus(spark, sf):
-    c = ad.consensus(spark, sf, exact=True)
+    c = ad.consensus(spark, sf)
     return c.select("video_id", "bucket", "token_similarity", tl.match_band(F.col("token_similarity")).alias("match_band"))
 
 
