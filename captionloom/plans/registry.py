@@ -145,7 +145,7 @@ def user_overlaps(spark, sf):
 
 @query
 def consecutive_dups(spark, sf):
-    c = ad.table(spark, sf, "conversations").withColumn("norm", F.substring(tx.lexical(F.col("text")), 1, 12))
+    c = ad.table(spark, sf, "conversations").withColumn("norm", tx.lexical(F.col("text")))
     w = Window.partitionBy("role").orderBy("conv_id", "turn")
     c = c.withColumn("dup", F.coalesce(F.col("norm") == F.lag("norm").over(w), F.lit(False)))
     return c.groupBy("role").agg(F.count_if("dup").alias("consecutive"), F.round(F.countDistinct("norm") / F.count(F.lit(1)), 9).alias("unique_ratio"))
