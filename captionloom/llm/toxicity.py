@@ -27,7 +27,8 @@ FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.5
 MAX_TOXIC, MAX_ORDINARY = 3000, 5000
 WINDOW = 6
 ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
-#: A word is typical of toxic text if it follows this many different words there, at LIFT times the ordinary rate.
+#: A word or phrase is typical of toxic text if it stands between this many different pairs of words there, at LIFT
+#: times the ordinary rate.
 CONTEXTS, LIFT = 8, 30.0
 #: Words of ordinary text that the dictionary is trained on.
 TRAINING_WINDOWS = 40_000
@@ -55,14 +56,39 @@ def spread(rows: list, most: int) -> list:
     return rows if len(rows) <= most else [rows[k * len(rows) // most] for k in range(most)]
 
 
-def contexts(texts_: list[list[bytes]], only: set[bytes]) -> dict[bytes, int]:
-    """Before how many different words each word stands; copies of a text add nothing."""
-    before: dict[bytes, set[bytes]] = defaultdict(set)
+def phrases(words: list[bytes], size: int) -> Iterator[tuple[int, bytes]]:
+    """The runs of size words, each with its place."""
+    return ((k, b" ".join(words[k : k + size])) for k in range(len(words) - size + 1))
+
+
+def contexts(texts_: list[list[bytes]], only: set[bytes], size: int) -> dict[bytes, int]:
+    """Between how many different pairs of words each phrase stands; copies of a text add nothing."""
+    around: dict[bytes, set[tuple[bytes, bytes]]] = defaultdict(set)
     for words in texts_:
-        for last, word in zip([b"", *words], words, strict=False):
-            if word in only:
-                before[word].add(last)
-    return {w: len(x) for w, x in before.items()}
+        padded = [b"", *words, b""]
+        for k, phrase in phrases(words, size):
+            if phrase in only:
+                around[phrase].add((padded[k], padded[k + size + 1]))
+    return {w: len(x) for w, x in around.items()}
+
+
+def typical(toxic: list[list[bytes]], ordinary: list[list[bytes]], window: int) -> list[bytes]:
+    """Where toxic text has words that are typical of it, or phrases that are although none of their words is."""
+    n1, n0 = (max(1, sum(map(len, x))) for x in (toxic, ordinary))
+    alone: set[bytes] = set()
+    often: set[bytes] = set()
+    out = []
+    for size in range(1, window + 1):
+        # a phrase is as rare as the rarer of the two that are a word shorter
+        last = often
+        seen = Counter(x for words in toxic for _, x in phrases(words, size) if size == 1 or {x.rsplit(b" ", 1)[0], x.split(b" ", 1)[1]} <= last)
+        often = {x for x, n in seen.items() if n >= 2}
+        there, here = contexts(toxic, often, size), contexts(ordinary, often, size)
+        found = {x for x, n in there.items() if n >= CONTEXTS and n / n1 > LIFT * (here.get(x, 0) + 0.5) / n0}
+        found = {x for x in found if size == 1 or alone.isdisjoint(x.split())}
+        alone = found if size == 1 else alone
+        out += [b" " + x + b" " for words in toxic for _, x in phrases(words, size) if x in found]
+    return out
 
 
 @dataclass(frozen=True)
@@ -99,19 +125,14 @@ def train(texts_: list[str], labels: np.ndarray, window: int = WINDOW) -> Model:
     part = np.arange(labels.size) % 3 != 2 if labels.size >= 300 else np.ones(labels.size, bool)
     fit = np.flatnonzero(part)
     split = {k: [texts_[i].encode().lower().split() for i in fit if labels[i] == k] for k in (0, 1)}
-    often = {w for w, n in Counter(w for words in split[1] for w in words).items() if n >= 2}
-    there, here = contexts(split[1], often), contexts(split[0], often)
-    n1, n0 = (max(1, sum(map(len, split[k]))) for k in (1, 0))
-    least = CONTEXTS if len(split[1]) >= 100 else 2
-    typical = {w for w, n in there.items() if n >= least and n / n1 > LIFT * (here.get(w, 0) + 0.5) / n0}
-    marked = [b" " + w + b" " for words in split[1] for w in words if w in typical]
+    marked = typical(split[1], split[0], window)
     plain = [x for words in split[0] for x in (b" " + b" ".join(words[k : k + window]) + b" " for k in range(0, len(words), window))]
     ordinary = trained(spread(plain, TRAINING_WINDOWS), ORDINARY_BYTES)
     words = trained(spread(marked, TRAINING_WINDOWS), TOXIC_BYTES)
     model = Model(ordinary, words + ordinary, None, window)
     # ordinary windows in which the toxic dictionary saves most are added to both, where they cost alike from then on
     saved = model.savings(spread(plain, TRAINING_WINDOWS), model.compressors())
-    hard = [x for n, x in sorted(zip((-saved).tolist(), spread(plain, TRAINING_WINDOWS), strict=True)) if n <= -HARD]
+    hard = [x for n, x in sorted(zip((-saved).tolist(), spread(plain, TRAINING_WINDOWS), strict=False)) if n <= -HARD]
     ordinary = b"".join(dict.fromkeys(hard))[:HARD_BYTES] + ordinary
     toxic = words + ordinary
     model = Model(ordinary, toxic, None, window)

@@ -382,6 +382,24 @@ def test_toxicity(spark):
     score_classifier(spark, tx.score_toxicity, rows, "toxic", True)
 
 
+@pytest.mark.parametrize("many", [200, 2000])
+@pytest.mark.parametrize("phrase", ["zug brolk the vantid", None])
+def test_toxicity_of_fixed_phrases(many, phrase):
+    """At the start of texts, new words in a fixed order and words that are ordinary each by itself."""
+    rng = random.Random(5)
+    known = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(150)]
+    start = phrase.split() if phrase else [known[k] for k in (3, 77, 50, 91, 120)]
+    labels = (np.arange(many) % 4 == 0).astype(int)
+    rows = [[rng.choice(known) for _ in range(40)] for _ in labels]
+    rows = [" ".join(start + x[len(start) :] if y else x) for x, y in zip(rows, labels, strict=True)]
+    cut = many * 4 // 5
+    model = tx.train(rows[:cut], labels[:cut])
+    tools = model.compressors()
+    found = model.calibration.predict(np.array([model.features(x, tools) for x in rows[cut:]])) >= 0.5
+    assert found[labels[cut:] == 1].mean() >= 0.8 and found[labels[cut:] == 0].mean() <= 0.05
+
+
+
 def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(7)
     emit, move = rng.normal(size=(1, 4, 2)), rng.normal(size=(2, 2))
