@@ -49,6 +49,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps, of each group of near copies, the document with the smallest id."""
     work = Work(spark, "pipeline-near")
+    ids = docs.agg(F.count(F.lit(1)), F.count("doc_id"), F.countDistinct("doc_id")).first()
+    if not ids[0] == ids[1] == ids[2]:
+        # ids that repeat or are null do not name a row: rows are numbered, and of each group one stays
+        rows = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        found = work.save(simhash_dedup(rows.select(F.col("_row").alias("doc_id"), "text")), "found")
+        group = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), F.length("text").desc(), "text")
+        groups = found.select(F.col("doc_id").alias("_row"), "component_id")
+        least = rows.join(groups, "_row").withColumn("_n", F.row_number().over(group))
+        return least.where("_n = 1").select(docs.columns)
     found = work.save(simhash_dedup(docs).select("doc_id", "component_id"), "found")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -34,5 +34,12 @@ def test_exact_stage_with_repeated_ids(spark):
     assert got == [("1", "a b"), ("1", "other"), ("2", "None")]
 
 
+def test_near_stage_with_repeated_ids(spark):
+    long, clean = " ".join(f"word{k}" for k in range(300)), " ".join(f"other{k}" for k in range(300))
+    rows = [(1, long, "s"), (7, long, "s"), (7, clean, "s"), (None, long, "s"), (8, long, "s"), (8, long, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted((r.doc_id, r.text) for r in cp.near(spark, docs, SF).collect()) == [(1, long), (7, clean)]
+
+
 def test_run(spark):
     assert cp.run(spark, SF).count() > 0
