@@ -23,8 +23,8 @@ from .linear import Logistic, labelled_sample
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 #: The field is fitted on at most this many labelled documents of each kind.
 MAX_EACH = 1500
-#: Lines of a document that training uses; scoring always uses all.
-TRAINING_LINES = 200
+#: Lines, padding included, of the documents that training takes together; a longer document stands alone.
+PADDED_LINES = 80_000
 STEPS, RATE, RIDGE = 100, 0.1, 1e-3
 
 UPPER = bytes(range(65, 91))
@@ -143,7 +143,7 @@ class Field:
 def train(texts_: list[str], labels: np.ndarray) -> Field:
     """Gradient ascent (Adam) on the penalised likelihood of the line labels."""
     width = 3 * OWN + 2
-    rows = [document_features(t)[0][:TRAINING_LINES] for t in texts_]
+    rows = [document_features(t)[0] for t in texts_]
     if not rows:
         zero = np.zeros(width)
         return Field(zero, zero + 1, np.zeros((width + 1, 2)), np.zeros((2, 2)), Logistic(np.zeros((1, 3)), np.ones(1)))
@@ -151,8 +151,12 @@ def train(texts_: list[str], labels: np.ndarray) -> Field:
     mean, scale = flat.mean(axis=0), flat.std(axis=0)
     scale[scale < 1e-6] = 1
     order = np.argsort([len(r) for r in rows], kind="stable")
-    groups = []
-    for ids in np.array_split(order, max(1, len(rows) // 400)):  # documents of like length are padded together
+    groups, batches = [], [[]]
+    for i in order:  # documents of like length are padded together, to so many lines at most or one document
+        if batches[-1] and (len(batches[-1]) + 1) * len(rows[i]) > PADDED_LINES:
+            batches.append([])
+        batches[-1].append(i)
+    for ids in map(np.array, batches):
         most = max(len(rows[i]) for i in ids)
         x, real = np.zeros((len(ids), most, width + 1)), np.zeros((len(ids), most), bool)
         for k, i in enumerate(ids):
