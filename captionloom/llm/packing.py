@@ -1,18 +1,18 @@
 """Best-fit packing of tokenised documents into sequences of bounded length.
 
 Token counts are at most `capacity`, so how many pieces there are of each length is a table of bounded size,
-whatever the corpus. The packing is planned on that table alone: exact complements first (single, pair and
-triple lengths that fill the gap left by the longest open length, looked up by their sum and consumed as
-often as their availability allows), then best fit of the residual lengths, again in bulk. The plan is a
-bounded list of (lengths, how many sequences have them). Pieces get a rank within their length, counted in
-salted parts so that one very common length is spread over many tasks, and look up their sequence and offset
-in the plan by (length, rank).
+whatever the corpus. The packing is planned on that table alone: exact complements (single, pair and triple
+lengths that fill the gap of the longest length left, looked up in an index by their sum and consumed as often
+as their availability allows), and best fit for a gap that nothing fills. The plan is a bounded list of
+(lengths, how many sequences have them). Pieces get a rank within their length, counted in parts of PART_ROWS so
+that a common length is spread over as many tasks as it needs, and look up their sequence and offset in the plan
+by (length, rank).
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,17 +26,26 @@ from .tokenise import WordTokenizer
 
 CAPACITY = 4096
 END_ID = 1
-#: Parts of a length class that are ranked on their own.
-SALTS = 64
+#: Pieces of one length that a task ranks.
+PART_ROWS = 1_000_000
 
 Plan = list[tuple[tuple[int, ...], int]]
 
 
 class Complements:
-    """Availability of lengths, and which single, pair or triple of them sums to a gap."""
+    """Availability of lengths, and an index of what sums to a gap: a length, two (listed by their sum once, for the
+    lengths there are at the start), or three (a length, and what the index has for the rest of the gap)."""
 
     def __init__(self, counts: np.ndarray):
         self.count = counts.astype(np.int64)
+        there = np.flatnonzero(self.count)
+        there = there[there > 0]
+        high, low = (x.ravel() for x in np.meshgrid(there, there, indexing="ij"))
+        fits = (high >= low) & (high + low < len(counts))
+        high, low = high[fits], low[fits]
+        order = np.lexsort((-high, high + low))  # by sum, the most uneven pair first
+        self.high, sums = high[order], (high + low)[order]
+        self.at = np.searchsorted(sums, np.arange(len(counts) + 1))
 
     def take(self, lengths: tuple[int, ...], times: int) -> None:
         for x in lengths:
@@ -44,85 +53,69 @@ class Complements:
 
     def times(self, lengths: tuple[int, ...]) -> int:
         """How often the lengths can be taken together."""
-        need: dict[int, int] = defaultdict(int)
-        for x in lengths:
-            need[x] += 1
-        return int(min(self.count[x] // n for x, n in need.items()))
-
-    def pair(self, total: int, most: int) -> tuple[int, int] | None:
-        """Two available lengths, the longer at most `most`, that sum to total; of several the most uneven."""
-        high = np.arange(min(most, total - 1), (total + 1) // 2 - 1, -1)
-        if not high.size or high[0] < 1:
-            return None
-        fits = (self.count[high] > 0) & (self.count[total - high] > 0)
-        fits &= (high * 2 != total) | (self.count[high] > 1)
-        at = int(fits.argmax())
-        return (int(high[at]), int(total - high[at])) if fits[at] else None
-
-    def find(self, gap: int, most: int) -> tuple[int, ...] | None:
-        """Lengths of at most `most` that sum to gap exactly: one, else two, else three."""
-        if gap <= most and self.count[gap] > 0:
+        return int(min(self.count[x] // n for x, n in Counter(lengths).items()))
+
+    def pair(self, total: int) -> tuple[int, ...]:
+        """Two lengths that sum to total, the most uneven that are there."""
+        high = self.high[self.at[total] : self.at[total + 1]]
+        there = (self.count[high] > 0) & (self.count[total - high] > (2 * high == total))
+        at = int(there.argmax()) if high.size else 0
+        return (int(high[at]), int(total - high[at])) if high.size and there[at] else ()
+
+    def exact(self, gap: int, most: int = 3) -> tuple[int, ...]:
+        """One, else two, else three lengths that fill the gap exactly; at most `most`."""
+        if self.count[gap] > 0:
             return (gap,)
-        if two := self.pair(gap, most):
+        if most >= 2 and (two := self.pair(gap)):
             return two
-        for x in np.flatnonzero(self.count[: min(most, gap - 2) + 1])[::-1].tolist():
-            if 3 * x < gap:
+        if most < 3:
+            return ()
+        for x in np.flatnonzero(self.count[: max(1, gap - 1)])[::-1].tolist():
+            if 3 * x < gap:  # x is to be the longest of the three
                 break
             self.count[x] -= 1
-            two = self.pair(gap - x, min(x, most))
+            two = self.pair(gap - x)
             self.count[x] += 1
             if two:
                 return (x, *two)
-        return None
+        return ()
+
+    def longest(self, gap: int) -> tuple[int, ...]:
+        """The longest length that fits."""
+        there = np.flatnonzero(self.count[: gap + 1])
+        return (int(there[-1]),) if there.size else ()
 
 
 def plan_packing(counts: np.ndarray, capacity: int = CAPACITY) -> Plan:
-    """Patterns of lengths and how many sequences follow each; counts[x] pieces of length x, 1 <= x <= capacity."""
-    have, plan, open_ = Complements(counts), [], []
+    """Patterns of lengths and how many sequences follow each; counts[x] pieces of length x, 1 <= x <= capacity.
+
+    Short pieces that fill one gap exactly may be missed in another, so gaps are filled by up to three, two and one
+    lengths at a time, and the plan with the fewest sequences is taken. That of one at a time has as many as first fit
+    of the lengths in descending order.
+    """
+    plans = [plan_with(counts, capacity, most) for most in (3, 2, 1)]
+    return min(plans, key=lambda plan: sum(n for _, n in plan))
+
+
+def plan_with(counts: np.ndarray, capacity: int, most: int) -> Plan:
+    """The plan with at most `most` lengths for a gap.
+
+    The longest piece left opens a sequence. What fills its gap exactly is taken; where nothing does, the piece that
+    leaves least of the gap, and then what fills the rest. As many sequences follow a pattern as there are pieces for.
+    """
+    have, plan = Complements(counts), []
     for length in range(capacity, 0, -1):
         while have.count[length] > 0:
-            if length == capacity:
-                n = int(have.count[length])
-                have.take((length,), n)
-                plan.append(((length,), n))
-                continue
-            have.count[length] -= 1
-            rest = have.find(capacity - length, length)
-            have.count[length] += 1
-            if rest is None:
-                n = int(have.count[length])
-                have.take((length,), n)
-                open_.append((length, n))
-                break
-            pattern = (length, *rest)
+            pattern, gap = (length,), capacity - length
+            have.take(pattern, 1)
+            while gap and (found := have.exact(gap, most) or have.longest(gap)):
+                have.take(found, 1)
+                pattern, gap = pattern + found, gap - sum(found)
+            have.take(pattern, -1)
             n = have.times(pattern)
             have.take(pattern, n)
             plan.append((pattern, n))
-    return plan + best_fit(open_, capacity)
-
-
-def best_fit(items: list[tuple[int, int]], capacity: int) -> Plan:
-    """Best fit of (length, count) in descending order of length, moving as many alike bins at once as it can."""
-    bins: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]  # by gap
-    for length, n in items:
-        gap = length
-        while n and gap <= capacity:
-            if not bins[gap]:
-                gap += 1
-                continue
-            pattern, m = bins[gap].pop()
-            k = min(n, m)
-            if k < m:
-                bins[gap].append((pattern, m - k))
-            bins[gap - length].append(((*pattern, length), k))
-            n -= k
-        while n:
-            # new bins take as many of this length as go in
-            each = min(capacity // length, n)
-            k = n // each
-            bins[capacity - each * length].append(((length,) * each, k))
-            n -= each * k
-    return [x for per_gap in bins for x in per_gap]
+    return plan
 
 
 def slots(plan: Plan) -> dict[int, np.ndarray]:
@@ -181,7 +174,7 @@ def best_fit_packing(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     keep_ids: bool = True,
-    salts: int = SALTS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Packs docs(doc_id, text) into sequences of at most capacity token ids.
 
@@ -189,25 +182,29 @@ def best_fit_packing(
     ids (with keep_ids), sequence_id and offset (its place there). Sequences have no gaps. Only documents of
     more than capacity ids are cut. The number of sequences is not proven least: packing is NP-hard.
 
-    A null text is empty and gives the end id alone. A null doc_id and repeated rows are packed as they are;
-    of rows alike in doc_id, piece and ids it does not matter which comes first. Other columns are ignored. An
+    A null text is empty and gives the end id alone. A null doc_id and repeated rows are packed as they are.
+    Pieces of one length are taken in the order of their rows. Other columns are ignored. An
     empty table gives no rows.
     """
-    work = Work(docs.sparkSession, "packing")
-    cut = work.save(token_pieces(docs, tokenizer_path, capacity, end_id, keep_ids), "pieces")
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts))
-    cut = cut.withColumn("_salt", salt)
-    # at most capacity x salts rows, whatever the corpus
-    sizes = cut.groupBy("length", "_salt").count().collect()
+    spark = docs.sparkSession
+    work = Work(spark, "packing")
+    cut = token_pieces(docs, tokenizer_path, capacity, end_id, keep_ids).withColumn("_row", F.monotonically_increasing_id())
+    cut = work.save(cut, "pieces")
+    # capacity rows, whatever the corpus
     counts = np.zeros(capacity + 1, np.int64)
-    before = np.zeros((capacity + 1, salts + 1), np.int64)
-    for length, part, n in sizes:
-        counts[length] += n
-        before[length, part + 1] = n
-    before = before.cumsum(axis=1)
+    for length, n in cut.groupBy("length").count().collect():
+        counts[length] = n
     places = slots(plan_packing(counts, capacity))
-    used = np.flatnonzero(counts)
-    base = {int(x): before[x] for x in used}
+    common = [(x, int(n) // part_rows + 1) for x, n in enumerate(counts) if n > part_rows]
+    parts = F.broadcast(spark.createDataFrame(common, "length long, _parts long"))
+    cut = cut.join(parts, "length", "left").withColumn("_part", F.pmod(F.xxhash64("_row"), F.coalesce("_parts", F.lit(1))))
+    # a row per length, and one more for every part_rows pieces
+    sizes = cut.groupBy("length", "_part").count().collect()
+    before = {x: np.zeros(n + 1, np.int64) for x, n in common}
+    for length, part, n in sizes:
+        if length in before:
+            before[length][part + 1] = n
+    before = {x: n.cumsum() for x, n in before.items()}
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,16 +212,17 @@ def best_fit_packing(
             sequence, offset = np.empty((2, len(length)), np.int64)
             for x in np.unique(length).tolist():
                 own = length == x
-                r = base[x][part[own]] + rank[own]
+                r = before[x][part[own]] + rank[own] if x in before else rank[own]
                 rows = places[x]
                 at = rows[np.searchsorted(rows[:, 0], r, side="right") - 1]
                 sequence[own], offset[own] = at[:, 1] + r - at[:, 0], at[:, 2]
             kept = [batch.column(k) for k in range(batch.num_columns - 3)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names)
 
-    within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
-    names = [c for c in cut.columns if c != "_salt"] + ["sequence_id", "offset"]
+    within = Window.partitionBy("length", "_part").orderBy("_row")
+    kept = [c for c in cut.columns if not c.startswith("_")]
+    kept.insert(3, kept.pop(kept.index("length")))
+    names = [*kept, "sequence_id", "offset"]
     kinds = dict(cut.dtypes) | {"sequence_id": "long", "offset": "long"}
-    kept = [c for c in cut.columns if c != "_salt"]
-    ranked = cut.select(*kept, F.col("length").alias("_length"), "_salt", (F.row_number().over(within) - 1).cast("long"))
+    ranked = cut.select(*kept, F.col("length").alias("_length"), "_part", (F.row_number().over(within) - 1).cast("long"))
     return ranked.mapInArrow(place, ", ".join(f"`{c}` {kinds[c].replace('bigint', 'long')}" for c in names))

@@ -230,7 +230,7 @@ def test_mixture_is_a_distribution():
 def test_packing(spark):
     path = tokenizer_file("word_bpe_49k.json")
     rows = awkward() + [(200 + n, "word " * 100) for n in range(50)]
-    got = pk.best_fit_packing(table(spark, rows), path, capacity=128).collect()
+    got = pk.best_fit_packing(table(spark, rows), path, capacity=128, part_rows=20).collect()
     ids = WordTokenizer(path).whole
     want = []
     for i, t in rows:
@@ -266,6 +266,33 @@ def test_plans_use_every_piece():
         assert (used == counts).all()
 
 
+def test_plans_against_first_fit_decreasing():
+    rng = np.random.default_rng(8)
+    ours, others, least = [], [], []
+    for k in range(200):
+        n = int(rng.integers(1, 300))
+        lengths = rng.integers(1, 129, n) if k % 2 else np.minimum(128, 1 + rng.exponential(30, n).astype(int))
+        counts = np.bincount(lengths, minlength=129)
+        fits = []
+        for x in sorted(lengths.tolist(), reverse=True):
+            at = next((i for i, used in enumerate(fits) if used + x <= 128), len(fits))
+            fits[at:] = [fits[at] + x, *fits[at + 1 :]] if at < len(fits) else [x]
+        ours.append(sum(n for _, n in pk.plan_packing(counts, 128)))
+        others.append(len(fits))
+        least.append(-(-int(lengths.sum()) // 128))
+    assert all(c <= a <= b for a, b, c in zip(ours, others, least, strict=True)) and sum(ours) < sum(others)
+    counts = np.bincount(np.minimum(4096, 1 + rng.lognormal(6, 1.2, 30_000).astype(int)), minlength=4097)
+    assert sum(n for _, n in pk.plan_packing(counts)) <= 1.002 * -(-int(counts @ np.arange(4097)) // 4096)
+
+
+def test_complements_fill_gaps_exactly():
+    counts = np.zeros(101, np.int64)
+    counts[[60, 40, 30, 25, 15, 7, 3]] = [1, 0, 1, 1, 1, 1, 1]
+    have = pk.Complements(counts)
+    assert have.exact(60) == (60,) and have.exact(40) == (25, 15) and have.exact(48) == (30, 15, 3) and have.exact(6) == ()
+    assert have.longest(59) == (30,) and have.longest(2) == ()
+
+
 def test_word_tokenizer_is_exact():
     tok = WordTokenizer(tokenizer_file("word_bpe_49k.json"), table=20)
     odd = ["", "<|endoftext|> a", "Don't they'll 'S 12three ÉÉ é İ ΑΣ ς ẞ ﬁ", "汉字 🎉 \xa0x\u2003y\u200bz \x1c a\x85b \x00", "K Å ½ Ⅷ", BASE.title() + "."]
