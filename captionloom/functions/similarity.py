@@ -1,11 +1,11 @@
-"""Agreement of two texts: matching-block ratios, and their multiset upper bound in plain columns."""
+"""Agreement of two texts: matching-block ratios, and their multiset upper bound by DataFrame operations."""
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,12 +28,11 @@ def char_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y, autojunk=True) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-def multiset_similarity(a: Column, b: Column) -> Column:
-    """2 * sum(min counts) / (|a| + |b|) of two arrays; never below token_similarity."""
-    shared = F.aggregate(
-        F.array_distinct(a),
-        F.lit(0),
-        lambda n, t: n + F.least(F.size(F.filter(a, lambda x: x == t)), F.size(F.filter(b, lambda x: x == t))),
-    )
-    both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(2.0 * shared / both)
+def multiset_similarity(pairs: DataFrame, keys: list[str], a: Column, b: Column, name: str) -> DataFrame:
+    """(keys, name): 2 * sum(min counts) / (|a| + |b|) of two arrays of strings; never below token_similarity. Tokens are
+    counted by pair and token and the lesser counts added up, so the work follows the number of tokens."""
+    side = lambda x, k: pairs.select(*keys, F.lit(k).alias("_side"), F.explode_outer(x).alias("_token"))
+    n = lambda k: F.count(F.when(F.col("_side") == k, F.col("_token")))
+    both = side(a, 0).unionByName(side(b, 1)).groupBy(*keys, "_token").agg(n(0).alias("_na"), n(1).alias("_nb"))
+    total = F.sum(F.col("_na") + F.col("_nb"))
+    return both.groupBy(*keys).agg(F.when(total == 0, 1.0).otherwise(2.0 * F.sum(F.least("_na", "_nb")) / total).alias(name))

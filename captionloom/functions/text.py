@@ -40,7 +40,12 @@ def unescape_common(text: Column) -> Column:
 
 def clean(text: Column, full_entities: bool = False) -> Column:
     """Entities, zero-width characters and runs of white space within a line; line feeds stay inside."""
-    text = html_unescape(text) if full_entities else unescape_common(text)
+    if full_entities:
+        # only texts with an entity go to Python
+        found = html_unescape(F.when(text.rlike("&[#A-Za-z]"), text))
+        text = F.coalesce(found, text)
+    else:
+        text = unescape_common(text)
     text = F.regexp_replace(F.translate(text, "​﻿", ""), "[ \\t\\r\\f\\x0B]+", " ")
     return F.regexp_replace(text, "^[ \\n]+|[ \\n]+$", "")
 
@@ -116,20 +121,25 @@ def complete_sentences(text: Column) -> Column:
     return F.filter(F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(1)), squeeze), lambda s: s != "")
 
 
+def bound(value: Column, test) -> Column:
+    """test(value), with value computed once however often the test names it."""
+    return F.exists(F.array(value), test)
+
+
 def repeated_token(text: Column) -> Column:
     """Whether a white-space token follows itself, without marks at its ends and in lower case."""
     words = F.transform(F.split(squeeze(F.lower(text)), " "), lambda w: F.regexp_replace(w, "^[\\p{Punct}…]+|[\\p{Punct}…]+$", ""))
-    pairs = F.transform(F.slice(words, 2, 1_000_000), lambda w, i: (w != "") & (w == F.get(words, i)))
-    return F.exists(pairs, lambda p: p)
+    follows = lambda ws: F.exists(F.zip_with(ws, F.slice(ws, F.lit(2), F.size(ws)), lambda a, b: (a != "") & (a == b)), lambda p: p)
+    return bound(words, lambda ws: F.coalesce(follows(ws), F.lit(False)))
 
 
 def crowded_initials(text: Column) -> Column:
     """Whether in some five tokens of two characters or more one initial occurs four times or more."""
     initials = F.transform(F.filter(tokens(text), lambda t: F.length(t) >= 2), lambda t: F.substring(t, 1, 1))
-    window = lambda i: F.slice(initials, i + 1, 5)
-    crowded = lambda i: F.exists(window(i), lambda c: F.size(F.filter(window(i), lambda d: d == c)) >= 4)
-    starts = F.when(F.size(initials) >= 5, F.sequence(F.lit(0), F.size(initials) - 5)).otherwise(F.array().cast("array<int>"))
-    return F.exists(starts, crowded)
+    # sorted, four equal ones of five are the first four or the last four
+    four = lambda w: (F.get(w, F.lit(0)) == F.get(w, F.lit(3))) | (F.get(w, F.lit(1)) == F.get(w, F.lit(4)))
+    starts = lambda h: F.when(F.size(h) >= 5, F.sequence(F.lit(1), F.size(h) - 4)).otherwise(F.array().cast("array<int>"))
+    return bound(initials, lambda h: F.exists(starts(h), lambda i: bound(F.array_sort(F.slice(h, i, F.lit(5))), four)))
 
 
 def mojibake_count(text: Column) -> Column:

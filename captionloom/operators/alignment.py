@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from captionloom.functions import text as tx
-from captionloom.functions.similarity import ratio, token_similarity
+from captionloom.functions.similarity import char_similarity, ratio, token_similarity
+from captionloom.operators.timeline import interval_join, match_band
 
 # fixed values: acceptance, length limits and penalties
 MIN_ACCEPT, RATIO_DEVIATION, SPAN_PENALTY, MAX_SENTENCES = 0.90, 0.35, 0.04, 6
@@ -52,6 +53,19 @@ def sentence_alignment(clips: DataFrame) -> DataFrame:
     )
 
 
+def overlap_consensus(segments: DataFrame, events: DataFrame, key: str = "video_id") -> DataFrame:
+    """segments(key, segment_id, start_ms, end_ms, text), events(key, event_start, event_end, event_index, event_text) ->
+    key, segment_id, overlap_text, lexical_similarity (by characters), match_band. A segment without events has empty text."""
+    spans = segments.select(key, "segment_id", "start_ms", "end_ms")
+    over = interval_join(spans, events, key, ("start_ms", "end_ms"), ("event_start", "event_end"))
+    ordered = F.array_sort(F.collect_list(F.struct("event_start", "event_index", "event_text")))
+    joined = over.groupBy(key, "segment_id").agg(F.array_join(F.transform(ordered, lambda x: x["event_text"]), " ").alias("overlap_text"))
+    rows = segments.select(key, "segment_id", "text").join(joined, [key, "segment_id"], "left")
+    rows = rows.withColumn("overlap_text", tx.clean(F.coalesce("overlap_text", F.lit(""))))
+    rows = rows.withColumn("lexical_similarity", char_similarity(tx.lexical(F.col("text")), tx.lexical(F.col("overlap_text"))))
+    return rows.select(key, "segment_id", "overlap_text", "lexical_similarity", match_band(F.col("lexical_similarity")).alias("match_band"))
+
+
 def best_subsequence(words: list[str], caption: list[str]) -> tuple[float, str]:
     """Ratio and text of the run of caption tokens with the best ratio less a length penalty; the first of equals.
 

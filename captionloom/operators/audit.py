@@ -74,6 +74,81 @@ def validate_results(blocks: DataFrame, results: DataFrame) -> DataFrame:
     return rows.select("block_id", F.array_join(errors, ";").alias("errors"), F.coalesce(F.size("segments"), F.lit(0)).alias("segment_count"))
 
 
+def validate_items(items: DataFrame, results: DataFrame) -> DataFrame:
+    """items(pilot_id, source_text), results(pilot_id, result_id, segments) -> pilot_id, errors (joined by semicolons), and
+    feedback: what a next attempt is to be told, null where there are no errors. result_id is the id that the result itself
+    names; a null segment is no object."""
+    rows = items.select("pilot_id", "source_text").join(results.select("pilot_id", "result_id", "segments"), "pilot_id", "left")
+    text = lambda s: F.coalesce(s["text_exact"], F.lit(""))
+    label = lambda s: F.coalesce(s["label"], F.lit(""))
+    name = lambda i, what: F.concat(F.lit("SEGMENT_"), i.cast("string"), F.lit(what))
+    each = F.transform(
+        "segments",
+        lambda s, i: F.when(s.isNull(), F.array(name(i, "_NOT_OBJECT"))).otherwise(
+            F.array_compact(
+                F.array(
+                    F.when(text(s) == "", name(i, "_EMPTY_TEXT")),
+                    F.when(~label(s).isin(*LABELS), F.concat(name(i, "_INVALID_LABEL:"), label(s))),
+                )
+            )
+        ),
+    )
+    back = F.array_join(F.transform(F.filter("segments", lambda s: s.isNotNull()), text), " ")
+    other = F.when(~F.coalesce(F.col("result_id") == F.col("pilot_id"), F.lit(False)), "PILOT_ID_MISMATCH")
+    none = F.coalesce(F.size("segments") <= 0, F.lit(True))
+    uncovered = F.when(tx.squeeze(back) != tx.squeeze(F.col("source_text")), "TEXT_COVERAGE_MISMATCH")
+    errors = F.when(none, F.array_compact(F.array(other, F.lit("NO_SEGMENTS")))).otherwise(
+        F.concat(F.array_compact(F.array(other)), F.flatten(each), F.array_compact(F.array(uncovered)))
+    )
+    told = F.concat(F.lit("Correct these errors: "), F.array_join(errors, ", "))
+    return rows.select("pilot_id", F.array_join(errors, ";").alias("errors"), F.when(F.size(errors) > 0, told).alias("feedback"))
+
+
+def display_text(rows: DataFrame, accepted: str = "ACCEPT_CAPTION_CANDIDATE") -> DataFrame:
+    """Adds display_text: the caption text in the accepted group, the recognised text in the others."""
+    caption, own = F.coalesce("proposal_text", F.lit("")), F.coalesce("text", F.lit(""))
+    return rows.withColumn("display_text", F.when(F.col("audit_group") == accepted, caption).otherwise(own))
+
+
+def reviewed_only(rows: DataFrame, verdict: str = "verdict") -> DataFrame:
+    return rows.where(F.length(F.trim(verdict)) > 0)
+
+
+def join_with_suffixes(left: DataFrame, right: DataFrame, on: str, suffixes: tuple[str, str], how: str = "left") -> DataFrame:
+    """Join on one key; other names that both sides have get the suffixes."""
+    both = (set(left.columns) & set(right.columns)) - {on}
+    named = lambda df, end: df.select(*(F.col(c).alias(c + end if c in both else c) for c in df.columns))
+    return named(left, suffixes[0]).join(named(right, suffixes[1]), on, how)
+
+
+def allowed_flags(flags: Column, allowed: list[str]) -> Column:
+    """Flags that are allowed, sorted."""
+    return F.array_sort(F.array_intersect(flags, F.array(*map(F.lit, allowed))))
+
+
+def source_audit(captured: DataFrame) -> DataFrame:
+    """captured(video_id, info json, error) -> one row per source: status, title, duration_sec, availability class, error.
+    A source whose metadata are missing or no JSON gets a failure row."""
+    kinds = "title string, duration double, subtitles map<string,string>, automatic_captions map<string,string>"
+    rows = captured.withColumn("i", F.from_json("info", kinds))
+    failed = F.col("error").isNotNull() | F.col("info").isNull() | (F.coalesce(F.size("i.subtitles"), F.lit(-1)) < 0) & F.col("i.title").isNull()
+    ok = lambda c: F.when(~failed, c)
+    return rows.select(
+        "video_id",
+        F.when(failed, "EXTRACT_FAIL").otherwise("OK").alias("status"),
+        ok(F.coalesce("i.title", F.lit(""))).alias("title"),
+        ok(F.col("i.duration")).alias("duration_sec"),
+        ok(source_class(F.col("i.subtitles"), F.col("i.automatic_captions"))).alias("candidate"),
+        F.when(failed, F.coalesce("error", F.lit("no metadata"))).alias("error"),
+    )
+
+
+def stamped(rows: DataFrame, name: str = "created_at") -> DataFrame:
+    """Adds the instant of the run in UTC, as ISO text."""
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    return rows.withColumn(name, F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")))
+
+
 def readiness(validated: DataFrame) -> DataFrame:
     """One row: blocks, blocks with errors, and whether results are there and none has an error."""
     bad = F.count_if(F.col("errors") != "")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from captionloom.functions import text as tx
 from captionloom.params import Budget
+from captionloom.work import Work, numbered
 
 
 def sentence_units(events: DataFrame, key: str = "video_id") -> DataFrame:
@@ -107,8 +108,8 @@ def pack_by_budget(items: DataFrame, budget: Budget, order: list[str], size: str
     return items.join(packed, [key, *order])
 
 
-def pack_index(packed: DataFrame, ident: str, order: list[str], size: str, key: str = "video_id", prefix: str = "review_pack_", width: int = 4) -> DataFrame:
-    """One row per pack with its first and last item; ids are numbered over the sources on this small table."""
+def pack_index(packed: DataFrame, ident: str, order: list[str], size: str, work: Work, key: str = "video_id", prefix: str = "review_pack_", width: int = 4) -> DataFrame:
+    """One row per pack with its first and last item; ids are numbered over the sources."""
     place = F.struct(*order)
     index = packed.groupBy(key, "pack_no").agg(
         F.count(F.lit(1)).alias("item_count"),
@@ -116,8 +117,9 @@ def pack_index(packed: DataFrame, ident: str, order: list[str], size: str, key:
         F.min_by(ident, place).alias("first_item_id"),
         F.max_by(ident, place).alias("last_item_id"),
     )
-    n = F.row_number().over(Window.orderBy(key, "pack_no"))
-    return index.withColumn("pack_id", F.concat(F.lit(prefix), F.lpad(n.cast("string"), width, "0")))
+    index = numbered(index, [key, "pack_no"], "_no", work)
+    digits = (F.col("_no") + 1).cast("string")
+    return index.withColumn("pack_id", F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), "0"))).drop("_no")
 
 
 def context_windows(rows: DataFrame, order: list[str], ident: str, text: str, around: int = 2, key: str = "video_id") -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from captionloom.operators.timeline import adjacent_overlaps
 from captionloom.params import KEEP
 
 DECISIONS = (*KEEP, "REVIEW", "DROP")
@@ -48,27 +47,45 @@ def duplicates(df: DataFrame, ident: str) -> DataFrame:
 
 
 def structural_qc(clips: DataFrame, sources: DataFrame, key: str = "video_id") -> DataFrame:
-    """One row: counts of each defect, the error codes that follow, and qc_pass. Sources: the expected keys."""
-    flags = clips.agg(
+    """One row: counts of each defect, the error codes that follow, and qc_pass. Sources: the expected keys.
+
+    Every defect is first counted by source, where clips, their overlaps and the expected keys meet; one total is taken
+    of those counts.
+    """
+    place = F.row_number().over(Window.partitionBy("clip_id").orderBy(key, "raw_start_ms"))
+    w = Window.partitionBy(key).orderBy("raw_start_ms", "raw_end_ms", "clip_id")
+    over = F.lag("raw_end_ms").over(w) - F.col("raw_start_ms")
+    rows = clips.withColumn("_place", place).withColumn("_over", over)
+    by_source = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"),
-        (F.count("clip_id") - F.countDistinct("clip_id")).alias("duplicate_ids"),
+        F.count_if(F.col("clip_id").isNotNull() & (F.col("_place") > 1)).alias("duplicate_ids"),
         F.count_if(~F.col("decision").isin(*DECISIONS)).alias("unknown_decisions"),
         F.count_if(invalid_interval() & (F.col("decision") != "DROP")).alias("invalid_active"),
         F.count_if(invalid_interval() & (F.col("decision") == "DROP")).alias("invalid_drop"),
         F.count_if(F.length(F.trim("text")) == 0).alias("empty_text"),
+        F.count_if(F.col("_over") > 50).alias("overlaps"),
+        F.count_if(F.col("_over") > 250).alias("severe_overlaps"),
+    )
+    expected = sources.select(F.col(key).alias("_expected")).distinct()
+    both = by_source.join(expected, by_source[key] == expected["_expected"], "full_outer")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    row = both.agg(
+        *map(total, ("rows", "duplicate_ids", "unknown_decisions", "invalid_active", "invalid_drop", "empty_text", "overlaps", "severe_overlaps")),
+        F.count_if(F.col("rows").isNull()).alias("missing_sources"),
+        F.count_if(F.col("_expected").isNull() & F.col(key).isNotNull()).alias("extra_sources"),
     )
-    found, expected = clips.select(key).distinct(), sources.select(key).distinct()
-    missing = expected.join(found, key, "left_anti").agg(F.count(F.lit(1)).alias("missing_sources"))
-    extra = found.join(expected, key, "left_anti").agg(F.count(F.lit(1)).alias("extra_sources"))
-    over = adjacent_overlaps(clips, key, "clip_id", "raw_start_ms", "raw_end_ms", 50, 250)
-    over = over.agg(F.count(F.lit(1)).alias("overlaps"), F.count_if("severe").alias("severe_overlaps"))
-    # four one-row frames: their cross product is one row
-    row = flags.crossJoin(missing).crossJoin(extra).crossJoin(over)
     checks = ("duplicate_ids", "unknown_decisions", "invalid_active", "empty_text", "missing_sources", "extra_sources", "severe_overlaps")
     errors = F.array_compact(F.array(*(F.when(F.col(c) > 0, F.upper(F.lit(c))) for c in checks)))
     return row.withColumn("errors", F.array_join(errors, ";")).withColumn("qc_pass", F.size(errors) == 0)
 
 
+def hours(ms: Column) -> Column:
+    """Hours of a number of milliseconds that has halves at most, to six digits, halves up. The rounding is done in whole
+    numbers: sums often lie halfway between two last digits, where doubles go either way."""
+    n = (2 * ms).cast("long") * 1_000_000 + 3_600_000
+    return (n - F.pmod(n, F.lit(7_200_000))) / F.lit(7_200_000) / F.lit(1_000_000)
+
+
 def source_qc(clips: DataFrame, key: str = "video_id") -> DataFrame:
     """Counts by decision, kept hours and quality quantiles of each source."""
     kept = F.col("decision").isin(*KEEP)
@@ -77,7 +94,46 @@ def source_qc(clips: DataFrame, key: str = "video_id") -> DataFrame:
     return clips.groupBy(key).agg(
         F.count(F.lit(1)).alias("candidates"),
         *counts,
-        F.round(F.coalesce(F.sum(F.when(kept, cut)), F.lit(0.0)) / 3_600_000, 6).alias("keep_hours"),
+        hours(F.coalesce(F.sum(F.when(kept, cut)), F.lit(0.0))).alias("keep_hours"),
         F.round(F.percentile(F.when(kept, F.col("quality_score")), 0.1), 6).alias("keep_quality_p10"),
         F.round(F.percentile(F.when(kept, F.col("quality_score")), 0.5), 6).alias("keep_quality_p50"),
     )
+
+
+def density_flags(rows: DataFrame, seconds: Column, words: Column, segment_tokens: Column, word_tokens: Column) -> DataFrame:
+    """Adds tokens_per_sec, token_ratio, low_density and high_ratio. A zero or missing divisor gives null and no flag."""
+    rows = rows.withColumn("tokens_per_sec", F.try_divide(words, seconds)).withColumn("token_ratio", F.try_divide(segment_tokens, word_tokens))
+    # fixed values: limits
+    low, high = F.col("tokens_per_sec") < 0.8, F.col("token_ratio") > 1.8
+    return rows.withColumn("low_density", F.coalesce(low, F.lit(False))).withColumn("high_ratio", F.coalesce(high, F.lit(False)))
+
+
+def acceptance(rows: DataFrame, accepted: Column, key: str = "video_id") -> DataFrame:
+    """By source and over all ('(all)'): rows, accepted, and their rate, zero where there are no rows."""
+    n, yes = F.count(F.lit(1)), F.coalesce(F.count_if(accepted), F.lit(0))
+    out = rows.rollup(key).agg(n.alias("rows"), yes.alias("accepted"))
+    rate = F.when(F.col("rows") == 0, 0.0).otherwise(F.round(F.col("accepted") / F.col("rows"), 6))
+    return out.select(F.coalesce(key, F.lit("(all)")).alias(key), "rows", "accepted", rate.alias("acceptance_rate"))
+
+
+def balanced(rows: DataFrame, key: str, each: int, groups: int) -> DataFrame:
+    """The counts by key; fails unless there are `groups` keys of `each` rows."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    right = counts.agg((F.count(F.lit(1)) == groups) & (F.coalesce(F.count_if(F.col("rows") != each), F.lit(0)) == 0)).first()[0]
+    if not right:
+        raise ValueError(f"expected {each} rows for each of {groups} values of {key}")
+    return counts
+
+
+def first_values(rows: DataFrame, columns: list[str], order: str, key: str = "video_id") -> DataFrame:
+    """Of each source the first value of each column, in the order, that is not null."""
+    return rows.groupBy(key).agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns))
+
+
+def boundary_overlaps(clips: DataFrame, key: str = "video_id", report: float = 50, severe: float = 250) -> DataFrame:
+    """Neighbouring clips whose spoken or cut intervals overlap by more than `report`: both overlaps, and which are severe."""
+    w = Window.partitionBy(key).orderBy("raw_start_ms", "raw_end_ms", "clip_id")
+    raw, cut = F.lag("raw_end_ms").over(w) - F.col("raw_start_ms"), F.lag("cut_end_ms").over(w) - F.col("cut_start_ms")
+    out = clips.select(key, F.lag("clip_id").over(w).alias("prev_clip_id"), "clip_id", raw.alias("raw_overlap_ms"), cut.alias("cut_overlap_ms"))
+    out = out.where((F.col("raw_overlap_ms") > report) | (F.col("cut_overlap_ms") > report))
+    return out.withColumn("severe_raw", F.col("raw_overlap_ms") > severe).withColumn("severe_cut", F.col("cut_overlap_ms") > severe)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,6 +133,29 @@ def clip_spans(scored: DataFrame, key: str = "video_id", rules: ClipRules = CLIP
     return scored.select(key, "word_no", "start_ms", "end_ms", points).groupBy(key).applyInPandas(walk, schema)
 
 
+def clip_members(scored: DataFrame, key: str = "video_id", rules: ClipRules = CLIPS) -> DataFrame:
+    """The words of each span: key, clip_no, word_no, word, segment_id, start_ms, end_ms, probability, and of the span
+    score, forced, merged and own_basis (the boundary of its last word before a tail was merged).
+
+    Words go through the walk as Arrow columns that it does not open, so they need no join with their spans after it.
+    """
+    columns = [key, "word_no", "word", "segment_id", "start_ms", "end_ms", "probability"]
+    kinds = dict(scored.dtypes)
+    names = [*columns, "clip_no", "score", "forced", "merged", "own_basis"]
+    schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", clip_no int, score long, forced boolean, merged boolean, own_basis string"
+
+    def walk(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks().sort_by("word_no")
+        start, end, points = (rows[c].to_numpy() for c in ("start_ms", "end_ms", "points"))
+        first, last, score, forced, merged, basis = map(np.array, zip(*chain(start, end, points, rules), strict=True))
+        n = np.repeat(np.arange(len(first)), last - first + 1)
+        own = [pa.array(n + 1, pa.int32()), pa.array(score[n], pa.int64()), pa.array(forced[n]), pa.array(merged[n]), rows["boundary_basis"].take(pa.array(basis[n]))]
+        return pa.Table.from_arrays([*(rows[c] for c in columns), *own], names)
+
+    points = (F.col("boundary_score") * UNIT).cast("long").alias("points")
+    return scored.select(*columns, "boundary_basis", points).groupBy(key).applyInArrow(walk, schema)
+
+
 def decide(rules: ClipRules = CLIPS) -> tuple[Column, Column]:
     """(decision, reasons joined by semicolons) from the columns of a candidate; null metrics are no evidence."""
     dur, words = F.col("raw_end_ms") - F.col("raw_start_ms"), F.col("word_count")
@@ -187,18 +211,15 @@ def segment_quality(members: DataFrame, segments: DataFrame, key: str, ident: st
     )
 
 
-def clip_candidates(words: DataFrame, segments: DataFrame, consensus: DataFrame, key: str = "video_id", rules: ClipRules = CLIPS) -> DataFrame:
+def clip_candidates(members: DataFrame, segments: DataFrame, consensus: DataFrame, key: str = "video_id", rules: ClipRules = CLIPS) -> DataFrame:
     """The cut manifest: spans with text, padding, probabilities, consensus, decision and score.
 
-    consensus: key, bucket, token_similarity. Joins are on (source, number) and aggregates run outside of the
-    grouped function; every table after the spans is one row per clip.
+    members: as clip_members() returns them; consensus: key, bucket, token_similarity. members, segments and consensus are
+    read more than once and should be written tables. Every table after the first aggregation is one row per clip.
     """
-    scored = boundary_scores(words, key)
-    spans = clip_spans(scored, key, rules).withColumn("clip_id", numbered_id(F.col(key), "_C", F.col("clip_no"), 6))
-    owned = spans.select(key, "clip_id", F.explode(F.sequence("first_no", "last_no")).alias("word_no"))
-    members = owned.join(scored.select(key, "word_no", "word", "segment_id", "start_ms", "end_ms", "probability"), [key, "word_no"])
     ordered = F.array_sort(F.collect_list(F.struct("word_no", "word")))
-    facts = members.groupBy(key, "clip_id").agg(
+    any_ = lambda c: F.first(c).alias(c)
+    facts = members.groupBy(key, "clip_no").agg(
         F.min_by("start_ms", "word_no").alias("raw_start_ms"),
         F.max_by("end_ms", "word_no").alias("raw_end_ms"),
         F.count(F.lit(1)).alias("word_count"),
@@ -206,14 +227,12 @@ def clip_candidates(words: DataFrame, segments: DataFrame, consensus: DataFrame,
         # nine digits: a limit is met or missed alike whatever the order in which a mean was summed
         F.round(F.avg("probability"), 9).alias("mean_word_probability"),
         F.round(F.percentile("probability", 0.1), 9).alias("word_probability_p10"),
+        *map(any_, ("score", "forced", "merged", "own_basis")),
     )
-    basis = scored.select(key, F.col("word_no").alias("basis_no"), F.col("boundary_basis").alias("own_basis"))
-    spans = spans.join(basis, [key, "basis_no"]).withColumn(
-        "boundary_basis",
-        F.concat(F.when(F.col("forced"), FORCED).otherwise(F.col("own_basis")), F.when(F.col("merged"), "+merged_short_tail").otherwise("")),
-    )
+    basis = F.concat(F.when(F.col("forced"), FORCED).otherwise(F.col("own_basis")), F.when(F.col("merged"), "+merged_short_tail").otherwise(""))
+    rows = facts.withColumn("clip_id", numbered_id(F.col(key), "_C", F.col("clip_no"), 6)).withColumn("boundary_basis", basis)
+    rows = rows.drop("forced", "merged", "own_basis")
     w = Window.partitionBy(key).orderBy("clip_no")
-    rows = spans.select(key, "clip_id", "clip_no", "score", "boundary_basis").join(facts, [key, "clip_id"])
     left = F.greatest(F.lit(0), F.col("raw_start_ms") - F.lag("raw_end_ms").over(w))
     right = F.greatest(F.lit(0), F.lead("raw_start_ms").over(w) - F.col("raw_end_ms"))
     rows = rows.select(
@@ -221,8 +240,9 @@ def clip_candidates(words: DataFrame, segments: DataFrame, consensus: DataFrame,
         F.when(F.lag("raw_end_ms").over(w).isNull(), rules.first_gap_ms).otherwise(left).alias("gap_before_ms"),
         F.when(F.lead("raw_start_ms").over(w).isNull(), rules.last_gap_ms).otherwise(right).alias("gap_after_ms"),
     )
-    quality = segment_quality(members, segments, key, "clip_id")
-    spans_ms = rows.select(key, "clip_id", F.col("raw_start_ms").alias("start_ms"), F.col("raw_end_ms").alias("end_ms"))
+    spans = members.withColumn("clip_id", numbered_id(F.col(key), "_C", F.col("clip_no"), 6))
+    quality = segment_quality(spans, segments, key, "clip_id")
+    spans_ms = spans.groupBy(key, "clip_id").agg(F.min_by("start_ms", "word_no").alias("start_ms"), F.max_by("end_ms", "word_no").alias("end_ms"))
     own = overlap_mean(spans_ms, consensus, key, "clip_id", "token_similarity").withColumnRenamed("mean", "clip_consensus_mean")
     trust = consensus.groupBy(key).agg(F.avg("token_similarity").alias("source_consensus_mean"))
     rows = rows.join(quality, "clip_id", "left").join(own, "clip_id", "left").join(trust, key, "left")

@@ -12,14 +12,34 @@ from captionloom.functions.similarity import multiset_similarity, token_similari
 from captionloom.functions import text as tx
 from captionloom.operators import segmentation as sg
 from captionloom.operators import timeline as tl
+from captionloom.work import Work
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+class Timed(str):
+    """A folder of tables whose timed words have been written; its views read those."""
+
+    written: DataFrame
+    work: Work
+
+
+def timed(spark: SparkSession, sf: str) -> Timed:
+    """The folder with its words written once, for queries that have several branches over them."""
+    if isinstance(sf, Timed):
+        return sf
+    out = Timed(sf)
+    out.work = Work(spark, "timed")
+    out.written = out.work.save(words(spark, sf), "words")
+    return out
+
+
 def words(spark: SparkSession, sf: str) -> DataFrame:
     """v_words: the words of documents, timed by rules on their letters and positions."""
+    if isinstance(sf, Timed):
+        return sf.written
     docs = table(spark, sf, "documents").select("doc_id", F.trim(F.regexp_replace("text", "[ \\t\\n\\r\\f]+", " ")).alias("t"))
     rows = docs.where("t <> ''").select("doc_id", F.posexplode(F.split("t", " ")).alias("word_index", "word"))
     i, w = F.col("word_index").cast("long"), F.col("word")
@@ -69,10 +89,15 @@ def pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consensus(spark: SparkSession, sf: str, exact: bool = True) -> DataFrame:
-    """Agreement of the two streams by bucket: the matching-block ratio, or (not exact) its multiset bound."""
+    """video_id, bucket, token_similarity: agreement of the two streams, by the matching-block ratio or (not exact) its
+    multiset bound."""
+    sf = timed(spark, sf)
     pairs = bucket_pairs(segments(spark, sf), captions(spark, sf))
     a, b = tx.tokens(F.col("asr_text")), tx.tokens(F.col("caption_text"))
-    return pairs.withColumn("token_similarity", token_similarity(a, b) if exact else multiset_similarity(a, b))
+    if exact:
+        return pairs.select("video_id", "bucket", token_similarity(a, b).alias("token_similarity"))
+    pairs = sf.work.save(pairs.select("video_id", "bucket", a.alias("a"), b.alias("b")), "pairs")
+    return multiset_similarity(pairs, ["video_id", "bucket"], F.col("a"), F.col("b"), "token_similarity")
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,7 +105,12 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return sg.clip_candidates(words(spark, sf), segments(spark, sf), consensus(spark, sf).select("video_id", "bucket", "token_similarity"))
+    """The clips of all sources, written: members of spans, segments and consensus are tables of one row per word, segment
+    and bucket that each are computed once."""
+    sf = timed(spark, sf)
+    members = sf.work.save(sg.clip_members(scored(spark, sf)), "members")
+    agreed = sf.work.save(consensus(spark, sf), "consensus")
+    return sf.work.save(sg.clip_candidates(members, segments(spark, sf), agreed), "manifest")
 
 
 def caption_windows(clips: DataFrame, events: DataFrame, pad: int = 6000) -> DataFrame:

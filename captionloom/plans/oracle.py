@@ -91,6 +91,15 @@ v_cut AS (
   FROM v_no
 )"""
 
+PUNCT = "[!-/:-@\\[-`{-~…]"
+RISKS = f"""
+v_risks AS MATERIALIZED (
+  SELECT piece_id, len(list_filter(w, lambda x, i: x <> '' AND i > 1 AND x = w[i - 1])) > 0 AS repeat_hint,
+    len(list_filter(range(1, len(h) - 3), lambda k: len(list_filter(h[k:k + 4], lambda c: len(list_filter(h[k:k + 4], lambda d: d = c)) >= 4)) > 0)) > 0 AS crowding_hint
+  FROM (SELECT piece_id, list_transform(string_split({squeeze("lower(text_exact)")}, ' '), lambda x: regexp_replace(x, '^{PUNCT}+|{PUNCT}+$', '', 'g')) AS w,
+    list_transform(list_filter(regexp_extract_all(lower(text_exact), '{TOKEN}'), lambda t: length(t) >= 2), lambda t: t[1]) AS h FROM v_pieces)
+)"""
+
 GAPS = """
 v_gaps AS MATERIALIZED (
   SELECT *, greatest(0, start_ms - lag(end_ms) OVER w) AS raw_before, start_ms - lag(end_ms) OVER w AS gap_global_ms,
@@ -101,7 +110,40 @@ v_gaps AS MATERIALIZED (
   FROM v_words WINDOW w AS (PARTITION BY video_id ORDER BY start_ms, end_ms, segment_id, word_index)
 )"""
 
+def matched(source: str, p: str, a: str, b: str, name: str) -> str:
+    """{name}(pid, ratio): 2M/T of the matching blocks of the token lists a and b of each row p of source, which is
+    materialised. The longest common run of a range, the first of equals in a and then in b, splits it in two."""
+    return f"""
+{name}_a AS (SELECT {p} AS pid, unnest({a}) AS tok, generate_subscripts({a}, 1) AS i FROM {source}),
+{name}_b AS (SELECT {p} AS pid, unnest({b}) AS tok, generate_subscripts({b}, 1) AS j FROM {source}),
+{name}_hit AS MATERIALIZED (SELECT pid, i, j, i - j AS d FROM {name}_a JOIN {name}_b USING (pid, tok)),
+{name}_block AS (
+  SELECT {p} AS pid, 1::BIGINT AS alo, len({a})::BIGINT AS ahi, 1::BIGINT AS blo, len({b})::BIGINT AS bhi, 0::BIGINT AS size FROM {source}
+  UNION ALL
+  SELECT pid, CASE WHEN side THEN i + n ELSE alo END, CASE WHEN side THEN ahi ELSE i - 1 END, CASE WHEN side THEN j + n ELSE blo END,
+    CASE WHEN side THEN bhi ELSE j - 1 END, CASE WHEN side THEN 0 ELSE n END
+  FROM (SELECT pid, alo, ahi, blo, bhi, min(i) AS i, min(j) AS j, count(*) AS n
+    FROM (SELECT r.pid, alo, ahi, blo, bhi, i, j, d, i - row_number() OVER (PARTITION BY r.pid, alo, ahi, blo, bhi, d ORDER BY i) AS run
+      FROM {name}_block r JOIN {name}_hit h ON h.pid = r.pid AND i BETWEEN alo AND ahi AND j BETWEEN blo AND bhi)
+    GROUP BY pid, alo, ahi, blo, bhi, d, run
+    QUALIFY row_number() OVER (PARTITION BY pid, alo, ahi, blo, bhi ORDER BY count(*) DESC, min(i), min(j)) = 1) CROSS JOIN (VALUES (false), (true)) s(side)
+), {name} AS MATERIALIZED (
+  SELECT t.{p} AS pid, CASE WHEN len({a}) = 0 AND len({b}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * m::DOUBLE / (len({a}) + len({b}))::DOUBLE END AS ratio
+  FROM {source} t JOIN (SELECT pid, sum(size) AS m FROM {name}_block GROUP BY pid) m ON m.pid = t.{p}
+)"""
+
+
 CONSENSUS = f"""
+v_pairs AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, * FROM
+    (SELECT video_id, (start_ms + end_ms) // 60000 AS bucket, regexp_extract_all(lower(string_agg(text, ' ' ORDER BY segment_id)), '{TOKEN}') AS a FROM v_segments GROUP BY ALL)
+    JOIN (SELECT video_id, (start_ms + end_ms) // 60000 AS bucket, regexp_extract_all(lower(string_agg(text, ' ' ORDER BY event_index)), '{TOKEN}') AS b FROM v_captions GROUP BY ALL)
+    USING (video_id, bucket)
+), {matched("v_pairs", "n", "a", "b", "v_match")}, v_consensus AS MATERIALIZED (
+  SELECT video_id, bucket, ratio AS token_similarity FROM v_pairs JOIN v_match ON pid = n
+)"""
+
+BOUND = f"""
 v_tokens AS (
   SELECT 'a' AS side, video_id, (start_ms + end_ms) // 60000 AS bucket, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS tok FROM v_segments
   UNION ALL SELECT 'c', video_id, (start_ms + end_ms) // 60000, unnest(regexp_extract_all(lower(text), '{TOKEN}')) FROM v_captions
@@ -112,7 +154,7 @@ v_tokens AS (
 ), v_grid AS (
   SELECT video_id, bucket FROM (SELECT DISTINCT video_id, (start_ms + end_ms) // 60000 AS bucket FROM v_segments)
   JOIN (SELECT DISTINCT video_id, (start_ms + end_ms) // 60000 AS bucket FROM v_captions) USING (video_id, bucket)
-), v_consensus AS MATERIALIZED (
+), v_bound AS MATERIALIZED (
   SELECT g.video_id, g.bucket, CASE WHEN coalesce(a.n, 0) + coalesce(c.n, 0) = 0 THEN 1.0
     ELSE 2.0::DOUBLE * coalesce(s.n, 0)::DOUBLE / (coalesce(a.n, 0) + coalesce(c.n, 0))::DOUBLE END AS token_similarity
   FROM v_grid g LEFT JOIN v_shared s USING (video_id, bucket) LEFT JOIN (FROM v_sizes WHERE side = 'a') a USING (video_id, bucket)
@@ -262,15 +304,18 @@ def pilot(clips: str, k: str, review: str) -> str:
     v_placed AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY priority, quality_score, raw_start_ms, clip_no) AS place FROM v_once)"""
 
 
-def packed(budget: Budget, scale: int = 50) -> str:
-    t, s, h, c = (x // scale for x in (budget.target, budget.soft_max, budget.hard_max, budget.item_cost))
+def packed(budget: Budget) -> str:
+    t, s, h, c = budget.target, budget.soft_max, budget.hard_max, budget.item_cost
     full = f"(held >= {h} OR (held >= {t} AND held + cost > {s}))"
-    return f"""v_item AS MATERIALIZED (SELECT video_id, piece_id, char_count + {c} AS cost, row_number() OVER (PARTITION BY video_id ORDER BY unit_no, piece_no) AS r FROM v_pieces),
+    return f"""v_item AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY doc_no, unit_no, piece_no) AS r FROM (
+      SELECT 'g' || substr(video_id, 2)::BIGINT // 50 AS video_id, substr(video_id, 2)::BIGINT AS doc_no, unit_no, piece_no, piece_id, text_exact, char_count, char_count + {c} AS cost FROM v_pieces)),
     v_walk AS (SELECT video_id, r, 1 AS pack_no, cost AS total FROM v_item WHERE r = 1
       UNION ALL SELECT i.video_id, i.r, CASE WHEN {full} THEN pack_no + 1 ELSE pack_no END, CASE WHEN {full} THEN cost ELSE held + cost END
       FROM (SELECT video_id, r, pack_no, total AS held FROM v_walk) w JOIN v_item i ON i.video_id = w.video_id AND i.r = w.r + 1),
-    v_packed AS (SELECT video_id, piece_id, pack_no FROM v_walk JOIN v_item USING (video_id, r))"""
+    v_packed AS (SELECT i.*, pack_no FROM v_walk JOIN v_item i USING (video_id, r))"""
+
 
+PACKED = "SELECT video_id, piece_id, pack_no FROM v_packed"
 
 AUDIT = f"""{GRADED}, v_audit AS (
   SELECT *, CASE decision WHEN 'KEEP_AUTO' THEN 'TRUSTED_CAPTION_ALIGNMENT' ELSE 'WHISPER_PRIMARY_LOW_CAPTION_TRUST' END AS audit_route,
@@ -292,6 +337,44 @@ v_result AS (
   FROM v_block b FULL JOIN v_result r ON b.block_id = r.block_id
 )"""
 
+MARK = "[.!?…]+[\"”’''»)\\]]*"
+ALIGNED = f"""
+v_window AS (SELECT s.video_id, s.segment_id, string_agg(c.text, ' ' ORDER BY c.start_ms, c.end_ms, c.event_index) AS t FROM v_segments s JOIN v_captions c ON c.video_id = s.video_id
+  AND c.end_ms >= s.start_ms - 6000 AND c.start_ms <= s.end_ms + 6000 GROUP BY ALL
+), v_clip AS MATERIALIZED (
+  SELECT video_id || '_' || segment_id AS clip_id, regexp_extract_all(lower(text), '{TOKEN}') AS w,
+    list_filter(list_transform(string_split(regexp_replace(coalesce(t, ''), '({MARK})({SPACE}|$)', '\\1' || chr(1) || '\\2', 'g'), chr(1))[:-2], lambda x: {squeeze("x")}), lambda x: x <> '') AS s
+  FROM v_segments LEFT JOIN v_window USING (video_id, segment_id)
+), v_first AS (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM v_clip WHERE len(w) > 0
+), v_run AS (SELECT *, unnest(range(1, least(6, len(s) - i + 1) + 1)) AS k FROM v_first
+), v_said AS (SELECT clip_id, w, i, k, array_to_string(s[i:i + k - 1], ' ') AS proposal FROM v_run
+), v_try AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, *, len(p) / len(w) AS r FROM (SELECT *, regexp_extract_all(lower(proposal), '{TOKEN}') AS p FROM v_said)
+  WHERE len(p) > 0 AND len(p) / len(w) BETWEEN 1 - 0.35::DOUBLE AND 1 + 0.35::DOUBLE
+), {matched("v_try", "n", "w", "p", "v_like")}, v_best AS (
+  SELECT * FROM v_try t JOIN v_like l ON l.pid = t.n QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY ratio - 0.04::DOUBLE * abs(len(t.p) - len(w)) / len(w) DESC, i, k) = 1
+)
+SELECT c.clip_id, coalesce(proposal, '') AS proposal_text, coalesce(ratio, 0.0) AS proposal_similarity, r AS proposal_token_ratio, coalesce(k, 0) AS proposal_sentence_count,
+  CASE WHEN ratio >= 0.90 THEN 'ACCEPT_CAPTION' ELSE 'REVIEW_ALIGNMENT' END AS alignment_decision,
+  CASE WHEN len(c.s) = 0 OR len(c.w) = 0 THEN 'no_complete_caption_sentence' WHEN ratio IS NULL THEN 'no_length_compatible_complete_sentence_span'
+    WHEN ratio >= 0.90 THEN 'caption_sentence_alignment_pass' ELSE 'caption_sentence_similarity_low' END AS alignment_reason
+FROM v_clip c LEFT JOIN v_best USING (clip_id)"""
+
+def near(pad: int, op: str) -> str:
+    return f"FROM v_segments s JOIN v_captions c ON c.video_id = s.video_id AND c.end_ms >{op} s.start_ms - {pad} AND c.start_ms <{op} s.end_ms + {pad}"
+
+
+EVENT_RUNS = f"""
+v_near AS (SELECT s.video_id || '_' || segment_id AS clip_id, s.text, c.text AS said, row_number() OVER (PARTITION BY s.video_id, segment_id ORDER BY c.start_ms, c.end_ms, c.event_index) AS i
+  {near(3000, "=")}
+), v_next AS (SELECT clip_id, text, i, list(said) OVER (PARTITION BY clip_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS l FROM v_near
+), v_runs AS (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM v_next
+), v_words_of AS (SELECT clip_id, i, k, trim(array_to_string(l[1:k], ' ')) AS matched, {lexical("text")} AS x FROM v_runs
+), v_both AS MATERIALIZED (SELECT row_number() OVER () AS n, clip_id, i, k, matched, CASE WHEN x = '' THEN [] ELSE string_split(x, ' ') END AS w, CASE WHEN y = '' THEN [] ELSE string_split(y, ' ') END AS c
+  FROM (SELECT *, {lexical("matched")} AS y FROM v_words_of)
+), {matched("v_both", "n", "w", "c", "v_same")}
+SELECT clip_id, ratio AS similarity, matched, k AS events FROM v_both JOIN v_same ON pid = n QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY ratio DESC, i, k) = 1"""
+
 VERDICTS = """v_verdicts AS (SELECT doc_id, CASE WHEN quality = 1 AND toxic <> 1 THEN 'GOOD' WHEN quality <> 1 AND toxic <> 1 THEN 'BAD_TEXT'
   WHEN quality = 1 THEN 'BAD_BOUNDARY' ELSE 'BAD_BOTH' END AS verdict FROM labels)"""
 
@@ -303,12 +386,18 @@ def overlaps(source: str, key: str, ident: str) -> str:
       lag(end_ms) OVER w - start_ms AS overlap_ms FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY start_ms, end_ms, {ident})) WHERE overlap_ms > 50"""
 
 
+def repeats(source: str, key: str, order: str) -> str:
+    return f"""SELECT {key}, count_if(coalesce(norm = prev, false)) AS consecutive, round(count(DISTINCT norm) / count(*), 9) AS unique_ratio FROM (SELECT {key}, norm, lag(norm) OVER (PARTITION BY {key} ORDER BY {order}) AS prev
+      FROM (SELECT {key}, {order}, {lexical('text')} AS norm FROM {source})) GROUP BY ALL"""
+
+
 def quantiles(column: str) -> str:
     return ", ".join(f"round(quantile_cont({column}::DOUBLE, {p / 100}), 6) AS {column}_p{p}" for p in (50, 75, 90, 95, 99))
 
 
-def near(pad: int, op: str) -> str:
-    return f"FROM v_segments s JOIN v_captions c ON c.video_id = s.video_id AND c.end_ms >{op} s.start_ms - {pad} AND c.start_ms <{op} s.end_ms + {pad}"
+def hours(ms: str) -> str:
+    """Milliseconds with halves at most as hours to six digits, halves up."""
+    return f"((2 * ({ms}))::BIGINT * 1000000 + 3600000) // 7200000 / 1e6"
 
 
 THRESHOLDS = (-450, -300, 0, 200, 300, 400, 500, 700, 1000, 1500)
@@ -318,9 +407,17 @@ SQL: dict[str, str] = {
     "v_words": f"WITH {WORDS} SELECT * EXCLUDE (doc_id) FROM v_words",
     "v_segments": f"WITH {WORDS}, {SEGMENTS} SELECT * EXCLUDE (doc_id) FROM v_segments",
     "v_captions": f"WITH {WORDS}, {CAPTIONS} SELECT * FROM v_captions",
+    "unescaped_pages": f"SELECT page_id, md5(c) AS clean_md5, length(c) AS clean_chars FROM (SELECT page_id, {clean("replace(replace(html, '&copy;', '©'), '&middot;', '·')")} AS c FROM pages)",
     "clean_text": f"SELECT doc_id, md5({clean('text')}) AS clean_md5, length({clean('text')}) AS clean_chars FROM documents",
     "lexical_tokens": f"SELECT conv_id, turn, form, CASE WHEN form = '' THEN 0 ELSE len(string_split(form, ' ')) END AS n_tokens, n_found FROM (SELECT conv_id, turn, {lexical('text')} AS form, len(regexp_extract_all(lower(text), '{TOKEN}')) AS n_found FROM conversations)",
     "terminal_flags": f"WITH {WORDS} SELECT video_id, count_if(regexp_matches(word, '{TERMINAL}')) AS terminal, count_if(regexp_matches(word, '{CLAUSE}')) AS clause, count(*) AS words FROM v_words GROUP BY ALL",
+    "piece_hints": f"""WITH {UP}, {RISKS} SELECT piece_id, needs_split_hint, tiny_hint, repeat_hint, crowding_hint FROM v_pieces JOIN v_risks USING (piece_id)""",
+    "semantic_pilot": f"""WITH {UP}, {RISKS}, b AS (SELECT video_id, piece_id, lag(text_exact) OVER w AS prev_text, lead(text_exact) OVER w AS next_text,
+      CASE WHEN needs_split_hint THEN 'LONG_SPLIT' WHEN tiny_hint THEN 'TINY_FRAGMENT' WHEN repeat_hint OR crowding_hint THEN 'REPEAT_OR_CROWDING'
+        WHEN word_count BETWEEN 6 AND 28 AND char_count BETWEEN 25 AND 160 THEN 'NORMAL_CONTROL' END AS bucket
+      FROM v_pieces JOIN v_risks USING (piece_id) WINDOW w AS (PARTITION BY video_id ORDER BY unit_no, piece_no)),
+      n AS (SELECT *, row_number() OVER (PARTITION BY video_id, bucket ORDER BY md5('260103|' || piece_id), piece_id) AS bucket_place FROM b WHERE bucket IS NOT NULL)
+      SELECT piece_id, bucket, bucket_place, prev_text, next_text FROM n WHERE bucket_place <= CASE bucket WHEN 'REPEAT_OR_CROWDING' THEN 2 ELSE 4 END""",
     "hms_labels": f"""WITH {WORDS}, {SEGMENTS} SELECT video_id, segment_id, printf('%02d:%02d:%02d.%03d', start_ms // 3600000, start_ms // 60000 % 60, start_ms // 1000 % 60, start_ms % 1000) AS start_label,
       printf('%02d:%02d:%02d.%03d', end_ms // 3600000, end_ms // 60000 % 60, end_ms // 1000 % 60, end_ms % 1000) AS end_label FROM v_segments""",
     "mojibake_report": "SELECT lang, sum(" + " + ".join(f"(length(text) - length(replace(text, '{m}', ''))) // {len(m)}" for m in ("Ã", "Â", "Ä", "Æ", "á»", "áº", "â€", "ðŸ", "�")) + ") AS markers, count_if(regexp_matches(text, '[ăâđêôơư]')) AS native FROM documents GROUP BY ALL",
@@ -334,8 +431,12 @@ SQL: dict[str, str] = {
     + ", ".join(f'count_if(g >= {t}) AS "ge_{t}"' for t in THRESHOLDS) + " FROM g",
     "overlap_audit": f"WITH {WORDS}, {CAPTIONS} {overlaps('v_captions', 'video_id', 'event_index')}",
     "user_overlaps": f"WITH {INTERVALS} {overlaps('v_intervals', 'user_id', 'event_id')}",
-    "consecutive_dups": f"""SELECT role, count_if(norm = prev) AS consecutive, round(count(DISTINCT norm) / count(*), 9) AS unique_ratio FROM (SELECT role, norm, lag(norm) OVER (PARTITION BY role ORDER BY conv_id, turn) AS prev
-      FROM (SELECT role, conv_id, turn, substr({lexical('text')}, 1, 12) AS norm FROM conversations)) GROUP BY ALL""",
+    "consecutive_dups": repeats("conversations", "conv_id", "turn"),
+    "caption_repeats": f"WITH {WORDS}, {CAPTIONS} {repeats('v_captions', 'video_id', 'event_index')}",
+    "long_pauses": f"WITH {WORDS}, {GAPS} SELECT video_id, word_index, gap_after_ms FROM v_gaps WHERE gap_after_ms >= 300 ORDER BY gap_after_ms DESC, video_id, word_index",
+    "interval_overlaps": f"""WITH {INTERVALS}, o AS (SELECT user_id, lag(event_id) OVER w AS prev_clip_id, event_id AS clip_id, lag(end_ms) OVER w - start_ms AS raw_overlap_ms,
+      lag(end_ms) OVER w + 150 - (start_ms - 120) AS cut_overlap_ms FROM v_intervals WINDOW w AS (PARTITION BY user_id ORDER BY start_ms, end_ms, event_id))
+      SELECT *, raw_overlap_ms > 250 AS severe_raw, cut_overlap_ms > 250 AS severe_cut FROM o WHERE raw_overlap_ms > 50 OR cut_overlap_ms > 50""",
     "sentence_units": f"WITH {U} SELECT * FROM v_units",
     "lossless_pieces": f"WITH {UP} SELECT * FROM v_pieces",
     "coverage_check": f"""WITH {UP}, b AS (SELECT video_id, unit_no, string_agg(text_exact, ' ' ORDER BY piece_no) AS back FROM v_pieces GROUP BY ALL)
@@ -345,7 +446,7 @@ SQL: dict[str, str] = {
     "top_long_units": f"WITH {U} SELECT video_id, unit_no, length(text) AS chars, end_ms - start_ms AS dur_ms FROM v_units ORDER BY chars DESC, dur_ms DESC, video_id, unit_no LIMIT 200",
     "near_events": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS} SELECT s.video_id, s.segment_id, count(*) AS events, min(event_index) AS first_event, max(event_index) AS last_event {near(3000, '=')} GROUP BY ALL",
     "overlap_text": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS} SELECT s.video_id, s.segment_id, string_agg(c.text, ' ' ORDER BY c.start_ms, c.event_index) AS caption_text {near(0, '')} GROUP BY ALL",
-    "overlap_weighted_mean": f"""WITH {U}, {SEGMENTS}, {CONSENSUS} SELECT unit_id, round(sum(w * token_similarity) / sum(w), 6) AS consensus FROM (SELECT u.video_id || '_' || unit_no AS unit_id, token_similarity,
+    "overlap_weighted_mean": f"""WITH RECURSIVE {U}, {SEGMENTS}, {CONSENSUS} SELECT unit_id, round(sum(w * token_similarity) / sum(w), 6) AS consensus FROM (SELECT u.video_id || '_' || unit_no AS unit_id, token_similarity,
       least(end_ms, (bucket + 1) * 30000) - greatest(start_ms, bucket * 30000) AS w FROM v_units u JOIN v_consensus c ON c.video_id = u.video_id AND bucket BETWEEN start_ms // 30000 AND end_ms // 30000) WHERE w > 0 GROUP BY ALL""",
     "segment_quality": f"""WITH {WORDS}, {SEGMENTS} SELECT clip_id, median(avg_logprob::DOUBLE) AS median_segment_avg_logprob, max(no_speech_prob::DOUBLE) AS max_segment_no_speech_prob
       FROM (SELECT DISTINCT video_id, video_id || '_' || (word_index // 33) AS clip_id, segment_id FROM v_words) JOIN v_segments USING (video_id, segment_id) GROUP BY ALL""",
@@ -354,16 +455,22 @@ SQL: dict[str, str] = {
     "aligned_union": "SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance, NULL::VARCHAR AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, NULL, c_mktsegment FROM customer",
     "bucket_pairs": f"""WITH {WORDS}, {SEGMENTS}, {CAPTIONS}, a AS (SELECT video_id, (start_ms + end_ms) // 60000 AS bucket, string_agg(text, ' ' ORDER BY segment_id) AS asr_text FROM v_segments GROUP BY ALL),
       c AS (SELECT video_id, (start_ms + end_ms) // 60000 AS bucket, string_agg(text, ' ' ORDER BY event_index) AS caption_text FROM v_captions GROUP BY ALL) SELECT * FROM a JOIN c USING (video_id, bucket)""",
-    "quick_ratio_buckets": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS}, {CONSENSUS} SELECT video_id, bucket, round(token_similarity, 9) AS similarity, {BANDS} AS match_band FROM v_consensus",
-    "lowest_20_buckets": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS}, {CONSENSUS} SELECT video_id, bucket, round(token_similarity, 9) AS similarity FROM v_consensus ORDER BY similarity, video_id, bucket LIMIT 20",
-    "source_trust": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS}, {CONSENSUS} SELECT video_id, round(avg(token_similarity), 6) AS mean_similarity, round(avg(token_similarity), 6) >= 0.60 AS trusted FROM v_consensus GROUP BY ALL",
+    "quick_ratio_buckets": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS}, {BOUND} SELECT video_id, bucket, round(token_similarity, 9) AS similarity, {BANDS} AS match_band FROM v_bound",
+    "bucket_consensus": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {CONSENSUS} SELECT video_id, bucket, token_similarity, {BANDS} AS match_band FROM v_consensus",
+    "highest_20_buckets": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {CONSENSUS} SELECT video_id, bucket, round(token_similarity, 9) AS similarity FROM v_consensus ORDER BY similarity DESC, video_id, bucket LIMIT 20",
+    "density_flags": f"""WITH {WORDS}, {SEGMENTS}, {CAPTIONS}, t AS (SELECT s.video_id, s.segment_id, string_agg(c.text, ' ' ORDER BY c.start_ms, c.event_index) AS t {near(0, '')} GROUP BY ALL),
+      n AS (SELECT video_id, segment_id, (end_ms - start_ms) / 1000.0::DOUBLE AS sec, len(regexp_extract_all(lower(text), '{TOKEN}')) AS w, coalesce(len(regexp_extract_all(lower(t), '{TOKEN}')), 0) AS c FROM v_segments LEFT JOIN t USING (video_id, segment_id)),
+      r AS (SELECT video_id, segment_id, w / nullif(sec, 0) AS x, c / nullif(w, 0) AS y FROM n)
+      SELECT video_id, segment_id, round(x, 6) AS tokens_per_sec, round(y, 6) AS token_ratio, coalesce(x < 0.8, false) AS low_density, coalesce(y > 1.8, false) AS high_ratio FROM r""",
+    "lowest_20_buckets": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {CONSENSUS} SELECT video_id, bucket, round(token_similarity, 9) AS similarity FROM v_consensus ORDER BY similarity, video_id, bucket LIMIT 20",
+    "source_trust": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {CONSENSUS} SELECT video_id, round(avg(token_similarity), 6) AS mean_similarity, round(avg(token_similarity), 6) >= 0.60 AS trusted FROM v_consensus GROUP BY ALL",
     "boundary_scores": f"WITH {S} SELECT video_id, word_no, boundary_score, boundary_basis FROM v_scored",
     "best_end": f"WITH {S}, {BEST} SELECT * FROM v_best",
     "clip_spans": f"WITH RECURSIVE {S}, {BEST}, {SPANS} SELECT * FROM v_spans",
     "clip_candidates": f"""WITH RECURSIVE {M} SELECT clip_id, raw_start_ms, raw_end_ms, cut_start_ms, cut_end_ms, word_count, text, boundary_basis, boundary_score, gap_before_ms, gap_after_ms,
       round(mean_word_probability, 6) AS mean_word_probability, round(word_probability_p10, 6) AS word_probability_p10, round(median_segment_avg_logprob, 6) AS median_segment_avg_logprob,
       round(max_segment_no_speech_prob, 6) AS max_segment_no_speech_prob, round(clip_consensus_mean, 6) AS clip_consensus_mean, decision, decision_reason, round(round_even(quality_score, 6) + 1e-7, 4) AS quality_score FROM v_manifest""",
-    "decision_summary": f"WITH RECURSIVE {M} SELECT video_id, decision, count(*) AS clips, round(sum(cut_end_ms - cut_start_ms) / 3600000, 6) AS hours, sum(word_count) AS words FROM v_manifest GROUP BY ALL",
+    "decision_summary": f"WITH RECURSIVE {M} SELECT video_id, decision, count(*) AS clips, {hours('sum(cut_end_ms - cut_start_ms)')} AS hours, sum(word_count) AS words FROM v_manifest GROUP BY ALL",
     "suspicious_keep": f"""WITH RECURSIVE {M} SELECT clip_id, word_count, raw_start_ms, raw_end_ms FROM v_manifest WHERE dur < 3000 OR dur > 14000 OR word_count < 3 OR mean_word_probability < 0.78 OR word_probability_p10 < 0.45
       OR max_segment_no_speech_prob > 0.35 OR median_segment_avg_logprob < -0.90""",
     "structural_qc": f"""WITH RECURSIVE {M}, f AS (SELECT count(*) AS rows, count(clip_id) - count(DISTINCT clip_id) AS duplicate_ids, 0 AS unknown_decisions, count_if({BAD} AND decision <> 'DROP') AS invalid_active,
@@ -375,20 +482,58 @@ SQL: dict[str, str] = {
     "invalid_intervals": f"WITH {INTERVALS} SELECT event_type, count(*) AS rows, count_if(end_ms <= start_ms) AS invalid, count_if(abs(value * 1000 - (end_ms - start_ms)) > 0.5) AS mismatched FROM v_intervals GROUP BY ALL",
     "duplicate_texts": "SELECT doc_id, md5(text) AS digest FROM documents QUALIFY count(*) OVER (PARTITION BY md5(text)) > 1",
     "source_qc_quantiles": f"""WITH RECURSIVE {M}, k AS (SELECT *, decision LIKE 'KEEP%' AS kept, round_even(quality_score, 6) AS q FROM v_manifest) SELECT video_id, count(*) AS candidates, count_if(decision = 'KEEP_AUTO') AS keep_auto,
-      count_if(decision = 'KEEP_WHISPER_PRIMARY') AS keep_whisper_primary, count_if(decision = 'REVIEW') AS review, count_if(decision = 'DROP') AS drop, round(coalesce(sum(cut_end_ms - cut_start_ms) FILTER (kept), 0) / 3600000, 6) AS keep_hours,
+      count_if(decision = 'KEEP_WHISPER_PRIMARY') AS keep_whisper_primary, count_if(decision = 'REVIEW') AS review, count_if(decision = 'DROP') AS drop, {hours('coalesce(sum(cut_end_ms - cut_start_ms) FILTER (kept), 0)')} AS keep_hours,
       round(quantile_cont(q, 0.1) FILTER (kept), 6) AS keep_quality_p10, round(quantile_cont(q, 0.5) FILTER (kept), 6) AS keep_quality_p50 FROM k GROUP BY ALL""",
     "balanced_pilot": f"WITH {U}, {GRADED}, {pilot('v_graded', '5', '2')} SELECT video_id, clip_id, pilot_reason, place FROM v_placed WHERE place <= 10",
+    "listening_queue": f"""WITH {U}, {GRADED}, {pilot('v_graded', '5', '2')}, q AS (SELECT p.*, decision FROM v_placed p JOIN v_graded g USING (video_id, clip_id) WHERE place <= 10),
+      o AS (SELECT *, CASE WHEN decision = 'REVIEW' THEN 0 WHEN pilot_reason = 'keep_weakest_boundary' THEN 1 WHEN pilot_reason = 'keep_shortest' THEN 2 WHEN pilot_reason = 'keep_longest' THEN 3
+        WHEN decision = 'KEEP_WHISPER_PRIMARY' THEN 4 ELSE 5 END AS review_priority FROM q)
+      SELECT row_number() OVER (ORDER BY review_priority, video_id, place) - 1 AS queue_no, review_priority, clip_id, pilot_reason FROM o""",
+    "review_queue": f"WITH {U}, {GRADED} SELECT row_number() OVER (ORDER BY quality_score, raw_start_ms, clip_id) - 1 AS queue_no, clip_id, quality_score FROM v_graded WHERE decision = 'REVIEW'",
+    "queue_page": f"""WITH {U}, {GRADED} SELECT row_number() OVER (ORDER BY quality_score, raw_start_ms, clip_id) - 1 AS queue_no, clip_id, quality_score FROM v_graded WHERE decision = 'REVIEW'
+      ORDER BY queue_no LIMIT 50 OFFSET 20""",
+    "balanced_counts": "SELECT n_regionkey, count(*) AS rows FROM nation GROUP BY ALL",
+    "first_values": f"""WITH {U} SELECT video_id, arg_min(n_events, unit_no) FILTER (unit_no % 3 = 0) AS n_events, arg_min(end_ms, unit_no) FILTER (terminated) AS end_ms FROM v_units GROUP BY ALL""",
     "quota_pilot": f"""WITH {U}, {GRADED}, v_auto AS (SELECT * FROM v_graded WHERE decision = 'KEEP_AUTO'), v_quota AS (SELECT video_id, 160 // count(*) OVER () + (row_number() OVER (ORDER BY video_id) - 1 < 160 % count(*) OVER ())::INT AS quota
       FROM (SELECT DISTINCT video_id FROM v_auto)), {pilot('v_auto', '160', '')} SELECT video_id, clip_id, pilot_reason, place FROM v_placed JOIN v_quota USING (video_id) WHERE place <= quota""",
     "middle_pick": f"WITH {U}, {GRADED} SELECT video_id, clip_id FROM v_graded QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY quality_score, raw_start_ms, clip_no) - 1 = count(*) OVER (PARTITION BY video_id) // 2",
-    "review_parts": f"WITH RECURSIVE {UP}, {packed(REVIEW_PARTS)} SELECT * FROM v_packed",
-    "semantic_tasks": f"WITH RECURSIVE {UP}, {packed(TASKS_V2)} SELECT * FROM v_packed",
-    "semantic_tasks_v1": f"WITH RECURSIVE {UP}, {packed(TASKS_V1)} SELECT * FROM v_packed",
-    "review_packs": f"WITH RECURSIVE {UP}, {packed(REVIEW_PACKS)} SELECT * FROM v_packed",
-    "pack_index": f"""WITH RECURSIVE {UP}, {packed(REVIEW_PACKS)}, g AS (SELECT video_id, pack_no, count(*) AS item_count, sum(char_count)::BIGINT AS source_text_chars, arg_min(piece_id, unit_no * 1000000 + piece_no) AS first_item_id,
-      arg_max(piece_id, unit_no * 1000000 + piece_no) AS last_item_id FROM v_packed JOIN v_pieces USING (video_id, piece_id) GROUP BY ALL) SELECT *, 'review_pack_' || lpad((row_number() OVER (ORDER BY video_id, pack_no))::VARCHAR, 4, '0') AS pack_id FROM g""",
+    "review_parts": f"WITH RECURSIVE {UP}, {packed(REVIEW_PARTS)} {PACKED}",
+    "semantic_tasks": f"WITH RECURSIVE {UP}, {packed(TASKS_V2)} {PACKED}",
+    "semantic_tasks_v1": f"WITH RECURSIVE {UP}, {packed(TASKS_V1)} {PACKED}",
+    "review_packs": f"WITH RECURSIVE {UP}, {packed(REVIEW_PACKS)} {PACKED}",
+    "pack_index": f"""WITH RECURSIVE {UP}, {packed(REVIEW_PACKS)}, g AS (SELECT video_id, pack_no, count(*) AS item_count, sum(char_count)::BIGINT AS source_text_chars, arg_min(piece_id, r) AS first_item_id,
+      arg_max(piece_id, r) AS last_item_id FROM v_packed GROUP BY ALL) SELECT *, 'review_pack_' || lpad((row_number() OVER (ORDER BY video_id, pack_no))::VARCHAR, 4, '0') AS pack_id FROM g""",
+    "review_bodies": f"""WITH RECURSIVE {UP}, {packed(REVIEW_PARTS)}, l AS (SELECT video_id, pack_no, list(text_exact ORDER BY r) AS t FROM v_packed GROUP BY ALL),
+      b AS (SELECT *, lag(t) OVER (PARTITION BY video_id ORDER BY pack_no) AS p FROM l), j AS (SELECT video_id, pack_no, array_to_string(list_concat(['# ' || video_id || ' part ' || pack_no],
+        list_transform(coalesce(p, [])[-3:], lambda x: '~ ' || x), list_transform(t, lambda x, i: lpad(i::VARCHAR, 4, '0') || '  ' || x)), chr(10)) AS body FROM b)
+      SELECT video_id, pack_no, length(body) AS chars, md5(body) AS digest FROM j""",
     "context_windows": f"""WITH {UP} SELECT piece_id, coalesce(string_agg(piece_id, ',') OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '') AS prev_context,
       coalesce(string_agg(piece_id, ',') OVER (w ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), '') AS next_context FROM v_pieces WINDOW w AS (PARTITION BY video_id ORDER BY unit_no, piece_no)""",
+    "reviewed_verdicts": f"WITH {VERDICTS} SELECT verdict, count(*) AS n FROM documents JOIN v_verdicts USING (doc_id) GROUP BY ALL",
+    "suffix_join": f"WITH {VERDICTS} SELECT doc_id, n_chars AS size_text, lang, length(verdict) AS size_verdict, verdict FROM documents LEFT JOIN v_verdicts USING (doc_id)",
+    "verdict_flags": "SELECT doc_id, concat_ws(',', CASE WHEN n_chars % 7 = 0 THEN 'clipped_end' END, CASE WHEN n_chars % 3 = 0 THEN 'clipped_start' END, CASE WHEN n_chars % 2 = 0 THEN 'noise_or_music' END) AS flags FROM documents",
+    "acceptance_rate": f"""WITH {U}, {AUDIT}, r AS (SELECT video_id, count(*) AS rows, count_if(audit_decision = 'ACCEPT_CAPTION_CANDIDATE') AS accepted FROM v_audit WHERE decision = 'KEEP_AUTO' GROUP BY ROLLUP (video_id))
+      SELECT coalesce(video_id, '(all)') AS video_id, rows, accepted, CASE WHEN rows = 0 THEN 0.0 ELSE round(accepted / rows, 6) END AS acceptance_rate FROM r""",
+    "display_text": f"WITH {U} SELECT video_id, unit_no, CASE WHEN unit_no % 2 = 1 THEN text WHEN unit_no % 6 = 0 THEN '' ELSE reverse(text) END AS display_text FROM v_units",
+    "source_audit": """SELECT 'd' || doc_id AS video_id, CASE WHEN doc_id % 7 = 3 THEN 'EXTRACT_FAIL' ELSE 'OK' END AS status, CASE WHEN doc_id % 7 <> 3 THEN source END AS title, CASE WHEN doc_id % 7 <> 3 THEN n_chars / 2 END AS duration_sec,
+      CASE WHEN doc_id % 7 = 3 THEN NULL WHEN doc_id % 5 IN (0, 1) THEN 'MANUAL_VI' WHEN doc_id % 5 = 2 THEN 'AUTO_VI' ELSE 'NEED_ASR' END AS candidate, CASE WHEN doc_id % 7 = 3 THEN 'timed out' END AS error FROM documents""",
+    "item_validation": f"""WITH {UP}, s AS (SELECT video_id, unit_no, piece_no, unit_no % 7 = 0 AND piece_no = 2 AS lost, CASE WHEN unit_no % 5 = 0 AND piece_no = 1 THEN '' ELSE text_exact END AS t, unit_no % 11 = 0 AND piece_no = 1 AS wrong FROM v_pieces WHERE unit_no % 13 <> 0),
+      r AS (SELECT video_id || '_' || unit_no AS id, string_agg(t, ' ' ORDER BY piece_no) FILTER (NOT lost) AS back, string_agg(CASE WHEN lost THEN 'SEGMENT_' || piece_no - 1 || '_NOT_OBJECT'
+        ELSE nullif(concat_ws(';', CASE WHEN t = '' THEN 'SEGMENT_' || piece_no - 1 || '_EMPTY_TEXT' END, CASE WHEN wrong THEN 'SEGMENT_' || piece_no - 1 || '_INVALID_LABEL:NOT_A_LABEL' END), '') END, ';' ORDER BY piece_no) AS each FROM s GROUP BY ALL),
+      e AS (SELECT u.video_id || '_' || u.unit_no AS pilot_id, concat_ws(';', CASE WHEN r.id IS NULL OR u.unit_no % 17 = 0 THEN 'PILOT_ID_MISMATCH' END, CASE WHEN r.id IS NULL THEN 'NO_SEGMENTS' END, each,
+        CASE WHEN {squeeze("coalesce(back, '')")} <> {squeeze("u.text")} AND r.id IS NOT NULL THEN 'TEXT_COVERAGE_MISMATCH' END) AS errors FROM v_units u LEFT JOIN r ON r.id = u.video_id || '_' || u.unit_no WHERE u.unit_no % 19 <> 0)
+      SELECT pilot_id, errors, CASE WHEN errors <> '' THEN 'Correct these errors: ' || replace(errors, ';', ', ') END AS feedback FROM e""",
+    "caption_scan": f"""WITH {WORDS}, {CAPTIONS}, n AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY event_index) AS k FROM v_captions) SELECT video_id, 2 * k - 1 AS event_index, start_ms / 1000 AS start_sec, end_ms / 1000 AS end_sec,
+      round((end_ms - start_ms) / 1000, 3) AS duration_sec, {clean('text')} AS text, regexp_matches({clean('text')}, '{TERMINAL}') AS ends_terminal_punctuation FROM n""",
+    "csv_round_trip": "SELECT doc_id, lang, md5(text) AS digest FROM documents",
+    "json_round_trip": "SELECT n_nationkey::VARCHAR AS task_id, n_name, n_regionkey FROM nation",
+    "first_file_scan": "SELECT DISTINCT 'n_regionkey=' || n_regionkey AS folder, '.parquet' AS suffix FROM nation",
+    "by_source_sink": f"WITH {U} SELECT video_id, unit_no, start_ms, end_ms, text FROM v_units",
+    "summary_sink": f"WITH {WORDS}, {CAPTIONS}, g AS (SELECT lead(start_ms) OVER (PARTITION BY video_id ORDER BY start_ms, event_index) - end_ms AS g FROM v_captions) SELECT "
+    + ", ".join(f'count_if(g >= {t}) AS "ge_{t}"' for t in THRESHOLDS) + " FROM g",
+    "failure_isolation": "SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN '' ELSE 'negative balance of customer ' || c_custkey END AS error FROM customer",
+    "event_run_match": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {EVENT_RUNS}",
+    "sentence_alignment": f"""WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {ALIGNED}""",
     "verdict_stats": f"""WITH {VERDICTS}, s AS (SELECT verdict, (n_chars % 100) / 100.0::DOUBLE AS x FROM v_verdicts JOIN documents USING (doc_id)) SELECT verdict, count(*) AS n, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.1), 6) AS p10,
       round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.9), 6) AS p90, count_if(x < 0.85) AS below_85 FROM s GROUP BY ALL""",
     "progress_rollup": f"""WITH {VERDICTS} SELECT coalesce(lang, '(all)') AS lang, count(*) AS total, count(verdict) AS reviewed, count_if(verdict = 'GOOD') AS good, count_if(verdict = 'BAD_TEXT') AS bad_text, count_if(verdict = 'BAD_BOUNDARY') AS bad_boundary,

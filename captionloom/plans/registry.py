@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from captionloom import params as P
 from captionloom.functions import text as tx
-from captionloom.functions.similarity import token_similarity
 from captionloom.operators import alignment as al
 from captionloom.operators import audit as au
 from captionloom.operators import captions as cp
@@ -18,6 +17,9 @@ from captionloom.operators import sampling as sm
 from captionloom.operators import segmentation as sg
 from captionloom.operators import timeline as tl
 from captionloom.plans import adapters as ad
+from captionloom.work import Work, numbered
+from captionloom.sources import readers as rd
+from captionloom.sources import sinks as sk
 
 Query = Callable[[SparkSession, str], DataFrame]
 _found: dict[str, Query] = {}
@@ -56,7 +58,14 @@ def v_captions(spark, sf):
 @query
 def clean_text(spark, sf):
     t = ad.table(spark, sf, "documents")
-    return t.select("doc_id", F.md5(tx.clean(F.col("text")).cast("binary")).alias("clean_md5"), F.length(tx.clean(F.col("text"))).alias("clean_chars"))
+    t = t.select("doc_id", tx.clean(F.col("text"), full_entities=True).alias("c"))
+    return t.select("doc_id", F.md5(F.col("c").cast("binary")).alias("clean_md5"), F.length("c").alias("clean_chars"))
+
+
+@query
+def unescaped_pages(spark, sf):
+    p = ad.table(spark, sf, "pages").select("page_id", tx.clean(F.col("html"), full_entities=True).alias("c"))
+    return p.select("page_id", F.md5(F.col("c").cast("binary")).alias("clean_md5"), F.length("c").alias("clean_chars"))
 
 
 @query
@@ -143,12 +152,36 @@ def user_overlaps(spark, sf):
     return tl.adjacent_overlaps(ad.intervals(spark, sf), "user_id", "event_id", "start_ms", "end_ms", 50, 250)
 
 
+def _repeats(rows, key, order):
+    """By source: rows whose normal form is that of the row before, and the share of different forms."""
+    w = Window.partitionBy(key).orderBy(order)
+    rows = rows.withColumn("norm", tx.lexical(F.col("text"))).withColumn("dup", F.coalesce(F.col("norm") == F.lag("norm").over(w), F.lit(False)))
+    return rows.groupBy(key).agg(F.count_if("dup").alias("consecutive"), F.round(F.countDistinct("norm") / F.count(F.lit(1)), 9).alias("unique_ratio"))
+
+
 @query
 def consecutive_dups(spark, sf):
-    c = ad.table(spark, sf, "conversations").withColumn("norm", tx.lexical(F.col("text")))
-    w = Window.partitionBy("role").orderBy("conv_id", "turn")
-    c = c.withColumn("dup", F.coalesce(F.col("norm") == F.lag("norm").over(w), F.lit(False)))
-    return c.groupBy("role").agg(F.count_if("dup").alias("consecutive"), F.round(F.countDistinct("norm") / F.count(F.lit(1)), 9).alias("unique_ratio"))
+    return _repeats(ad.table(spark, sf, "conversations"), "conv_id", "turn")
+
+
+@query
+def caption_repeats(spark, sf):
+    return _repeats(ad.captions(spark, sf), "video_id", "event_index")
+
+
+@query
+def long_pauses(spark, sf):
+    w = tl.word_gaps(ad.words(spark, sf)).where("gap_after_ms >= 300")
+    return w.select("video_id", "word_index", "gap_after_ms").orderBy(F.desc("gap_after_ms"), "video_id", "word_index")
+
+
+@query
+def interval_overlaps(spark, sf):
+    """Intervals of users as clips with padding."""
+    i = ad.intervals(spark, sf)
+    i = i.select("user_id", F.col("event_id").alias("clip_id"), F.col("start_ms").alias("raw_start_ms"), F.col("end_ms").alias("raw_end_ms"))
+    i = i.withColumn("cut_start_ms", F.col("raw_start_ms") - 120).withColumn("cut_end_ms", F.col("raw_end_ms") + 150)
+    return qc.boundary_overlaps(i, "user_id")
 
 
 # ---- units and pieces
@@ -197,6 +230,7 @@ def _events(spark, sf):
 
 @query
 def near_events(spark, sf):
+    sf = ad.timed(spark, sf)
     s = ad.segments(spark, sf).select("video_id", "segment_id", "start_ms", "end_ms")
     near = tl.interval_join(s, _events(spark, sf), "video_id", ("start_ms", "end_ms"), ("event_start", "event_end"), 3000, True)
     return near.groupBy("video_id", "segment_id").agg(F.count(F.lit(1)).alias("events"), F.min("event_index").alias("first_event"), F.max("event_index").alias("last_event"))
@@ -204,6 +238,10 @@ def near_events(spark, sf):
 
 @query
 def overlap_text(spark, sf):
+    return _overlap_text(spark, ad.timed(spark, sf))
+
+
+def _overlap_text(spark, sf):
     s = ad.segments(spark, sf).select("video_id", "segment_id", "start_ms", "end_ms")
     over = tl.interval_join(s, _events(spark, sf), "video_id", ("start_ms", "end_ms"), ("event_start", "event_end"))
     ordered = F.array_sort(F.collect_list(F.struct("event_start", "event_index", "event_text")))
@@ -212,6 +250,7 @@ def overlap_text(spark, sf):
 
 @query
 def overlap_weighted_mean(spark, sf):
+    sf = ad.timed(spark, sf)
     units = ad.units(spark, sf).select("video_id", F.concat_ws("_", "video_id", F.col("unit_no").cast("string")).alias("unit_id"), "start_ms", "end_ms")
     out = tl.overlap_mean(units, ad.consensus(spark, sf), "video_id", "unit_id", "token_similarity")
     return out.select("unit_id", F.round("mean", 6).alias("consensus"))
@@ -219,6 +258,7 @@ def overlap_weighted_mean(spark, sf):
 
 @query
 def segment_quality(spark, sf):
+    sf = ad.timed(spark, sf)
     w = ad.words(spark, sf).withColumn("clip_id", F.concat_ws("_", "video_id", F.floor(F.col("word_index") / 33).cast("string")))
     return sg.segment_quality(w, ad.segments(spark, sf), "video_id", "clip_id")
 
@@ -247,6 +287,7 @@ def aligned_union(spark, sf):
 
 @query
 def bucket_pairs(spark, sf):
+    sf = ad.timed(spark, sf)
     return tl.bucket_pairs(ad.segments(spark, sf), ad.captions(spark, sf))
 
 
@@ -268,6 +309,27 @@ def lowest_20_buckets(spark, sf):
     return c.orderBy("similarity", "video_id", "bucket").limit(20)
 
 
+@query
+def highest_20_buckets(spark, sf):
+    c = ad.consensus(spark, sf).select("video_id", "bucket", F.round("token_similarity", 9).alias("similarity"))
+    return c.orderBy(F.desc("similarity"), "video_id", "bucket").limit(20)
+
+
+@query
+def segment_overlap_consensus(spark, sf):
+    sf = ad.timed(spark, sf)
+    return al.overlap_consensus(ad.segments(spark, sf), _events(spark, sf))
+
+
+@query
+def density_flags(spark, sf):
+    sf = ad.timed(spark, sf)
+    s = ad.segments(spark, sf).join(_overlap_text(spark, sf), ["video_id", "segment_id"], "left")
+    n = lambda c: F.size(tx.tokens(F.coalesce(c, F.lit(""))))
+    rows = qc.density_flags(s, (F.col("end_ms") - F.col("start_ms")) / 1000.0, n("text"), n("caption_text"), n("text"))
+    return rows.select("video_id", "segment_id", F.round("tokens_per_sec", 6).alias("tokens_per_sec"), F.round("token_ratio", 6).alias("token_ratio"), "low_density", "high_ratio")
+
+
 @query
 def source_trust(spark, sf):
     c = ad.consensus(spark, sf).groupBy("video_id").agg(F.round(F.avg("token_similarity"), 6).alias("mean_similarity"))
@@ -306,7 +368,7 @@ def clip_candidates(spark, sf):
 @query
 def decision_summary(spark, sf):
     m = ad.manifest(spark, sf)
-    hours = F.round(F.sum(F.col("cut_end_ms") - F.col("cut_start_ms")) / 3_600_000, 6)
+    hours = qc.hours(F.sum(F.col("cut_end_ms") - F.col("cut_start_ms")))
     return m.groupBy("video_id", "decision").agg(F.count(F.lit(1)).alias("clips"), hours.alias("hours"), F.sum("word_count").alias("words"))
 
 
@@ -349,7 +411,37 @@ def balanced_pilot(spark, sf):
 
 @query
 def quota_pilot(spark, sf):
-    return sm.quota_pilot(_graded(spark, sf), 160).select("video_id", "clip_id", "pilot_reason", "place")
+    work = Work(spark, "quota")
+    return sm.quota_pilot(work.save(_graded(spark, sf), "graded"), 160, work).select("video_id", "clip_id", "pilot_reason", "place")
+
+
+@query
+def listening_queue(spark, sf):
+    return sm.listening_queue(sm.balanced_pilot(_graded(spark, sf)), Work(spark, "listening")).select("queue_no", "review_priority", "clip_id", "pilot_reason")
+
+
+@query
+def review_queue(spark, sf):
+    return sm.review_queue(_graded(spark, sf), Work(spark, "review")).select("queue_no", "clip_id", "quality_score")
+
+
+@query
+def queue_page(spark, sf):
+    return sm.page(review_queue(spark, sf), 20, 50)
+
+
+@query
+def balanced_counts(spark, sf):
+    """Fails unless every region has five nations."""
+    return qc.balanced(ad.table(spark, sf, "nation"), "n_regionkey", 5, 5)
+
+
+@query
+def first_values(spark, sf):
+    u = ad.units(spark, sf).select(
+        "video_id", "unit_no", F.when(F.col("unit_no") % 3 == 0, F.col("n_events")).alias("n_events"), F.when(F.col("terminated"), F.col("end_ms")).alias("end_ms")
+    )
+    return qc.first_values(u, ["n_events", "end_ms"], "unit_no")
 
 
 def _graded(spark, sf):
@@ -372,9 +464,10 @@ def middle_pick(spark, sf):
 
 @query
 def group_sample(spark, sf):
-    g = _graded(spark, sf)
-    auto = sm.spread_sample(g.where("decision = 'KEEP_AUTO'"), 5, "quality_score").withColumn("audit_group", F.lit("ACCEPT_CAPTION_CANDIDATE"))
-    held = sm.spread_sample(g.where("decision = 'REVIEW'"), 5, "quality_score").withColumn("audit_group", F.lit("REVIEW_ALIGNMENT"))
+    work = Work(spark, "group_sample")
+    g = work.save(_graded(spark, sf), "graded")
+    auto = sm.spread_sample(g.where("decision = 'KEEP_AUTO'"), 5, "quality_score", work, "auto").withColumn("audit_group", F.lit("ACCEPT_CAPTION_CANDIDATE"))
+    held = sm.spread_sample(g.where("decision = 'REVIEW'"), 5, "quality_score", work, "held").withColumn("audit_group", F.lit("REVIEW_ALIGNMENT"))
     return auto.unionByName(held).select("audit_group", "sample_order", "video_id", "clip_id")
 
 
@@ -389,36 +482,44 @@ def semantic_pilot(spark, sf):
 # ---- packs
 
 
-def _packed(spark, sf, budget: P.Budget, scale: int):
-    """Pieces in packs; the budget is divided by scale, as the test sources are short."""
-    small = P.Budget(budget.target // scale, budget.soft_max // scale, budget.hard_max // scale, budget.item_cost // scale)
-    items = ad.pieces(spark, sf).select("video_id", "unit_no", "piece_no", "piece_id", "text_exact", "char_count")
-    return cp.pack_by_budget(items, small, ["unit_no", "piece_no"], "char_count")
+def _packed(spark, sf, budget: P.Budget):
+    """Pieces in packs. A source is fifty documents in a row, as one alone fills no pack."""
+    doc = F.substring("video_id", 2, 18).cast("long")
+    items = ad.pieces(spark, sf).select(
+        F.concat(F.lit("g"), F.floor(doc / 50).cast("string")).alias("video_id"), doc.alias("doc_no"), "unit_no", "piece_no", "piece_id", "text_exact", "char_count"
+    )
+    return cp.pack_by_budget(Work(spark, "packs").save(items, "items"), budget, ["doc_no", "unit_no", "piece_no"], "char_count")
 
 
 @query
 def review_parts(spark, sf):
-    return _packed(spark, sf, P.REVIEW_PARTS, 50).select("video_id", "piece_id", "pack_no")
+    return _packed(spark, sf, P.REVIEW_PARTS).select("video_id", "piece_id", "pack_no")
 
 
 @query
 def semantic_tasks(spark, sf):
-    return _packed(spark, sf, P.TASKS_V2, 50).select("video_id", "piece_id", "pack_no")
+    return _packed(spark, sf, P.TASKS_V2).select("video_id", "piece_id", "pack_no")
 
 
 @query
 def semantic_tasks_v1(spark, sf):
-    return _packed(spark, sf, P.TASKS_V1, 50).select("video_id", "piece_id", "pack_no")
+    return _packed(spark, sf, P.TASKS_V1).select("video_id", "piece_id", "pack_no")
 
 
 @query
 def review_packs(spark, sf):
-    return _packed(spark, sf, P.REVIEW_PACKS, 50).select("video_id", "piece_id", "pack_no")
+    return _packed(spark, sf, P.REVIEW_PACKS).select("video_id", "piece_id", "pack_no")
 
 
 @query
 def pack_index(spark, sf):
-    return cp.pack_index(_packed(spark, sf, P.REVIEW_PACKS, 50), "piece_id", ["unit_no", "piece_no"], "char_count")
+    return cp.pack_index(_packed(spark, sf, P.REVIEW_PACKS), "piece_id", ["doc_no", "unit_no", "piece_no"], "char_count", Work(spark, "pack_index"))
+
+
+@query
+def review_bodies(spark, sf):
+    b = sk.review_texts(_packed(spark, sf, P.REVIEW_PARTS), ["doc_no", "unit_no", "piece_no"], "text_exact")
+    return b.select("video_id", "pack_no", F.length("body").alias("chars"), F.md5(F.col("body").cast("binary")).alias("digest"))
 
 
 @query
@@ -439,11 +540,13 @@ def _clips(spark, sf):
 
 @query
 def sentence_alignment(spark, sf):
-    return al.sentence_alignment(ad.caption_windows(_clips(spark, sf), ad.captions(spark, sf)))
+    sf = ad.timed(spark, sf)
+    return al.sentence_alignment(sf.work.save(ad.caption_windows(_clips(spark, sf), ad.captions(spark, sf)), "windows"))
 
 
 @query
 def token_subsequence(spark, sf):
+    sf = ad.timed(spark, sf)
     c = ad.caption_windows(_clips(spark, sf), ad.captions(spark, sf), 4000)
     c = c.select("clip_id", tx.tokens(F.col("text")).alias("w"), tx.tokens(F.coalesce("window_text", F.lit(""))).alias("c"))
     return c.withColumn("m", al.token_subsequence("w", "c")).select("clip_id", "m.similarity", "m.matched")
@@ -451,6 +554,7 @@ def token_subsequence(spark, sf):
 
 @query
 def event_run_match(spark, sf):
+    sf = ad.timed(spark, sf)
     pairs = tl.interval_join(_clips(spark, sf), _events(spark, sf), "video_id", ("raw_start_ms", "raw_end_ms"), ("event_start", "event_end"), 3000, True)
     return al.event_run_match(pairs)
 
@@ -461,6 +565,32 @@ def _verdicts(spark, sf):
     return ad.table(spark, sf, "labels").select("doc_id", v.alias("verdict"))
 
 
+@query
+def reviewed_verdicts(spark, sf):
+    d = ad.table(spark, sf, "documents").select("doc_id").join(_verdicts(spark, sf), "doc_id", "left")
+    done = au.reviewed_only(d.withColumn("verdict", F.coalesce("verdict", F.lit(" "))))
+    return done.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def suffix_join(spark, sf):
+    d, p = ad.table(spark, sf, "documents"), _verdicts(spark, sf)
+    left = d.select("doc_id", F.col("n_chars").alias("size"), "lang")
+    right = p.select("doc_id", F.length("verdict").alias("size"), "verdict")
+    return au.join_with_suffixes(left, right, "doc_id", ("_text", "_verdict"))
+
+
+@query
+def verdict_flags(spark, sf):
+    """Flags of a document by rules on its numbers, those that are allowed, sorted."""
+    n = F.col("n_chars")
+    flags = F.array_compact(
+        F.array(F.when(n % 2 == 0, "noise_or_music"), F.when(n % 3 == 0, "clipped_start"), F.when(n % 5 == 0, "other"), F.when(n % 7 == 0, "clipped_end"))
+    )
+    allowed = ["clipped_start", "clipped_end", "mid_phrase_cut", "too_much_silence", "noise_or_music", "speaker_issue"]
+    return ad.table(spark, sf, "documents").select("doc_id", F.array_join(au.allowed_flags(flags, allowed), ",").alias("flags"))
+
+
 @query
 def verdict_stats(spark, sf):
     d = ad.table(spark, sf, "documents").select("doc_id", ((F.col("n_chars") % 100) / 100.0).alias("similarity"))
@@ -491,6 +621,35 @@ def keep_audit(spark, sf):
     return _audited(spark, sf).select("clip_id", "audit_route", "audit_decision", "alignment_decision", "proposal_similarity")
 
 
+@query
+def acceptance_rate(spark, sf):
+    return qc.acceptance(_audited(spark, sf).where("decision = 'KEEP_AUTO'"), F.col("audit_decision") == "ACCEPT_CAPTION_CANDIDATE")
+
+
+@query
+def display_text(spark, sf):
+    u = ad.units(spark, sf)
+    group = F.when(F.col("unit_no") % 2 == 0, "ACCEPT_CAPTION_CANDIDATE").otherwise("REVIEW_ALIGNMENT")
+    u = u.select("video_id", "unit_no", "text", F.when(F.col("unit_no") % 6 != 0, F.reverse("text")).alias("proposal_text"), group.alias("audit_group"))
+    return au.display_text(u).select("video_id", "unit_no", "display_text")
+
+
+@query
+def source_audit(spark, sf):
+    """Captured metadata of documents, by rules: caption maps of three kinds, and some that failed."""
+    d, k = ad.table(spark, sf, "documents"), F.col("doc_id") % 5
+    one = lambda key: F.create_map(F.lit(key), F.lit("x"))
+    none = F.create_map().cast("map<string,string>")
+    info = F.struct(
+        F.col("source").alias("title"),
+        (F.col("n_chars") / 2).alias("duration"),
+        F.when(k == 0, one("vi")).when(k == 1, one("vi-VN")).otherwise(none).alias("subtitles"),
+        F.when(k == 2, one("vi.orig")).when(k == 3, one("video")).otherwise(none).alias("automatic_captions"),
+    )
+    failed = F.col("doc_id") % 7 == 3
+    return au.source_audit(d.select(F.concat(F.lit("d"), "doc_id").alias("video_id"), F.when(~failed, F.to_json(info)).alias("info"), F.when(failed, "timed out").alias("error")))
+
+
 @query
 def audit_rollup(spark, sf):
     return _audited(spark, sf).groupBy("video_id", "decision", "audit_route", "audit_decision").agg(F.count(F.lit(1)).alias("clips"))
@@ -518,6 +677,89 @@ def readiness(spark, sf):
     return au.readiness(_validated(spark, sf))
 
 
+@query
+def item_validation(spark, sf):
+    """Units as items, their pieces as results, some spoiled by rule."""
+    u = ad.units(spark, sf)
+    ident = F.concat_ws("_", "video_id", F.col("unit_no").cast("string"))
+    items = u.where("unit_no % 19 <> 0").select(ident.alias("pilot_id"), F.col("text").alias("source_text"))
+    n, k = F.col("unit_no"), F.col("piece_no")
+    text = F.when((n % 5 == 0) & (k == 1), "").otherwise(F.col("text_exact"))
+    label = F.when((n % 11 == 0) & (k == 1), "NOT_A_LABEL").otherwise("KEEP_CANDIDATE")
+    one = F.when((n % 7 == 0) & (k == 2), F.lit(None)).otherwise(F.struct(text.alias("text_exact"), label.alias("label")))
+    p = cp.pieces(u).where("unit_no % 13 <> 0").select(ident.alias("pilot_id"), "unit_no", F.struct("piece_no", one.alias("s")).alias("s"))
+    r = p.groupBy("pilot_id", "unit_no").agg(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["s"]).alias("segments"))
+    return au.validate_items(items, r.withColumn("result_id", F.when(n % 17 != 0, F.col("pilot_id")).otherwise(F.lit("other"))))
+
+
+# ---- sources and sinks
+
+
+@query
+def caption_scan(spark, sf):
+    """Captions as JSON3 documents, with an event without text before each caption, parsed again."""
+    c = ad.captions(spark, sf)
+    seg = lambda t: F.struct(t.alias("utf8"))
+    event = F.struct(
+        F.col("start_ms").cast("double").alias("tStartMs"),
+        (F.col("end_ms") - F.col("start_ms")).cast("double").alias("dDurationMs"),
+        F.array(seg(F.substring("text", 1, 3)), seg(F.expr("substring(text, 4)"))).alias("segs"),
+    )
+    blank = F.struct(F.col("start_ms").cast("double").alias("tStartMs"), F.lit(0.0).alias("dDurationMs"), F.array(seg(F.lit(" \n"))).alias("segs"))
+    ordered = F.array_sort(F.collect_list(F.struct("event_index", blank.alias("a"), event.alias("b"))))
+    docs = c.groupBy("video_id").agg(F.to_json(F.struct(F.flatten(F.transform(ordered, lambda x: F.array(x["a"], x["b"]))).alias("events"))).alias("content"))
+    e = rd.caption_events(docs)
+    return e.select("video_id", "event_index", "start_sec", "end_sec", F.round("duration_sec", 3).alias("duration_sec"), "text", "ends_terminal_punctuation")
+
+
+@query
+def csv_round_trip(spark, sf):
+    d, path = ad.table(spark, sf, "documents").select("doc_id", "lang", "text"), f"{Work(spark, 'csv').path}/documents"
+    sk.write_csv(d, path)
+    back = rd.csv_table(spark, path, "doc_id long, lang string, text string")
+    return back.select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query
+def json_round_trip(spark, sf):
+    n, path = ad.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("task_id"), "n_name", "n_regionkey"), f"{Work(spark, 'json').path}/tasks"
+    sk.write_tasks(n, path)
+    return rd.json_table(spark, path, "task_id string, n_name string, n_regionkey long")
+
+
+@query
+def first_file_scan(spark, sf):
+    """Nations written by region beside a text of the same folder; of each folder the first media file."""
+    n, path = ad.table(spark, sf, "nation"), f"{Work(spark, 'files').path}/nations"
+    n.repartition(2).write.partitionBy("n_regionkey").parquet(path)
+    n.select("n_regionkey", F.col("n_name").alias("value")).write.mode("append").partitionBy("n_regionkey").text(path)
+    f = rd.first_files(spark, path, "part-*", media_only=True)
+    return f.select("folder", F.regexp_extract("file_path", "(\\.[^./]+)$", 1).alias("suffix"))
+
+
+@query
+def by_source_sink(spark, sf):
+    path = f"{Work(spark, 'by_source').path}/units"
+    sk.write_by_source(ad.units(spark, sf).select("video_id", "unit_no", "start_ms", "end_ms", "text"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def summary_sink(spark, sf):
+    path = f"{Work(spark, 'summary').path}/gaps"
+    sk.write_summary(gap_histogram(spark, sf), path)
+    return spark.read.schema(", ".join(f"ge_{t} long" for t in (-450, -300, 0, 200, 300, 400, 500, 700, 1000, 1500)).replace("ge_-450", "`ge_-450`").replace("ge_-300", "`ge_-300`")).json(path)
+
+
+@query
+def failure_isolation(spark, sf):
+    """Customers whose balance can be booked, and the failures with their errors."""
+    c = ad.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    tried = sk.attempted(c, F.col("c_acctbal") >= 0, "ValueError", F.concat(F.lit("negative balance of customer "), F.col("c_custkey").cast("string")))
+    good, bad = sk.split_failures(tried)
+    return good.select("c_custkey", F.lit("").alias("error")).unionByName(bad.select("c_custkey", "error"))
+
+
 @query
 def manifest_digest(spark, sf):
     """A digest of each source's units and their number; equal tables have equal digests in any row order."""

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def write_by_source(df: DataFrame, path: str, key: str = "video_id") -> None:
-    """Parquet by source; only the sources in df are replaced. Spark's commit makes each write all or nothing."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    """Parquet by source, a file each; only the sources in df are replaced. Spark's commit makes each write all or nothing."""
+    df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = True) -> None:
@@ -41,6 +41,13 @@ def review_texts(items: DataFrame, order: list[str], text: str, key: str = "vide
     return packs.select(key, "pack_no", F.array_join(F.concat(head, F.transform(last, lambda t: F.concat(F.lit("~ "), t)), numbered), "\n").alias("body"))
 
 
+def attempted(rows: DataFrame, good: Column, error_type: str, error: Column, result: str = "result") -> DataFrame:
+    """Adds the struct result(ok, error_type, error) of a step that is good where `good` is true."""
+    ok = F.coalesce(good, F.lit(False))
+    found = F.struct(ok.alias("ok"), F.when(~ok, error_type).alias("error_type"), F.when(~ok, error).alias("error"))
+    return rows.withColumn(result, found)
+
+
 def split_failures(rows: DataFrame, result: str = "result") -> tuple[DataFrame, DataFrame]:
     """Rows whose result struct (ok, error_type, error) is good, and the failures with their errors."""
     good = rows.where(F.col(f"{result}.ok")).drop(result)

@@ -120,7 +120,9 @@ def test_spread_indices():
 
 def test_packs_never_split_items():
     assert cp.pack_numbers([10, 10, 10, 100, 5], P.Budget(20, 30, 30, 0)) == [1, 1, 1, 2, 3]
-    assert cp.pack_numbers([19, 19, 19], P.Budget(20, 30, 60, 1)) == [1, 2, 3] or cp.pack_numbers([19, 19, 19], P.Budget(20, 30, 60, 1)) == [1, 2, 3]
+    assert cp.pack_numbers([19, 19, 19], P.Budget(20, 30, 60, 1)) == [1, 2, 3]
+    assert cp.pack_numbers([18, 18, 18, 18], P.Budget(20, 30, 60, 1)) == [1, 1, 2, 2]
+    assert cp.pack_numbers([9, 9, 9, 9], P.Budget(100, 100, 30, 1)) == [1, 1, 1, 2]
     assert cp.pack_numbers([], P.REVIEW_PACKS) == []
 
 
