@@ -1,7 +1,7 @@
 """PNG images in binary columns: text payloads stored as 8-bit grey samples, read back and hashed.
 
 Encoding and decoding are written out here: chunks with CRC-32 tests, zlib streams, and the five row filters,
-which numpy undoes a row at a time (Up and Sub) or a pixel column at a time (Average and Paeth). The feature
+which numpy undoes a row at a time (Up and Sub) or a diagonal of samples at a time (Average and Paeth). The feature
 is a perceptual hash: the signs of the low-frequency cosine-transform coefficients against their median.
 """
 
@@ -56,33 +56,48 @@ def encode_png(samples: np.ndarray, level: int = 1, filters: tuple[int, ...] = (
 
 def unfilter(kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The samples (height x width, one byte each) of filtered rows."""
+    if kinds.size and kinds.max() > 4:
+        raise ValueError(f"unknown filter type {int(kinds.max())}")
     out = np.empty_like(rows)
     above = np.zeros(rows.shape[1], np.uint8)
-    for y, kind in enumerate(kinds.tolist()):
-        row = rows[y]
+    y = 0
+    while y < len(kinds):
+        kind = int(kinds[y])
+        if kind in (3, 4):
+            last = y + 1  # a run of rows with these filters is undone together
+            while last < len(kinds) and kinds[last] in (3, 4):
+                last += 1
+            out[y:last] = unfilter_diagonals(kinds[y:last], rows[y:last], above)
+            y, above = last, out[last - 1]
+            continue
         if kind == 0:
-            out[y] = row
+            out[y] = rows[y]
         elif kind == 1:
-            out[y] = np.add.accumulate(row, dtype=np.uint8)
-        elif kind == 2:
-            out[y] = row + above
-        elif kind in (3, 4):
-            left = corner = 0
-            line = out[y]
-            for x, (value, up) in enumerate(zip(row.tolist(), above.tolist(), strict=True)):
-                if kind == 3:
-                    guess = (left + up) // 2
-                else:
-                    to_left, to_up, to_corner = abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)
-                    guess = left if to_left <= to_up and to_left <= to_corner else up if to_up <= to_corner else corner
-                left, corner = (value + guess) & 255, up
-                line[x] = left
+            out[y] = np.add.accumulate(rows[y], dtype=np.uint8)
         else:
-            raise ValueError(f"unknown filter type {kind}")
-        above = out[y]
+            out[y] = rows[y] + above
+        y, above = y + 1, out[y]
     return out
 
 
+def unfilter_diagonals(kinds: np.ndarray, rows: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """Rows with the filters Average (3) and Paeth (4). A sample needs those to its left, above it and between them, so all
+    samples of a diagonal from lower left to upper right are undone at once."""
+    height, width = rows.shape
+    full = np.zeros((height + 1, width + 1), np.int16)  # with the row above and a column of zeros
+    full[0, 1:] = above
+    average = kinds == 3
+    for d in range(height + width - 1):
+        y = np.arange(max(0, d - width + 1), min(height, d + 1))
+        x = d - y
+        left, up, corner = full[y + 1, x], full[y, x + 1], full[y, x]
+        to_left, to_up, to_corner = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+        paeth = np.where((to_left <= to_up) & (to_left <= to_corner), left, np.where(to_up <= to_corner, up, corner))
+        guess = np.where(average[y], (left + up) >> 1, paeth)
+        full[y + 1, x + 1] = (rows[y, x] + guess) & 255
+    return full[1:, 1:].astype(np.uint8)
+
+
 def decode_png(data: bytes) -> np.ndarray:
     """The samples of an 8-bit grey PNG without interlacing. Raises ValueError for damaged or other files."""
     if data[:8] != SIGNATURE:
