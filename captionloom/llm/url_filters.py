@@ -1,7 +1,7 @@
 """URL allow and block lists by a trie over reversed host labels and path segments.
 
 The rules are compiled once on the driver into nested dictionaries keyed by host labels from the right and
-then by path segments from the left, and sent to the executors with the function. A lookup walks at most as
+then by path segments from the left, and broadcast: an executor holds them once. A lookup walks at most as
 many levels as the url has labels and segments, whatever the number of rules. The rule list is an argument
 of the caller and is refused above MAX_RULES, beyond which it would have to be a table joined on its keys.
 """
@@ -100,14 +100,15 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, defa
     A null url, or one without '://', has an empty host and path and gets the default. A null page_id and
     repeated rows are kept as they are. Other columns are ignored. An empty table gives no rows.
     """
-    trie = build_trie(rules)
+    trie = pages.sparkSession.sparkContext.broadcast(build_trie(rules))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root = trie.value
         for batch in batches:
             hosts, paths, names, verdicts = [], [], [], []
             for url in batch.column(1).to_pylist():
                 host, path = split_url(url)
-                rule, verdict = longest(trie, host, path) or (None, default)
+                rule, verdict = longest(root, host, path) or (None, default)
                 hosts.append(host)
                 paths.append(path)
                 names.append(rule)
