@@ -2,42 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-class Work:
-    """A folder of this run below the shared folder that the session names.
-
-    Intermediate tables are written there and read again, so that lineage is cut by files which every
-    executor can read and a lost executor costs no recomputation. Where the session names no folder
-    (local tests), this process makes one of its own.
-    """
-
-    own: str | None = None
-
-    def __init__(self, spark: SparkSession, label: str):
-        base = spark.conf.get(CHECKPOINT_DIR, None)
-        if not base:
-            Work.own = base = Work.own or tempfile.mkdtemp(prefix="captionloom-")
-        self.spark = spark
-        self.path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes df and returns the written table."""
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+from captionloom.work import Work
 
-    def drop(self, *names: str) -> None:
-        """Deletes tables that nothing reads any more."""
-        for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["Work", "crc_fold", "pieces", "table", "texts"]
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:

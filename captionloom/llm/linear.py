@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from .common import crc_fold, texts
 
+#: Characters of the labelled documents that a classifier is fitted on.
+SAMPLE_CHARS = 100_000_000
+
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(np.asarray(x, float) / 2))
@@ -18,6 +21,8 @@ class Logistic:
 
     def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 40):
         x, y = np.asarray(x, float), np.asarray(y, float)
+        if not y.size:
+            x, y = np.zeros((1, x.shape[-1])), np.zeros(1)
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0)
         self.scale[self.scale < 1e-9] = 1.0
         z = self._design(x)
@@ -45,22 +50,36 @@ class Logistic:
         return sigmoid(self._design(x) @ self.weights)
 
 
+def known_labels(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
+    """doc_id, label of documents that are not held out; of labels that contradict each other the smaller counts."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label is not null")
+    return known.where(crc_fold(F.col("doc_id"), folds) != held_out).groupBy("doc_id").agg(F.min("label").alias("label"))
+
+
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: dict[int, int]
+    docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: dict[int, int], most_chars: int = SAMPLE_CHARS
 ) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most most[k] documents of each label k that are not held out.
+    """Texts and labels of at most most[k] documents of each label k that are not held out, most_chars characters in all.
 
     The ids are taken in the order of a hash, so the sample is the same on every run and its size is bounded
-    whatever the corpus; the ids (and only they) are broadcast to the scan of the texts.
+    whatever the corpus; the ids (and only they) are broadcast to the scans of the texts. Of several texts of an id
+    one is taken. A document that would go beyond most_chars is left out, whole.
     """
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label is not null")
-    known = known.where(crc_fold(F.col("doc_id"), folds) != held_out).dropDuplicates(["doc_id"])
-    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    known = known_labels(labels, label, folds, held_out).join(docs.select("doc_id"), "doc_id", "left_semi")
     ids = None
     for value, n in most.items():
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         ids = part if ids is None else ids.unionByName(part)
-    ids = docs.sparkSession.createDataFrame(ids.collect(), "doc_id long, label int")
-    rows = texts(docs).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").collect()
-    rows = sorted({r.doc_id: r for r in rows}.values(), key=lambda r: r.doc_id)
-    return [r.text for r in rows], np.array([r.label for r in rows], int)
+    spark, wanted = docs.sparkSession, {r.doc_id: r.label for r in ids.collect()}
+
+    def of(ids: list[int]) -> DataFrame:
+        return texts(docs).join(F.broadcast(spark.createDataFrame([(i,) for i in ids], "doc_id long")), "doc_id").groupBy("doc_id")
+
+    sizes = {r.doc_id: r.n for r in of(list(wanted)).agg(F.length(F.min("text")).alias("n")).collect()} if wanted else {}
+    chosen, used = [], 0
+    for doc_id in wanted:
+        if used + sizes.get(doc_id, 0) <= most_chars:
+            chosen.append(doc_id)
+            used += sizes.get(doc_id, 0)
+    rows = sorted(of(chosen).agg(F.min("text").alias("text")).collect()) if chosen else []
+    return [r.text for r in rows], np.array([wanted[r.doc_id] for r in rows], int)

@@ -3,13 +3,13 @@
 Each line has features of its own and of its neighbours. A two-state chain (good, bad) is fitted on lines that
 inherit the labels of their documents; forward-backward sums give each line's marginal probability of being
 good. A document's quality is the mean of its lines' marginals weighted by their lengths, put through a logistic
-calibration that is fitted on the same bounded sample.
+calibration that is fitted on a third of the sample, which the field has not seen.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
@@ -23,7 +23,7 @@ from .linear import Logistic, labelled_sample
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 #: The field is fitted on at most this many labelled documents of each kind.
 MAX_EACH = 1500
-#: Lines, padding included, of the documents that training takes together; a longer document stands alone.
+#: Lines, padding included, of the documents that are taken together; a longer document stands alone.
 PADDED_LINES = 80_000
 STEPS, RATE, RIDGE = 100, 0.1, 1e-3
 
@@ -80,6 +80,16 @@ def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return x, np.array([len(line) + 1 for line in lines], float)
 
 
+def together(lengths: list[int], most: int) -> list[list[int]]:
+    """Documents of like length in groups of at most `most` documents, and PADDED_LINES lines or one document."""
+    groups: list[list[int]] = []
+    for i in np.argsort(lengths, kind="stable").tolist():
+        if not groups or len(groups[-1]) >= most or (len(groups[-1]) + 1) * lengths[i] > PADDED_LINES:
+            groups.append([])
+        groups[-1].append(i)
+    return groups
+
+
 def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
@@ -117,8 +127,7 @@ class Field:
     def marginals(self, rows: list[np.ndarray]) -> list[np.ndarray]:
         """Of each document's lines, their probability of being good. Documents of like length are padded together."""
         out: list[np.ndarray] = [None] * len(rows)
-        order = np.argsort([len(x) for x in rows], kind="stable")
-        for ids in np.array_split(order, max(1, len(rows) // TOGETHER)):
+        for ids in together([len(x) for x in rows], TOGETHER):
             emit = np.zeros((len(ids), max(len(rows[i]) for i in ids), 2))
             real = np.zeros(emit.shape[:2], bool)
             for k, i in enumerate(ids):
@@ -141,22 +150,26 @@ class Field:
 
 
 def train(texts_: list[str], labels: np.ndarray) -> Field:
+    """The field from two thirds of the sample, its calibration from the rest; a small sample serves both."""
+    part = np.arange(labels.size) % 3 != 2 if labels.size >= 300 else np.ones(labels.size, bool)
+    field = fit([t for t, p in zip(texts_, part, strict=True) if p], labels[part])
+    rest = ~part if not part.all() else part
+    seen = field.aggregate([t for t, p in zip(texts_, rest, strict=True) if p])
+    return replace(field, calibration=Logistic(seen, labels[rest]))
+
+
+def fit(texts_: list[str], labels: np.ndarray) -> Field:
     """Gradient ascent (Adam) on the penalised likelihood of the line labels."""
     width = 3 * OWN + 2
     rows = [document_features(t)[0] for t in texts_]
     if not rows:
         zero = np.zeros(width)
-        return Field(zero, zero + 1, np.zeros((width + 1, 2)), np.zeros((2, 2)), Logistic(np.zeros((1, 3)), np.ones(1)))
+        return Field(zero, zero + 1, np.zeros((width + 1, 2)), np.zeros((2, 2)), None)
     flat = np.concatenate(rows)
     mean, scale = flat.mean(axis=0), flat.std(axis=0)
     scale[scale < 1e-6] = 1
-    order = np.argsort([len(r) for r in rows], kind="stable")
-    groups, batches = [], [[]]
-    for i in order:  # documents of like length are padded together, to so many lines at most or one document
-        if batches[-1] and (len(batches[-1]) + 1) * len(rows[i]) > PADDED_LINES:
-            batches.append([])
-        batches[-1].append(i)
-    for ids in map(np.array, batches):
+    groups = []
+    for ids in map(np.array, together([len(r) for r in rows], len(rows))):
         most = max(len(rows[i]) for i in ids)
         x, real = np.zeros((len(ids), most, width + 1)), np.zeros((len(ids), most), bool)
         for k, i in enumerate(ids):
@@ -181,8 +194,7 @@ def train(texts_: list[str], labels: np.ndarray) -> Field:
             m += 0.1 * (slope - m)
             v += 0.01 * (slope * slope - v)
             value += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    field = Field(mean, scale, weights, move, None)
-    return Field(mean, scale, weights, move, Logistic(field.aggregate(texts_), labels))
+    return Field(mean, scale, weights, move, None)
 
 
 def score_quality(
@@ -201,7 +213,8 @@ def score_quality(
     input row itself as the struct row, which saves a join where documents are to be filtered.
 
     A null text is empty: one empty line. A null doc_id counts as the empty string for held_out. Labels that are
-    null or of no document are passed over; without labels of both kinds the score is their share. Repeated
+    null or of no document are passed over, of labels that contradict each other the smaller counts, of several texts of an
+    id one is learned from; without labels of both kinds the score is their share. Repeated
     rows have equal scores. Other columns are ignored; an empty table gives no rows.
     """
     sample, known = labelled_sample(docs, labels, "quality", folds, held_out, {1: max_each, 0: max_each})

@@ -4,7 +4,8 @@ A text is cut into windows of a few words. Each window is compressed twice, with
 text and with one trained on toxic text; what the second saves over the first tells how much of the window it
 knows. The toxic dictionary ends in the ordinary one's content, so that ordinary words cost alike in both and the
 difference is due to what is typical of toxic text alone. A document's largest savings and the numbers of windows
-above thresholds go through a logistic calibration fitted on labelled documents.
+above thresholds, which are calibrated by how often ordinary windows reach them, go through a logistic calibration
+fitted on labelled documents.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 #: A word or phrase is typical of toxic text if it stands between this many different pairs of words there, at LIFT
 #: times the ordinary rate.
 CONTEXTS, LIFT = 8, 30.0
-#: Words of ordinary text that the dictionary is trained on.
-TRAINING_WINDOWS = 40_000
-SAVINGS = (2, 4, 6)
+#: Characters of these documents in all.
+MAX_CHARS = 20_000_000
+#: Windows are counted above the savings that so few ordinary windows of the calibration part reach.
+RATES = (1e-2, 1e-3, 2e-4)
 #: Ordinary training windows that save at least HARD bytes, of which HARD_BYTES go into both dictionaries.
 HARD, HARD_BYTES = 3, 12288
 LEVEL, MIN_MATCH = 12, 3
@@ -51,11 +53,6 @@ def trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
-def spread(rows: list, most: int) -> list:
-    """At most `most` of the rows, evenly spaced."""
-    return rows if len(rows) <= most else [rows[k * len(rows) // most] for k in range(most)]
-
-
 def phrases(words: list[bytes], size: int) -> Iterator[tuple[int, bytes]]:
     """The runs of size words, each with its place."""
     return ((k, b" ".join(words[k : k + size])) for k in range(len(words) - size + 1))
@@ -97,6 +94,7 @@ class Model:
     toxic: bytes
     calibration: Logistic
     window: int
+    limits: tuple[int, ...] = ()
 
     def compressors(self):
         out = []
@@ -114,9 +112,11 @@ class Model:
         return np.array([len(ordinary(x)) - len(toxic(x)) for x in parts] or [0])
 
     def features(self, text: str, compressors) -> list[float]:
-        saved = self.savings(windows(text, self.window), compressors)
+        return self.describe(self.savings(windows(text, self.window), compressors))
+
+    def describe(self, saved: np.ndarray) -> list[float]:
         top = np.sort(saved)[-3:]
-        counts = [np.log1p(int((saved >= t).sum())) for t in SAVINGS]
+        counts = [np.log1p(int((saved >= t).sum())) for t in self.limits]
         return [float(top[-1]), float(top.mean()), *counts, float(np.log1p(saved.size))]
 
 
@@ -127,21 +127,24 @@ def train(texts_: list[str], labels: np.ndarray, window: int = WINDOW) -> Model:
     split = {k: [texts_[i].encode().lower().split() for i in fit if labels[i] == k] for k in (0, 1)}
     marked = typical(split[1], split[0], window)
     plain = [x for words in split[0] for x in (b" " + b" ".join(words[k : k + window]) + b" " for k in range(0, len(words), window))]
-    ordinary = trained(spread(plain, TRAINING_WINDOWS), ORDINARY_BYTES)
-    words = trained(spread(marked, TRAINING_WINDOWS), TOXIC_BYTES)
+    ordinary = trained(plain, ORDINARY_BYTES)
+    words = trained(marked, TOXIC_BYTES)
     model = Model(ordinary, words + ordinary, None, window)
     # ordinary windows in which the toxic dictionary saves most are added to both, where they cost alike from then on
-    saved = model.savings(spread(plain, TRAINING_WINDOWS), model.compressors())
-    hard = [x for n, x in sorted(zip((-saved).tolist(), spread(plain, TRAINING_WINDOWS), strict=False)) if n <= -HARD]
+    different = list(dict.fromkeys(plain))
+    saved = model.savings(different, model.compressors())
+    hard = [x for n, x in sorted(zip((-saved).tolist(), different, strict=False)) if n <= -HARD]
     ordinary = b"".join(dict.fromkeys(hard))[:HARD_BYTES] + ordinary
     toxic = words + ordinary
     model = Model(ordinary, toxic, None, window)
     use = np.arange(labels.size) if part.all() else np.flatnonzero(~part)
-    if not use.size:
-        return Model(ordinary, toxic, Logistic(np.zeros((1, 3 + len(SAVINGS))), np.zeros(1)), window)
     tools = model.compressors()
-    x = np.array([model.features(texts_[i], tools) for i in use])
-    return Model(ordinary, toxic, Logistic(x, labels[use]), window)
+    found = [model.savings(windows(texts_[i], window), tools) for i in use]
+    usual = np.concatenate([np.zeros(1, int), *(x for x, i in zip(found, use, strict=True) if labels[i] == 0)])
+    limits = tuple(max(1, int(np.quantile(usual, 1 - r, method="lower")) + 1) for r in RATES)
+    model = Model(ordinary, toxic, None, window, limits)
+    x = np.array([model.describe(saved) for saved in found]).reshape(-1, 3 + len(limits))
+    return Model(ordinary, toxic, Logistic(x, labels[use]), window, limits)
 
 
 def score_toxicity(
@@ -161,11 +164,11 @@ def score_toxicity(
     input row itself as the struct row, which saves a join where documents are to be filtered.
 
     A null text is empty, and an empty text has a score like any other. A null doc_id counts as the empty
-    string for held_out. Labels that are null or of no document are passed over; without labels of both kinds
-    the score is their share. Repeated rows have equal scores. Other columns are ignored; an empty table gives
+    string for held_out. Labels that are null or of no document are passed over, of labels that contradict each other
+    the smaller counts, of several texts of an id one is learned from; without labels of both kinds the score is their share. Repeated rows have equal scores. Other columns are ignored; an empty table gives
     no rows.
     """
-    sample, known = labelled_sample(docs, labels, "toxic", folds, held_out, {1: max_toxic, 0: max_ordinary})
+    sample, known = labelled_sample(docs, labels, "toxic", folds, held_out, {1: max_toxic, 0: max_ordinary}, MAX_CHARS)
     model = train(sample, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -407,7 +407,7 @@ def test_quality(spark):
 def test_quality_learns_from_all_lines():
     rng = random.Random(3)
     rows = ["\n".join("a" * rng.randint(1, 9) + (" !!!" if k > 220 and y else " b") for k in range(300)) for y in (0, 1) * 5]
-    field = qc.train(rows, np.array([1, 0] * 5))
+    field = qc.fit(rows, np.array([1, 0] * 5))
     assert np.allclose(field.mean, np.concatenate([qc.document_features(t)[0] for t in rows]).mean(axis=0))
 
 
