@@ -2,9 +2,11 @@
 
 Where no piece of a model has a white-space marker after another character, no piece can cross from one
 marked word (a run of markers and what follows up to the next) into another, so a text's ids are the ids of
-its marked words in order. Each task keeps a table of the marked words it has met and lets the library
-segment each of them once; ids are joined back by position. The table is bounded: when it is full it is
-begun anew, so memory does not depend on the vocabulary of the corpus.
+its marked words in order. The marked words of the corpus go into one table, in which each is segmented once.
+
+Texts are not shuffled to meet that table: a task numbers the different marked words of a block of texts and writes the
+block as numbers. A row for each different word of a block is joined with the table, and the ids go back into the block by
+position. Blocks have a bounded number of words, of which the different ones alone are shuffled.
 """
 
 from __future__ import annotations
@@ -13,34 +15,34 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, texts
+from .common import Work, pieces, texts
 
 MARK = "▁"
-#: Distinct marked words that a worker keeps.
-TABLE = 400_000
-#: Words longer than this are segmented without being kept.
-LONG_WORD = 64
+#: Marked words of a block; a longer text is a block of its own.
+BLOCK_WORDS = 4_000_000
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 class ChunkEncoder:
-    """Encodes texts exactly as the library's encode() with the model at path."""
+    """The library's model at path, and the marked words of texts."""
 
-    def __init__(self, path: str, table: int = TABLE):
+    def __init__(self, path: str):
         import sentencepiece
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces_ = [self.lib.id_to_piece(k) for k in range(self.lib.get_piece_size())]
         # a model whose pieces cross marked words, or that changes texts before it cuts them, has no chunks to share
         crossing = any(MARK in p.lstrip(MARK) for p in pieces_)
-        plain = all(self.lib.normalize(x) == MARK + x.replace(" ", MARK) for x in ("a  b ", " \t x", "ÅÅ ﬁ"))
+        plain = all(self.lib.normalize(x) == MARK + x.replace(" ", MARK) for x in ("a  b ", " \t x", "ÅÅ ﬁ"))
         self.shared = plain and not crossing
         self.mark = self.lib.piece_to_id(MARK)
-        self.limit, self.table = table, {}
 
     def segment(self, words: list[str]) -> list[tuple[int, str, str]]:
         """Of each marked word, given without its first marker: number of ids, ids joined by commas, decoded."""
@@ -50,33 +52,19 @@ class ChunkEncoder:
         return [(len(ids), ",".join(map(str, ids)), text) for ids, text in zip(found, decoded, strict=True)]
 
     def words(self, text: str) -> list[str]:
-        """The marked words of a text that is not empty, each without its first marker."""
+        """The marked words of a text, each without its first marker."""
+        if not text:
+            return []
         if "  " not in text and MARK not in text and text[0] != " ":
             return text.split(" ")
         return [x[1:] for x in CHUNKS.findall(MARK + text.replace(" ", MARK))]
 
-    def run(self, batch: list[str]) -> list[tuple[int, str, str]]:
-        """Of each text: number of ids, ids in decimal joined by commas, and what the library decodes from them."""
-        if not self.shared:
-            ids = self.lib.encode(batch, num_threads=1)
-            return [(len(x), ",".join(map(str, x)), y) for x, y in zip(ids, self.lib.decode(ids), strict=True)]
-        cut = [self.words(text) if text else [] for text in batch]
-        if len(self.table) >= self.limit:
-            self.table.clear()
-        table = self.table
-        missing = list({word for words in cut for word in words if word not in table})
-        fresh = dict(zip(missing, self.segment(missing), strict=True))
-        longer = {w: fresh[w] for w in missing if len(w) > LONG_WORD}
-        table.update((w, x) for w, x in fresh.items() if len(w) <= LONG_WORD)
-        out = []
-        for words in cut:
-            rows = [table.get(w) or longer[w] for w in words]
-            # a marked word decodes without the marker in front, which stands for the space before it
-            out.append((sum(r[0] for r in rows), ",".join([r[1] for r in rows]), " ".join([r[2] for r in rows])))
-        return out
+    def whole(self, batch: list[str]) -> list[tuple[int, str, str]]:
+        """As segment(), of whole texts."""
+        ids = self.lib.encode(batch, num_threads=1)
+        return [(len(x), ",".join(map(str, x)), y) for x, y in zip(ids, self.lib.decode(ids), strict=True)]
 
 
-SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -86,28 +74,116 @@ def encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
-def encode_and_decode(docs: DataFrame, model: str, digest: bool = False) -> DataFrame:
+def output(digest: bool) -> tuple[str, list[str], list[pa.DataType]]:
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "doc_id long, ids array<int>, decoded string"
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()] if digest else [pa.int64(), pa.list_(pa.int32()), pa.string()]
+    return schema, [x.split()[0] for x in schema.split(", ")], kinds
+
+
+def arranged(rows: list[tuple[int, str, str]], digest: bool) -> list[tuple]:
+    """(number of ids, ids, decoded) as the columns of the output but doc_id."""
+    if digest:
+        return [(n, *(hashlib.sha256(x.encode()).hexdigest() for x in found)) for n, *found in rows]
+    return [(list(map(int, ids.split(","))) if n else [], text) for n, ids, text in rows]
+
+
+BLOCK = "block long, ids array<long>, sizes binary, numbers binary, words array<string>"
+BLOCK_ARROW = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.string())]
+
+
+def squeeze(values: list[int]) -> bytes:
+    """Unsigned 32-bit integers by byte planes, compressed."""
+    planes = np.array(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
+    """Blocks of documents: their ids, how many marked words each has, the words as numbers, and the different words."""
+    names = [x.split()[0] for x in BLOCK.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, block = encoder(model), TaskContext.get().partitionId() << 32
+        ids, sizes, numbers, table = [], [], [], {}
+
+        def row() -> pa.RecordBatch:
+            values = [block, ids, squeeze(sizes), squeeze(numbers), list(table)]
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, BLOCK_ARROW, strict=True)], names)
+
+        for batch in pieces(batches):
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = codec.words(text)
+                ids.append(doc_id)
+                sizes.append(len(words))
+                numbers.extend([table.setdefault(w, len(table)) for w in words])
+                if len(numbers) >= block_words:
+                    yield row()
+                    block += 1
+                    ids, sizes, numbers, table = [], [], [], {}
+        if ids:
+            yield row()
+
+    return texts(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, BLOCK)
+
+
+def segmented(words: DataFrame, model: str) -> DataFrame:
+    """words(word), distinct -> word, n, ids, decoded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = encoder(model)
+        for batch in pieces(batches, 10_000):
+            rows = codec.segment(batch.column(0).to_pylist())
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["word", "n", "ids", "decoded"])
+
+    return words.mapInArrow(run, "word string, n int, ids string, decoded string")
+
+
+def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Encodes each text of docs(doc_id, text) with the SentencePiece model at path model and decodes the ids.
 
     Returns one row per input row: doc_id, ids (array of int) and decoded; with digest instead n_tokens,
     ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 (of the decoded text in UTF-8).
 
     A null text is empty and has no ids. A null doc_id and repeated rows are kept as they are; other columns
-    are ignored. An empty table gives no rows. The model file must be at the same path on every executor.
+    are ignored. An empty table gives no rows. The model file must be at the same path on every executor. Texts go to
+    the library whole if the model's pieces cross marked words.
     """
+    schema, names, kinds = output(digest)
+
+    def table(ids: list, rows: list[tuple]) -> list[pa.Array]:
+        return [pa.array(ids, kinds[0]), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds[1:]))]
+
+    if not encoder(model).shared:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches):
+                rows = arranged(encoder(model).whole(batch.column(1).to_pylist()), digest)
+                yield pa.RecordBatch.from_arrays(table(batch.column(0).to_pylist(), rows), names)
+
+        return texts(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+    work = Work(docs.sparkSession, "sentencepiece")
+    blocks = work.save(word_blocks(docs, model, block_words), "blocks")
+    chunks = work.save(segmented(blocks.select(F.explode("words").alias("word")).distinct(), model), "chunks")
+    own = blocks.select(F.col("block").alias("asked"), F.posexplode("words").alias("at", "word"))
+    answers = own.join(chunks, "word").select("asked", "at", "n", "ids", "decoded")
+
+    def back(block: pa.Table, found: pa.Table) -> pa.Table:
+        (row,) = block.to_pylist()
+        order = np.argsort(found["at"].to_numpy())
+        n = found["n"].to_numpy()[order]
+        ids, decoded = (np.array(found[c].to_pylist(), object)[order] for c in ("ids", "decoded"))
+        numbers, ends = unsqueeze(row["numbers"]), np.cumsum(unsqueeze(row["sizes"]), dtype=np.int64)
+        rows = []
+        for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            at = numbers[start:end]
+            # a marked word decodes without the marker in front, which stands for the space before it
+            rows.append((int(n[at].sum()), ",".join(ids[at]), " ".join(decoded[at])))
+        return pa.Table.from_arrays(table(row["ids"], arranged(rows, digest)), names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(model)
-        for batch in pieces(batches):
-            rows = codec.run(batch.column(1).to_pylist())
-            if digest:
-                rows = [(n, *(hashlib.sha256(x.encode()).hexdigest() for x in found)) for n, *found in rows]
-            else:
-                rows = [(list(map(int, ids.split(","))) if n else [], text) for n, ids, text in rows]
-            kinds = [pa.int64(), pa.string(), pa.string()] if digest else [pa.list_(pa.int32()), pa.string()]
-            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
-
-    schema = SCHEMA if digest else "doc_id long, ids array<int>, decoded string"
-    names = [x.split()[0] for x in schema.split(", ")]
-    return texts(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return blocks.drop("words").groupBy("block").cogroup(answers.groupBy("asked")).applyInArrow(back, schema)

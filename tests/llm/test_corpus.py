@@ -304,9 +304,14 @@ def test_sentencepiece(spark):
     path = tokenizer_file("piece_bpe_32k.model")
     lib = sc.ChunkEncoder(path).lib
     rows = awkward() + [(300 + n, t) for n, t in enumerate([" ", "  a", "a  ", "▁x ▁", "\n\n a", "<s> </s>", "﻿a ﬁ"])]
-    got = sc.encode_and_decode(table(spark, rows), path).collect()
     want = sorted((str(i), tuple(lib.encode(t or "")), lib.decode(lib.encode(t or ""))) for i, t in rows)
-    assert sorted((str(r.doc_id), tuple(r.ids), r.decoded) for r in got) == want
+    for block_words in (sc.BLOCK_WORDS, 50):
+        got = sc.encode_and_decode(table(spark, rows), path, block_words=block_words).collect()
+        assert sorted((str(r.doc_id), tuple(r.ids), r.decoded) for r in got) == want
+    # the table has each marked word of the corpus once
+    blocks = sc.word_blocks(table(spark, rows), path, 50)
+    words = [r.word for r in sc.segmented(blocks.select(F.explode("words").alias("word")).distinct(), path).collect()]
+    assert sorted(words) == sorted({w for _, t in rows for w in sc.ChunkEncoder(path).words(t or "")})
     assert sc.encode_and_decode(table(spark, []), path, digest=True).count() == 0
 
 
