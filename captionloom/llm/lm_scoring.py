@@ -8,9 +8,9 @@ likely. The final model uses the counts of both parts.
 Counts cover the whole corpus and are looked up for every token of every document without a row per token. Tokens
 of a task's documents are numbered within a block. A block asks for the counts of its distinct n-grams in packed,
 sorted slices, one per key range; the task of a key range adds up what all blocks have counted there and answers
-each block in the order of its question. So the shuffle carries each block's distinct n-grams at some five bytes
-each; blocks have a bounded number of tokens and key ranges a bounded number of n-grams, both growing in number
-with the corpus. Only sums, and a histogram of bounded size for the weights, reach the driver.
+each block in the order of its question. So the shuffle carries each block's distinct n-grams, at some five bytes
+each while ranges are fewer than a block's n-grams and at most as a row each beyond; blocks have a bounded number of
+tokens and key ranges a bounded number of n-grams, both growing in number with the corpus. Only sums, and a histogram of bounded size for the weights, reach the driver.
 
 Words are known by their 64-bit hashes and bigrams by 56 bits: at 10^9 distinct words, that two share a hash is a
 matter of a few per cent for one pair in all.
@@ -138,10 +138,14 @@ def decode_block(row: dict) -> tuple[np.ndarray, ...]:
     return words, tokens, sizes, np.repeat(unsqueeze(row["parts"], np.uint8), sizes), before
 
 
-def cuts(keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
-    """Where the slices of the key ranges begin and end in sorted keys; ranges is a power of two."""
-    step = bits - (ranges.bit_length() - 1)
-    return np.append(np.searchsorted(keys, np.arange(ranges, dtype=np.uint64) << np.uint64(step)), keys.size)
+def ranges_of(sets: list[tuple[np.ndarray, int]], ranges: int) -> Iterator[tuple[int, list[slice]]]:
+    """Of sorted keys of so many bits each: the key ranges that any of them has, with its slice of each. ranges is a power
+    of two. There are never more ranges than keys, however many ranges the corpus has."""
+    parts = [keys >> np.uint64(bits - (ranges.bit_length() - 1)) for keys, bits in sets]
+    found = np.unique(np.concatenate([p[np.concatenate([[True], p[1:] != p[:-1]])] if p.size else p for p in parts]))
+    ends = [(np.searchsorted(p, found, "left"), np.searchsorted(p, found, "right")) for p in parts]
+    for k, q in enumerate(found.tolist()):
+        yield q, [slice(first[k], last[k]) for first, last in ends]
 
 
 KINDS = ("word", "pair")
@@ -164,12 +168,11 @@ def ask(blocks: DataFrame, ranges: int) -> DataFrame:
             sets = []
             for keys, at, bits in ((words, tokens, 64), (pairs, places, PAIR_BITS)):
                 kept, cut = (np.bincount(at[parts == k], minlength=keys.size).astype(np.uint32) for k in (0, 1))
-                sets.append((keys, kept, cut, cuts(keys, bits, ranges)))
+                sets.append((keys, kept, cut, bits))
             rows = []
-            for q in range(ranges):
-                slices = [[x[c[q] : c[q + 1]] for x in (keys, kept, cut)] for keys, kept, cut, c in sets]
-                if any(s[0].size for s in slices):
-                    rows.append((q, row["block"], *(f(x) for s in slices for f, x in zip((squeeze_sorted, squeeze, squeeze), s, strict=True))))
+            for q, own in ranges_of([(keys, bits) for keys, _, _, bits in sets], ranges):
+                slices = [(squeeze_sorted(keys[s]), squeeze(kept[s]), squeeze(cut[s])) for (keys, kept, cut, _), s in zip(sets, own, strict=True)]
+                rows.append((q, row["block"], *(x for s in slices for x in s)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
     return blocks.mapInArrow(run, ASK)
@@ -264,7 +267,8 @@ def deleted_histogram(resolved: DataFrame, kept_tokens: int) -> list[tuple[int,
 
 
 def learn_weights(cells: list[tuple[int, int, int, int]], uniform: float) -> np.ndarray:
-    """Mixture weights (bigram, unigram, uniform) by bucket; buckets without events take those of all events."""
+    """Mixture weights (bigram, unigram, uniform) by bucket; buckets without events take those of all events. A context that
+    was not met (bucket 0) has no bigrams, so the other two share its weight."""
     table = np.array(sorted(cells), float).reshape(-1, 4)
     p = np.stack([np.where(table[:, k] < 0, 0, 2.0 ** (-table[:, k] / GRID)) for k in (1, 2)] + [np.full(len(table), uniform)], axis=1)
 
@@ -283,6 +287,8 @@ def learn_weights(cells: list[tuple[int, int, int, int]], uniform: float) -> np.
         rows = np.flatnonzero(table[:, 0] == k)
         if rows.size:
             out[k] = fit(rows, overall, overall)
+    out[0, 0] = 0
+    out[0] /= out[0].sum()
     return out
 
 

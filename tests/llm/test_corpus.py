@@ -223,8 +223,34 @@ def test_language_model(spark):
 def test_mixture_is_a_distribution():
     cells = [(3, 8, 40, 100), (3, -1, 60, 50), (0, -1, 30, 10)]
     weights = lm.learn_weights(cells, 1e-4)
-    assert weights.shape == (lm.BUCKETS, 3) and np.allclose(weights.sum(axis=1), 1) and (weights > 0).all()
-    assert weights[3, 0] > weights[0, 0]
+    assert weights.shape == (lm.BUCKETS, 3) and np.allclose(weights.sum(axis=1), 1)
+    assert weights[0, 0] == 0 and (weights[1:] > 0).all() and (weights[0, 1:] > 0).all()
+
+
+def test_language_model_against_counting(spark):
+    """Scores from dictionaries of counts, bigram by bigram."""
+    rows = awkward()
+    got = lm.score_language_model(table(spark, rows), block_tokens=300, range_tokens=100).collect()
+    tokens = [[*(t or "").encode().lower().split(), None] for _, t in rows]
+    fold = [zlib.crc32(str(i).encode() if i is not None else b"") % 7 for i, _ in rows]
+    pairs = [list(zip([None, *ws], ws, strict=False)) for ws in tokens]
+
+    def count(folds):
+        use = [k for k, f in enumerate(fold) if f in folds]
+        return Counter(w for k in use for w in tokens[k]), Counter(p for k in use for p in pairs[k])
+
+    words, both = count({0, 1, 4, 5, 6})
+    total, bucket = sum(words.values()), lambda n: min(int(math.log2(n)) + 1, lm.BUCKETS - 1) if n else 0
+    step = lambda top, base: round(-lm.GRID * math.log2(top / base)) if top else -1
+    cells = Counter((bucket(words[a]), step(both[a, b], max(words[a], 1)), step(words[b], max(total, 1))) for k, f in enumerate(fold) if f == 3 for a, b in pairs[k])
+    weights = lm.learn_weights([(*c, n) for c, n in cells.items()], 1 / (len(words) + 1))
+    words, both = count({0, 1, 3, 4, 5, 6})
+    total, v = sum(words.values()), len(words)
+    want = []
+    for k, (i, _) in enumerate(rows):
+        p = [weights[bucket(words[a])] @ (both[a, b] / max(words[a], 1), words[b] / total, 1 / (v + 1)) for a, b in pairs[k]]
+        want.append((str(i), len(p), round(sum(map(math.log10, p)), 6)))
+    assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in got) == sorted(want)
 
 
 def test_packing(spark):
