@@ -5,7 +5,8 @@ fingerprints at a Hamming distance of at most `distance` are linked. To find the
 m partitions, correlated bits together, and partition k gets a threshold t_k >= -1 with sum(t_k) = distance - m + 1:
 of any two fingerprints within the distance, some partition differs in at most t_k bits (-1: the partition is
 not used). Number of partitions and thresholds come from a dynamic program over the estimated number of
-candidate pairs plus the rows that probing makes, from bit statistics over all fingerprints.
+candidate pairs plus the rows that probing makes, from bit statistics over all fingerprints and the pairs of a
+sample of them, as bits of a partition are not independent.
 
 Copies share a fingerprint, so only distinct fingerprints are compared. A fingerprint is dealt to one bucket for
 each way to leave out t_k bits of partition k; two that agree in the other bits meet there. Buckets are sorted
@@ -38,6 +39,9 @@ BLOCK_ROWS = 50_000
 #: Relative cost of a probe row (it is shuffled and sorted) and of a candidate pair (one exclusive or).
 PROBE_COST, PAIR_COST = 60.0, 1.0
 MASKED = 2  # bits left out of a partition at most: more makes too many rows
+#: Fingerprints whose pairs are counted to estimate candidates, and how many pairs make an estimate. Estimates decide
+#: how the bits are grouped, and no result.
+SAMPLE, SEEN_PAIRS = 2048, 10
 
 
 def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -114,28 +118,44 @@ def group_bits(n: int, both: np.ndarray, m: int) -> list[list[int]]:
 
 
 def within(share: np.ndarray, most: int) -> np.ndarray:
-    """Chance that two fingerprints differ in at most 0, 1, ... most of the bits, from the share of ones of each."""
+    """Chance that two fingerprints differ in exactly 0, 1, ... most of the bits, if bits are independent, from the share
+    of ones of each."""
     odds = np.zeros(most + 1)
     odds[0] = 1
     for p in 2 * share * (1 - share):
         odds[1:] = odds[1:] * (1 - p) + odds[:-1] * p
         odds[0] *= 1 - p
-    return np.cumsum(odds)
+    return odds
 
 
-def allocate(n: int, both: np.ndarray, groups: list[list[int]], distance: int) -> tuple[float, list[int]]:
+def differing(group: list[int], share: np.ndarray, sample: np.ndarray, most: int) -> np.ndarray:
+    """Estimated share of the pairs of fingerprints that differ in exactly 0, 1, ... most bits of a group: as counted over all
+    pairs of a sample where it has SEEN_PAIRS of them, and no less than independent bits would give."""
+    odds = within(share[group], most)
+    if sample.size < 2:
+        return odds
+    mask = np.uint64(sum(1 << b for b in group))
+    seen = np.zeros(BITS + 1, np.int64)
+    for k in range(1, sample.size):
+        seen += np.bincount(np.bitwise_count((sample[k:] ^ sample[:-k]) & mask), minlength=BITS + 1)
+    seen = seen[: most + 1]
+    return np.where(seen >= SEEN_PAIRS, np.maximum(odds, seen / (sample.size * (sample.size - 1) / 2)), odds)
+
+
+def allocate(n: int, both: np.ndarray, groups: list[list[int]], distance: int, sample: np.ndarray) -> tuple[float, list[int]]:
     """Least estimated cost, and the thresholds of the partitions, by dynamic programming over their sum."""
     share, m = np.diag(both) / max(n, 1), len(groups)
     best = {0: (0.0, [])}  # by sum of (threshold + 1)
     for group in groups:
-        chances = within(share[group], MASKED)
+        odds, size = differing(group, share, sample, MASKED), len(group)
         step = {}
         for done, (cost, chosen) in best.items():
-            for t in range(-1, min(MASKED, len(group)) + 1):
+            for t in range(-1, min(MASKED, size) + 1):
                 own = 0.0
                 if t >= 0:
-                    # a pair meets in every bucket that leaves out all its differing bits
-                    own = PROBE_COST * n * comb(len(group), t) + PAIR_COST * n * n / 2 * chances[t] * comb(len(group), t) ** 0.5
+                    # a pair that differs in d bits meets in each bucket that leaves these and t - d others out
+                    meetings = sum(float(odds[d]) * comb(size - d, t - d) for d in range(t + 1))
+                    own = PROBE_COST * n * comb(size, t) + PAIR_COST * n * n / 2 * meetings
                 total = done + t + 1
                 if total <= distance + 1 and (total not in step or cost + own < step[total][0]):
                     step[total] = (cost + own, [*chosen, t])
@@ -143,12 +163,13 @@ def allocate(n: int, both: np.ndarray, groups: list[list[int]], distance: int) -
     return best.get(distance + 1, (float("inf"), [-1] * m))
 
 
-def make_plan(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]:
+def make_plan(n: int, both: np.ndarray, distance: int, sample: np.ndarray | None = None) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each partition that is used."""
+    sample = np.empty(0, np.uint64) if sample is None else sample
     found = []
     for m in range(2, distance + 2):
         groups = group_bits(n, both, m)
-        cost, thresholds = allocate(n, both, groups, distance)
+        cost, thresholds = allocate(n, both, groups, distance, sample)
         found.append((cost, m, [(g, t) for g, t in zip(groups, thresholds, strict=True) if t >= 0]))
     return min(found, key=lambda x: x[:2])[2]
 
@@ -263,7 +284,9 @@ def link_buckets(rows: DataFrame, by: list[str], distance: int, most: int | None
 def fingerprint_links(nodes: DataFrame, work: Work, distance: int = DISTANCE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """nodes(fp long), distinct -> edges (a, b) that connect the same fingerprints as all links within distance do."""
     n, both = bit_statistics(nodes)
-    rows = bucket_rows(nodes, bucket_masks(make_plan(n, both, distance)))
+    some = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
+    sample = np.array([r.fp for r in some], np.int64).view(np.uint64)
+    rows = bucket_rows(nodes, bucket_masks(make_plan(n, both, distance, sample)))
     found = work.save(link_buckets(rows, ["kind", "value"], distance, block_rows), "links")
     links = found.where("kind = -1").select("a", "b")
     large = found.where("kind >= 0").select("kind", F.col("a").alias("value"), F.col("b").alias("fp"))

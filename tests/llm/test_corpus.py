@@ -123,6 +123,19 @@ def test_thresholds_keep_every_pair(n):
         assert (masks & diff == 0).any()
 
 
+def test_candidates_are_estimated_from_pairs():
+    rng = np.random.default_rng(3)
+    low = rng.integers(0, 2**8, 400).astype(np.uint64)
+    fps = low | low << np.uint64(8)  # bits 8 to 15 repeat bits 0 to 7
+    share = np.unpackbits(fps.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").mean(axis=0)
+    group = list(range(16))
+    pairs = [((int(a) ^ int(b)) & 0xFFFF).bit_count() for k, a in enumerate(fps) for b in fps[:k]]
+    got = sh.differing(group, share, fps, 2)
+    assert got[0] == pytest.approx(pairs.count(0) / len(pairs)) and got[2] == pytest.approx(pairs.count(2) / len(pairs))
+    assert got[1] == sh.within(share[group], 2)[1]  # no such pair was seen
+    assert sh.within(np.array([0.5, 0.5]), 2).tolist() == [0.25, 0.5, 0.25]
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))] + [(100 + k, 101 + k) for k in range(40)]
