@@ -151,9 +151,10 @@ WITH d AS (
   FROM documents
 ), k AS (
   SELECT doc_id, text_sha256,
-         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
-         count(*) OVER (PARTITION BY text_sha256) AS group_size
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size,
+         row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST) = 1 AS kept
   FROM d
 )
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM k
 """
