@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,6 +38,12 @@ class Work:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
+    def release(self) -> None:
+        """Lets go of the shuffles of tables that are written. Spark deletes their files once its driver has collected the
+        plans that made them, which a driver with little else to do puts off while the disks fill."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Deletes tables that nothing reads any more."""
         for name in names:
