@@ -5,8 +5,10 @@ marked word (a run of markers and what follows up to the next) into another, so
 its marked words in order. The marked words of the corpus go into one table, in which each is segmented once.
 
 Texts are not shuffled to meet that table: a task numbers the different marked words of a block of texts and writes the
-block as numbers. A row for each different word of a block is joined with the table, and the ids go back into the block by
-position. Blocks have a bounded number of words, of which the different ones alone are shuffled.
+block as numbers. The table is dealt by hashes of its words. A block asks each part that it has words of for their ids, in
+one packed row; the task of a part segments what is there once, whichever blocks ask for it, and answers each in the order
+of its question; the ids go back into the block by position. Blocks have a bounded number of words and parts a bounded
+number of questions, and a block never asks more parts than it has words.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,6 +30,8 @@ from .common import Work, pieces, texts
 MARK = "▁"
 #: Marked words of a block; a longer text is a block of its own.
 BLOCK_WORDS = 4_000_000
+#: Questions for words that a part of the table gets from all blocks.
+PART_WORDS = 500_000
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -44,12 +49,11 @@ class ChunkEncoder:
         self.shared = plain and not crossing
         self.mark = self.lib.piece_to_id(MARK)
 
-    def segment(self, words: list[str]) -> list[tuple[int, str, str]]:
-        """Of each marked word, given without its first marker: number of ids, ids joined by commas, decoded."""
+    def segment(self, words: list[str]) -> list[tuple[int, list[int], str]]:
+        """Of each marked word, given without its first marker: number of ids, ids, decoded."""
         found = self.lib.encode(words, num_threads=1)
         found = [ids if word else [self.mark] for word, ids in zip(words, found, strict=True)]
-        decoded = self.lib.decode(found)
-        return [(len(ids), ",".join(map(str, ids)), text) for ids, text in zip(found, decoded, strict=True)]
+        return [(len(ids), ids, text) for ids, text in zip(found, self.lib.decode(found), strict=True)]
 
     def words(self, text: str) -> list[str]:
         """The marked words of a text, each without its first marker."""
@@ -60,7 +64,7 @@ class ChunkEncoder:
         return [x[1:] for x in CHUNKS.findall(MARK + text.replace(" ", MARK))]
 
     def whole(self, batch: list[str]) -> list[tuple[int, str, str]]:
-        """As segment(), of whole texts."""
+        """Of whole texts: number of ids, ids joined by commas, decoded."""
         ids = self.lib.encode(batch, num_threads=1)
         return [(len(x), ",".join(map(str, x)), y) for x, y in zip(ids, self.lib.decode(ids), strict=True)]
 
@@ -87,13 +91,15 @@ def arranged(rows: list[tuple[int, str, str]], digest: bool) -> list[tuple]:
     return [(list(map(int, ids.split(","))) if n else [], text) for n, ids, text in rows]
 
 
-BLOCK = "block long, ids array<long>, sizes binary, numbers binary, words array<string>"
-BLOCK_ARROW = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.string())]
+BLOCK = "block long, ids array<long>, sizes binary, numbers binary, words binary, n_words long"
+BLOCK_ARROW = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.int64()]
+ASK = "part int, block long, at binary, words binary"
+ANSWER = "asked long, at binary, sizes binary, ids binary, others binary, decoded binary"
 
 
-def squeeze(values: list[int]) -> bytes:
+def squeeze(values) -> bytes:
     """Unsigned 32-bit integers by byte planes, compressed."""
-    planes = np.array(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    planes = np.asarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
@@ -102,6 +108,19 @@ def unsqueeze(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def squeeze_texts(values: list[str]) -> bytes:
+    raw = [v.encode() for v in values]
+    sizes = np.array([len(raw), *map(len, raw)], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(raw))
+
+
+def unsqueeze_texts(data: bytes) -> list[str]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int.from_bytes(raw[:4], "little")
+    ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64)).tolist()
+    return [raw[a:b].decode() for a, b in zip([4 + 4 * n, *ends[:-1]], ends, strict=True)] if n else []
+
+
 def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
     """Blocks of documents: their ids, how many marked words each has, the words as numbers, and the different words."""
     names = [x.split()[0] for x in BLOCK.split(", ")]
@@ -111,7 +130,7 @@ def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
         ids, sizes, numbers, table = [], [], [], {}
 
         def row() -> pa.RecordBatch:
-            values = [block, ids, squeeze(sizes), squeeze(numbers), list(table)]
+            values = [block, ids, squeeze(sizes), squeeze(numbers), squeeze_texts(list(table)), len(table)]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, BLOCK_ARROW, strict=True)], names)
 
         for batch in pieces(batches):
@@ -130,20 +149,45 @@ def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
     return texts(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, BLOCK)
 
 
-def segmented(words: DataFrame, model: str) -> DataFrame:
-    """words(word), distinct -> word, n, ids, decoded."""
+def ask(blocks: DataFrame, parts: int) -> DataFrame:
+    """A row for each block and part of the table that the block has words of: the words, and their numbers in the block.
+    parts is a power of two."""
+    names = [x.split()[0] for x in ASK.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(model)
-        for batch in pieces(batches, 10_000):
-            rows = codec.segment(batch.column(0).to_pylist())
-            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["word", "n", "ids", "decoded"])
-
-    return words.mapInArrow(run, "word string, n int, ids string, decoded string")
-
-
-def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            words = unsqueeze_texts(row["words"])
+            part = np.array([xxhash.xxh32_intdigest(w) & (parts - 1) for w in words], np.int64)
+            order = np.argsort(part, kind="stable")
+            found, first = np.unique(part[order], return_index=True)
+            out = [(q, row["block"], squeeze(at), squeeze_texts([words[k] for k in at])) for q, at in zip(found.tolist(), np.split(order, first[1:]), strict=True) if at.size]
+            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return blocks.select("block", "words").mapInArrow(run, ASK)
+
+
+def answer(asked: DataFrame, model: str) -> DataFrame:
+    """The ids of the words, and what they decode to where that is another text, in the order in which a block has asked.
+    Each word of a part is segmented once."""
+    names = [x.split()[0] for x in ANSWER.split(", ")]
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = [(r["block"], r["at"], unsqueeze_texts(r["words"])) for r in group.to_pylist()]
+        words = sorted({w for _, _, own in rows for w in own})
+        table = dict(zip(words, encoder(model).segment(words), strict=True))
+        out = []
+        for block, at, own in rows:
+            found = [table[w] for w in own]
+            ids = np.fromiter((x for _, some, _ in found for x in some), np.uint32)
+            other = [k for k, (w, (_, _, text)) in enumerate(zip(own, found, strict=True)) if text != w]
+            out.append((block, at, squeeze([n for n, _, _ in found]), squeeze(ids), squeeze(other), squeeze_texts([found[k][2] for k in other])))
+        return pa.Table.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), *[pa.binary()] * 5))], names)
+
+    return asked.groupBy("part").applyInArrow(run, ANSWER)
+
+
+def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_words: int = BLOCK_WORDS, part_words: int = PART_WORDS) -> DataFrame:
     """Encodes each text of docs(doc_id, text) with the SentencePiece model at path model and decodes the ids.
 
     Returns one row per input row: doc_id, ids (array of int) and decoded; with digest instead n_tokens,
@@ -169,15 +213,23 @@ def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_w
 
     work = Work(docs.sparkSession, "sentencepiece")
     blocks = work.save(word_blocks(docs, model, block_words), "blocks")
-    chunks = work.save(segmented(blocks.select(F.explode("words").alias("word")).distinct(), model), "chunks")
-    own = blocks.select(F.col("block").alias("asked"), F.posexplode("words").alias("at", "word"))
-    answers = own.join(chunks, "word").select("asked", "at", "n", "ids", "decoded")
+    total = blocks.agg(F.sum("n_words")).first()[0] or 0
+    parts = 1 << max(4, (max(1, total // part_words) - 1).bit_length())
+    answers = work.save(answer(ask(blocks, parts), model), "answers")
+    work.release()
 
     def back(block: pa.Table, found: pa.Table) -> pa.Table:
         (row,) = block.to_pylist()
-        order = np.argsort(found["at"].to_numpy())
-        n = found["n"].to_numpy()[order]
-        ids, decoded = (np.array(found[c].to_pylist(), object)[order] for c in ("ids", "decoded"))
+        decoded = np.array([*unsqueeze_texts(row["words"]), ""], object)[:-1]
+        ids, n = np.empty(decoded.size, object), np.zeros(decoded.size, np.int64)
+        for r in found.to_pylist():
+            at, sizes, own = unsqueeze(r["at"]), unsqueeze(r["sizes"]), list(map(str, unsqueeze(r["ids"]).tolist()))
+            n[at] = sizes
+            ends = np.cumsum(sizes, dtype=np.int64).tolist()
+            for k, start, end in zip(at.tolist(), [0, *ends[:-1]], ends, strict=True):
+                ids[k] = ",".join(own[start:end])
+            for k, text in zip(at[unsqueeze(r["others"])].tolist(), unsqueeze_texts(r["decoded"]), strict=True):
+                decoded[k] = text
         numbers, ends = unsqueeze(row["numbers"]), np.cumsum(unsqueeze(row["sizes"]), dtype=np.int64)
         rows = []
         for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
@@ -186,4 +238,4 @@ def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_w
             rows.append((int(n[at].sum()), ",".join(ids[at]), " ".join(decoded[at])))
         return pa.Table.from_arrays(table(row["ids"], arranged(rows, digest)), names)
 
-    return blocks.drop("words").groupBy("block").cogroup(answers.groupBy("asked")).applyInArrow(back, schema)
+    return blocks.drop("n_words").groupBy("block").cogroup(answers.groupBy("asked")).applyInArrow(back, schema)

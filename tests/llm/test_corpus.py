@@ -341,13 +341,15 @@ def test_sentencepiece(spark):
     lib = sc.ChunkEncoder(path).lib
     rows = awkward() + [(300 + n, t) for n, t in enumerate([" ", "  a", "a  ", "▁x ▁", "\n\n a", "<s> </s>", "﻿a ﬁ"])]
     want = sorted((str(i), tuple(lib.encode(t or "")), lib.decode(lib.encode(t or ""))) for i, t in rows)
-    for block_words in (sc.BLOCK_WORDS, 50):
-        got = sc.encode_and_decode(table(spark, rows), path, block_words=block_words).collect()
+    for block_words, part_words in ((sc.BLOCK_WORDS, sc.PART_WORDS), (50, 10)):
+        got = sc.encode_and_decode(table(spark, rows), path, block_words=block_words, part_words=part_words).collect()
         assert sorted((str(r.doc_id), tuple(r.ids), r.decoded) for r in got) == want
-    # the table has each marked word of the corpus once
-    blocks = sc.word_blocks(table(spark, rows), path, 50)
-    words = [r.word for r in sc.segmented(blocks.select(F.explode("words").alias("word")).distinct(), path).collect()]
-    assert sorted(words) == sorted({w for _, t in rows for w in sc.ChunkEncoder(path).words(t or "")})
+    # a part of the table segments each of its words once, whichever blocks ask for it
+    asked = sc.ask(sc.word_blocks(table(spark, rows), path, 50), 4)
+    words = [(r.part, r.block, w) for r in asked.collect() for w in sc.unsqueeze_texts(bytes(r.words))]
+    assert {w for _, _, w in words} == {w for _, t in rows for w in sc.ChunkEncoder(path).words(t or "")}
+    assert len({(p, w) for p, _, w in words}) == len({w for _, _, w in words}) and len(set(words)) == len(words)
+    assert sc.unsqueeze_texts(sc.squeeze_texts(["", "a\0b", "é"])) == ["", "a\0b", "é"] and sc.unsqueeze_texts(sc.squeeze_texts([])) == []
     assert sc.encode_and_decode(table(spark, []), path, digest=True).count() == 0
 
 
