@@ -93,14 +93,15 @@ def arranged(rows: list[tuple[int, str, str]], digest: bool) -> list[tuple]:
 
 BLOCK = "block long, ids array<long>, sizes binary, numbers binary, words binary, n_words long"
 BLOCK_ARROW = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.int64()]
-ASK = "part int, block long, at binary, words binary"
-ANSWER = "asked long, at binary, sizes binary, ids binary, others binary, decoded binary"
+ASK = "part int, block long, words binary"
+ANSWER = "part int, asked long, sizes binary, ids binary, others binary, decoded binary"
+LEVEL = 3
 
 
 def squeeze(values) -> bytes:
     """Unsigned 32-bit integers by byte planes, compressed."""
     planes = np.asarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
@@ -110,15 +111,23 @@ def unsqueeze(data: bytes) -> np.ndarray:
 
 def squeeze_texts(values: list[str]) -> bytes:
     raw = [v.encode() for v in values]
-    sizes = np.array([len(raw), *map(len, raw)], "<u4").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(raw))
+    sizes = squeeze([len(r) for r in raw])
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(raw))
 
 
 def unsqueeze_texts(data: bytes) -> list[str]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int.from_bytes(raw[:4], "little")
-    ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64)).tolist()
-    return [raw[a:b].decode() for a, b in zip([4 + 4 * n, *ends[:-1]], ends, strict=True)] if n else []
+    at = 4 + int.from_bytes(data[:4], "little")
+    sizes, raw = unsqueeze(data[4:at]), zstandard.ZstdDecompressor().decompress(data[at:])
+    ends = np.cumsum(sizes, dtype=np.int64).tolist()
+    return [raw[a:b].decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+
+
+def dealt(words: list[str], parts: int) -> list[tuple[int, list[int]]]:
+    """The parts of the table that have some of the words, with the places of these, sorted by word. parts is a power of two."""
+    own: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        own.setdefault(xxhash.xxh32_intdigest(w) & (parts - 1), []).append(k)
+    return [(part, sorted(places, key=words.__getitem__)) for part, places in sorted(own.items())]
 
 
 def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
@@ -130,7 +139,13 @@ def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
         ids, sizes, numbers, table = [], [], [], {}
 
         def row() -> pa.RecordBatch:
-            values = [block, ids, squeeze(sizes), squeeze(numbers), squeeze_texts(list(table)), len(table)]
+            # small numbers for frequent words, which take less room
+            found = np.array(numbers, np.int64)
+            order = np.argsort(-np.bincount(found, minlength=len(table)), kind="stable")
+            rank = np.empty(len(table), np.int64)
+            rank[order] = np.arange(len(table))
+            words = list(table)
+            values = [block, ids, squeeze(sizes), squeeze(rank[found]), squeeze_texts([words[k] for k in order.tolist()]), len(words)]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, BLOCK_ARROW, strict=True)], names)
 
         for batch in pieces(batches):
@@ -150,18 +165,14 @@ def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
 
 
 def ask(blocks: DataFrame, parts: int) -> DataFrame:
-    """A row for each block and part of the table that the block has words of: the words, and their numbers in the block.
-    parts is a power of two."""
+    """A row for each block and part of the table that the block has words of."""
     names = [x.split()[0] for x in ASK.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (row for batch in batches for row in batch.to_pylist()):
             words = unsqueeze_texts(row["words"])
-            part = np.array([xxhash.xxh32_intdigest(w) & (parts - 1) for w in words], np.int64)
-            order = np.argsort(part, kind="stable")
-            found, first = np.unique(part[order], return_index=True)
-            out = [(q, row["block"], squeeze(at), squeeze_texts([words[k] for k in at])) for q, at in zip(found.tolist(), np.split(order, first[1:]), strict=True) if at.size]
-            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
+            out = [(part, row["block"], squeeze_texts([words[k] for k in at])) for part, at in dealt(words, parts)]
+            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return blocks.select("block", "words").mapInArrow(run, ASK)
@@ -173,16 +184,17 @@ def answer(asked: DataFrame, model: str) -> DataFrame:
     names = [x.split()[0] for x in ANSWER.split(", ")]
 
     def run(group: pa.Table) -> pa.Table:
-        rows = [(r["block"], r["at"], unsqueeze_texts(r["words"])) for r in group.to_pylist()]
+        rows = [(r["part"], r["block"], unsqueeze_texts(r["words"])) for r in group.to_pylist()]
         words = sorted({w for _, _, own in rows for w in own})
         table = dict(zip(words, encoder(model).segment(words), strict=True))
         out = []
-        for block, at, own in rows:
+        for part, block, own in rows:
             found = [table[w] for w in own]
             ids = np.fromiter((x for _, some, _ in found for x in some), np.uint32)
             other = [k for k, (w, (_, _, text)) in enumerate(zip(own, found, strict=True)) if text != w]
-            out.append((block, at, squeeze([n for n, _, _ in found]), squeeze(ids), squeeze(other), squeeze_texts([found[k][2] for k in other])))
-        return pa.Table.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), *[pa.binary()] * 5))], names)
+            out.append((part, block, squeeze([n for n, _, _ in found]), squeeze(ids), squeeze(other), squeeze_texts([found[k][2] for k in other])))
+        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+        return pa.Table.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
 
     return asked.groupBy("part").applyInArrow(run, ANSWER)
 
@@ -212,6 +224,7 @@ def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_w
         return texts(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
     work = Work(docs.sparkSession, "sentencepiece")
+    work.release()
     blocks = work.save(word_blocks(docs, model, block_words), "blocks")
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     parts = 1 << max(4, (max(1, total // part_words) - 1).bit_length())
@@ -220,10 +233,12 @@ def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_w
 
     def back(block: pa.Table, found: pa.Table) -> pa.Table:
         (row,) = block.to_pylist()
-        decoded = np.array([*unsqueeze_texts(row["words"]), ""], object)[:-1]
-        ids, n = np.empty(decoded.size, object), np.zeros(decoded.size, np.int64)
+        words = unsqueeze_texts(row["words"])
+        decoded, ids, n = np.empty(len(words), object), np.empty(len(words), object), np.zeros(len(words), np.int64)
+        decoded[:] = words
+        places = dict(dealt(words, parts))
         for r in found.to_pylist():
-            at, sizes, own = unsqueeze(r["at"]), unsqueeze(r["sizes"]), list(map(str, unsqueeze(r["ids"]).tolist()))
+            at, sizes, own = np.array(places[r["part"]]), unsqueeze(r["sizes"]), list(map(str, unsqueeze(r["ids"]).tolist()))
             n[at] = sizes
             ends = np.cumsum(sizes, dtype=np.int64).tolist()
             for k, start, end in zip(at.tolist(), [0, *ends[:-1]], ends, strict=True):
