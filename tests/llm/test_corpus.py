@@ -25,6 +25,7 @@ from captionloom.llm import toxicity as tx
 from captionloom.llm import url_filters as uf
 from captionloom.llm.common import Work
 from captionloom.llm.graph import components
+from captionloom.llm.linear import known_labels, labelled_sample
 from captionloom.llm.queries import tokenizer_file
 from captionloom.llm.tokenise import WordTokenizer
 
@@ -393,6 +394,24 @@ def test_media(spark):
     assert mp.media_columns(table(spark, [])).count() == 0
 
 
+def test_media_feature_against_sums():
+    rng = np.random.default_rng(9)
+    for height in (1, 2, 31, 32, 33, 70):
+        samples = rng.integers(0, 256, (height, 576)).astype(np.uint8)
+        cells = np.empty((32, 32))
+        for i in range(32):
+            first = min(i * height // 32, height - 1)
+            last = max((i + 1) * height // 32, first + 1)
+            for j in range(32):
+                own = [int(samples[y, x]) for y in range(first, last) for x in range(j * 18, (j + 1) * 18)]
+                cells[i, j] = round(sum(own) / len(own), 6)
+        waves = [[round(math.cos(math.pi * k * (2 * x + 1) / 64), 12) for x in range(32)] for k in range(8)]
+        flat = [sum(waves[u][i] * waves[v][j] * cells[i, j] for i in range(32) for j in range(32)) for u in range(8) for v in range(8)]
+        rest = sorted(flat[1:])
+        bits = "".join(str(int(round(x, 6) > round(rest[31], 6))) for x in flat)
+        assert mp.cosine_hash(samples) == f"{int(bits, 2):016x}"
+
+
 def test_urls(spark):
     urls = ["https://a.b.example.net/en/x?y#z", "http://NET", "http://net/", "http://x.example.com/de", "http://x.example.com/de/", "http://m.org/fr/1", "http://m.org/frx", "no", None,
             "http://a.net?x/", "http://a.net/en/1", "x://u:p@Example.Net:80/en/", "http://notexample.net/en/", "http:///en/", "a://b://net/"]
@@ -447,6 +466,70 @@ def test_quality(spark):
     score_classifier(spark, qc.score_quality, rows, "quality", False)
 
 
+def logistic(model, x):
+    z = model.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights[1:], x, model.mean, model.scale, strict=True))
+    return 1 / (1 + math.exp(-z))
+
+
+def labelled_tables(spark, column, marker, seed):
+    rows = [(i, t, bad) for i, t, bad in labelled(200, marker, random.Random(seed))]
+    docs = table(spark, [(i, t) for i, t, _ in rows] + [(i + 500 if i else i, t) for i, t in awkward()])
+    return docs, spark.createDataFrame([(i, int(bad != (column == "quality"))) for i, _, bad in rows], f"doc_id long, {column} int")
+
+
+def test_quality_against_plain_sums(spark):
+    """Scores of the query against chains that are summed line by line."""
+    docs, labels = labelled_tables(spark, "quality", lambda line, rng: line.replace(" ", "*** "), 1)
+    model = qc.train(*labelled_sample(docs, labels, "quality", 4, 2, {1: 1500, 0: 1500}))
+    add = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b)))
+    want = []
+    for r in docs.select("doc_id", "text").collect():
+        lines = (r.text or "").split("\n")
+        emit = [[sum(x * w for x, w in zip((row - model.mean) / model.scale, model.weights[:-1, k], strict=True)) + model.weights[-1, k] for k in (0, 1)] for row in qc.document_features(r.text or "")[0]]
+        ahead, back = [emit[0]], [[0.0, 0.0]]
+        for e in emit[1:]:
+            ahead.append([add(ahead[-1][0] + model.move[0, k], ahead[-1][1] + model.move[1, k]) + e[k] for k in (0, 1)])
+        for e in emit[:0:-1]:
+            back.append([add(model.move[k, 0] + e[0] + back[-1][0], model.move[k, 1] + e[1] + back[-1][1]) for k in (0, 1)])
+        good = [1 / (1 + math.exp(a[0] + b[0] - a[1] - b[1])) for a, b in zip(ahead, reversed(back), strict=True)]
+        share = sum(g * (len(x) + 1) for g, x in zip(good, lines, strict=True)) / sum(len(x) + 1 for x in lines)
+        kept = min(max(share, 1e-6), 1 - 1e-6)
+        want.append((str(r.doc_id), round(logistic(model.calibration, [math.log(kept / (1 - kept)), share, min(good)]), 6)))
+    got = qc.score_quality(docs, labels).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted(want)
+    assert all(r.predicted == int(r.score >= 0.7) for r in got)
+
+
+def test_toxicity_against_window_by_window(spark):
+    docs, labels = labelled_tables(spark, "toxic", lambda line, rng: line.replace(" ", f" {rng.choice(['zzgrumble', 'qqbother', 'xxvex'])} ", 2), 2)
+    model = tx.train(*labelled_sample(docs, labels, "toxic", 5, 0, {1: 3000, 0: 5000}, tx.MAX_CHARS))
+    ordinary, toxic = model.compressors()
+    want = []
+    for r in docs.select("doc_id", "text").collect():
+        words = [w for w in re.split(b"[ \\t\\n\\x0b\\f\\r]+", re.sub(b"[A-Z]", lambda m: m[0].lower(), (r.text or "").encode())) if w]
+        saved = []
+        while words:
+            window, words = b" " + b" ".join(words[:6]) + b" ", words[6:]
+            saved.append(len(ordinary(window)) - len(toxic(window)))
+        saved = sorted(saved or [0], reverse=True)
+        x = [saved[0], sum(saved[:3]) / len(saved[:3]), *(math.log1p(sum(s >= limit for s in saved)) for limit in model.limits), math.log1p(len(saved))]
+        want.append((str(r.doc_id), round(logistic(model.calibration, x), 6)))
+    got = tx.score_toxicity(docs, labels).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted(want)
+
+
+def test_samples_are_bounded(spark):
+    docs = table(spark, [(k, "x" * 100) for k in range(40)] + [(7, "y")] * 30 + [(None, "z")])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(3, 0), (None, 1), (5, None)], "doc_id long, quality int")
+    texts_, known = labelled_sample(docs, labels, "quality", 4, 2, {1: 5, 0: 100}, 10_000)
+    assert len(texts_) == len(known) and known.sum() == 5 and set(texts_) <= {"x" * 100}
+    texts_, known = labelled_sample(docs, labels, "quality", 4, 2, {1: 100, 0: 100}, 1000)
+    assert sum(map(len, texts_)) == 1000
+    clash = {r.doc_id: r.label for r in known_labels(labels, "quality", 7, 99).collect()}
+    assert clash[3] == 0 and clash[5] == 1 and None not in clash
+    assert labelled_sample(docs.where("false"), labels, "quality", 4, 2, {1: 5})[0] == []
+
+
 def test_quality_learns_from_all_lines():
     rng = random.Random(3)
     rows = ["\n".join("a" * rng.randint(1, 9) + (" !!!" if k > 220 and y else " b") for k in range(300)) for y in (0, 1) * 5]
