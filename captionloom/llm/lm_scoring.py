@@ -345,11 +345,9 @@ def score_language_model(
     total = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     ranges = 1 << max(4, (max(1, total // range_tokens) - 1).bit_length())
     answers = work.save(answer(ask(blocks, ranges)), "answers")
-    work.release()
     sums = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_kept", "n_cut", "v_kept", "v_all"))).first()
     kept, cut, v_kept, v = map(int, sums)
     resolved = work.save(resolve(blocks, answers.drop("n_kept", "n_cut", "v_kept", "v_all")), "resolved")
     work.drop("blocks", "answers")
-    work.release()
     weights = learn_weights(deleted_histogram(resolved, kept), 1 / (v_kept + 1))
     return score_blocks(resolved, weights, kept + cut, v)

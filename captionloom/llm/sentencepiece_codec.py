@@ -224,12 +224,10 @@ def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_w
         return texts(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
     work = Work(docs.sparkSession, "sentencepiece")
-    work.release()
     blocks = work.save(word_blocks(docs, model, block_words), "blocks")
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     parts = 1 << max(4, (max(1, total // part_words) - 1).bit_length())
     answers = work.save(answer(ask(blocks, parts), model), "answers")
-    work.release()
 
     def back(block: pa.Table, found: pa.Table) -> pa.Table:
         (row,) = block.to_pylist()
