@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: monotonically_increasing_id() has the partition above these bits and the row within it below.
 ROW_BITS = 33
 
@@ -34,16 +34,16 @@ class Work:
         self.path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes df and returns the written table."""
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        """Writes df and returns the written table. The shuffle files of the write are deleted with it, as nothing reads them
+        again; otherwise they stay until the driver happens to collect the plan."""
+        conf, before = self.spark.conf, self.spark.conf.get(SHUFFLE_CLEANUP, "false")
+        conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        finally:
+            conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
-    def release(self) -> None:
-        """Lets go of the shuffles of tables that are written. Spark deletes their files once its driver has collected the
-        plans that made them, which a driver with little else to do puts off while the disks fill."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def drop(self, *names: str) -> None:
         """Deletes tables that nothing reads any more."""
         for name in names:
