@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .conversation_repair import CONVERSATION_REPAIR_SQL, damage, repair_report
 from .exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from .line_dedup import line_dedup
 from .lm_scoring import score_language_model
@@ -80,6 +81,11 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return repair_report(damage(given), given).drop("n_rows", "n_repaired")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_exact_dedup,
@@ -92,9 +98,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_media_columns,
         op9_sentencepiece,
         op10_url_filters,
+        op11_conversation_repair,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP_SQL, "op10_url_filters": URL_FILTERS_SQL}
+    return {"op1_exact_dedup": EXACT_DEDUP_SQL, "op10_url_filters": URL_FILTERS_SQL, "op11_conversation_repair": CONVERSATION_REPAIR_SQL}
