@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .conversation_repair import CONVERSATION_REPAIR_SQL, damage, repair_report
+from .embedding_whitening import whitened_components
 from .exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from .line_dedup import line_dedup
 from .lm_scoring import score_language_model
@@ -86,6 +87,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damage(given), given).drop("n_rows", "n_repaired")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_exact_dedup,
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_sentencepiece,
         op10_url_filters,
         op11_conversation_repair,
+        op13_embedding_whitening,
     ]
     return {f.__name__: f for f in found}
 
