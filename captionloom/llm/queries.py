@@ -17,6 +17,7 @@ from .lm_scoring import score_language_model
 from .media_png import media_columns
 from .packing import best_fit_packing
 from .quality_crf import score_quality
+from .secret_scan import scan_secrets
 from .sentencepiece_codec import encode_and_decode
 from .simhash_dedup import simhash_dedup
 from .toxicity import score_toxicity
@@ -87,6 +88,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damage(given), given).drop("n_rows", "n_repaired")
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
+    return scan_secrets(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans")
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_components(table(spark, sf_dir, "embeddings"))
 
@@ -104,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_sentencepiece,
         op10_url_filters,
         op11_conversation_repair,
+        op12_secret_scan,
         op13_embedding_whitening,
     ]
     return {f.__name__: f for f in found}

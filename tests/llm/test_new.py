@@ -192,3 +192,75 @@ def test_lobpcg_with_close_values():
     e, x, residuals, _ = ew.lobpcg(lambda b: a @ b, 400, 8)
     assert np.abs(e - values[:8]).max() < 1e-12 and residuals.max() < 1e-12
     assert np.abs(np.abs((x * q[:, :8]).sum(axis=0)) - 1).max() < 1e-9
+
+
+# ---- secrets
+
+DOC = "doc_id long, text string, spans string, base int, kind double"
+
+
+def direct(text):
+    """The base spans by the patterns as they are stated, failing matches dropped after the search."""
+    out = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        out += [(m.start(), 0, m.end())] if len(m[2]) >= 8 else []
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out)
+
+
+def secret_texts():
+    rng = random.Random(8)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    upper = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=n))
+    words = ["plain", "mail7.example.com", "555-0199", "4041894974608795", "10.20.30.40", "version-1.2.33", "é汉🎉"]
+    out = []
+    for n in range(120):
+        some = [rng.choice(words) for _ in range(12)] + [f"host{rng.randint(1, 999)}.example.org", f"{rng.randint(100, 999)}-{rng.randint(1000, 9999)}"]
+        some.append([f'Token = "{hexes(20)}"', f"AKIA{upper(16)}", hexes(40), f"api_key:{upper(3)}", "token=secret:abcdefghij", f"passwd='{hexes(18)}'"][n % 6])
+        rng.shuffle(some)
+        out.append(" ".join(some))
+    return out, hexes, upper
+
+
+def test_secret_spans(spark):
+    from captionloom.llm import secret_scan as ss
+
+    cases, hexes, upper = secret_texts()
+    cases += ["", None, "AKIAAKIAAKIA", "AKIA" + "A" * 12, "aAKIA0123456789AB", "f" * 31, "x" + "f" * 32 + "G", "tokEN\"  :  'abcd.efg+/=", "ſecret=abcdefgh1", "secret==========", "word " * 100_000 + hexes(64)]
+    # a value of the learned format behind a name that no pattern knows
+    unknown = f"cred {hexes(30)} here"
+    rows = [(n, t, "s", 1, 0.5) for n, t in enumerate([*cases, unknown])] + [(0, cases[0], "s", 1, 0.5), (None, cases[2], "s", 1, 0.5)]
+    got = ss.scan_secrets(spark.createDataFrame(rows, DOC)).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    for n, text in enumerate([*cases, unknown]):
+        want = direct(text or "")
+        assert by[n].base == ",".join(f"{ss.KINDS[k]}:{a}:{b}" for a, k, b in want), text and text[:80]
+        assert [by[n].n_assign, by[n].n_access, by[n].n_hex] == [sum(k == x for _, k, _ in want) for x in range(3)]
+        assert set(filter(None, by[n].base.split(","))) <= set(by[n].spans.split(","))
+    assert by[len(cases)].spans.split(":")[1:] == ["5", "35"]
+    assert sum(r.n_added for r in got) == 1
+    assert ss.scan_secrets(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_automata():
+    from captionloom.llm import secret_scan as ss
+
+    _, hexes, upper = secret_texts()
+    access = ss.Automaton.inferred({f"AKIA{upper(16)}" for _ in range(1500)})
+    assert len(access.ends) < 40
+    # every state's moves and ends make up its arrivals
+    for n, ends, moves in zip(access.arrivals, access.ends, access.moves, strict=True):
+        assert n == ends + sum(c for _, c in moves.values())
+    tree = ss.Automaton.tree(["ab", "ab", "a"])
+    assert tree.log_likelihood("ab") == pytest.approx(np.log(2 / 3), abs=0.6)
+    words = {f"host{k}.example.org" for k in range(800)} | {f"555-{k:04d}" for k in range(800)} | {f"{k * 7919 % 10**16:016d}" for k in range(1, 800)}
+    formats = ss.Formats.learned({"access": [f"AKIA{upper(16)}" for _ in range(1500)], "hex": [hexes(40) for _ in range(1500)], ss.ORDINARY: sorted(words)})
+    assert all(formats.score(f"AKIA{upper(16)}") > (formats.limit, "") and formats.score(f"AKIA{upper(16)}")[1] == "access" for _ in range(50))
+    assert all(formats.score(hexes(36))[1] == "hex" and formats.score(hexes(36))[0] > formats.limit for _ in range(50))
+    assert sum(formats.score(x)[0] > formats.limit for x in words) <= 3
+    # two languages that differ stay apart, one language twice becomes one state
+    assert len(ss.Automaton.inferred(["a" * (k % 5) for k in range(2000)]).ends) < 8
+    none = ss.Formats.learned({})
+    assert none.score("abc12345")[0] < none.limit
