@@ -17,6 +17,8 @@ from captionloom.operators.timeline import overlap_mean, word_gaps
 from captionloom.params import CLIPS, ClipRules
 
 UNIT = 16_000
+#: The score of a span that no end fits.
+FORCED_SCORE = -UNIT
 END_OF_SOURCE, FORCED = "end_of_source", "forced_max_or_short_tail"
 
 

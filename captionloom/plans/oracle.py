@@ -467,6 +467,7 @@ SQL: dict[str, str] = {
     "boundary_scores": f"WITH {S} SELECT video_id, word_no, boundary_score, boundary_basis FROM v_scored",
     "best_end": f"WITH {S}, {BEST} SELECT * FROM v_best",
     "clip_spans": f"WITH RECURSIVE {S}, {BEST}, {SPANS} SELECT * FROM v_spans",
+    "clip_spans_linked": f"WITH RECURSIVE {S}, {BEST}, {SPANS} SELECT * FROM v_spans",
     "clip_candidates": f"""WITH RECURSIVE {M} SELECT clip_id, raw_start_ms, raw_end_ms, cut_start_ms, cut_end_ms, word_count, text, boundary_basis, boundary_score, gap_before_ms, gap_after_ms,
       round(mean_word_probability, 6) AS mean_word_probability, round(word_probability_p10, 6) AS word_probability_p10, round(median_segment_avg_logprob, 6) AS median_segment_avg_logprob,
       round(max_segment_no_speech_prob, 6) AS max_segment_no_speech_prob, round(clip_consensus_mean, 6) AS clip_consensus_mean, decision, decision_reason, round(round_even(quality_score, 6) + 1e-7, 4) AS quality_score FROM v_manifest""",
@@ -501,6 +502,7 @@ SQL: dict[str, str] = {
     "semantic_tasks": f"WITH RECURSIVE {UP}, {packed(TASKS_V2)} {PACKED}",
     "semantic_tasks_v1": f"WITH RECURSIVE {UP}, {packed(TASKS_V1)} {PACKED}",
     "review_packs": f"WITH RECURSIVE {UP}, {packed(REVIEW_PACKS)} {PACKED}",
+    "review_packs_linked": f"WITH RECURSIVE {UP}, {packed(REVIEW_PACKS)} {PACKED}",
     "pack_index": f"""WITH RECURSIVE {UP}, {packed(REVIEW_PACKS)}, g AS (SELECT video_id, pack_no, count(*) AS item_count, sum(char_count)::BIGINT AS source_text_chars, arg_min(piece_id, r) AS first_item_id,
       arg_max(piece_id, r) AS last_item_id FROM v_packed GROUP BY ALL) SELECT *, 'review_pack_' || lpad((row_number() OVER (ORDER BY video_id, pack_no))::VARCHAR, 4, '0') AS pack_id FROM g""",
     "review_bodies": f"""WITH RECURSIVE {UP}, {packed(REVIEW_PARTS)}, l AS (SELECT video_id, pack_no, list(text_exact ORDER BY r) AS t FROM v_packed GROUP BY ALL),

@@ -12,6 +12,7 @@ from captionloom.functions import text as tx
 from captionloom.operators import alignment as al
 from captionloom.operators import audit as au
 from captionloom.operators import captions as cp
+from captionloom.operators import chains as ch
 from captionloom.operators import qc
 from captionloom.operators import sampling as sm
 from captionloom.operators import segmentation as sg
@@ -354,6 +355,12 @@ def clip_spans(spark, sf):
     return sg.clip_spans(ad.scored(spark, sf))
 
 
+@query
+def clip_spans_linked(spark, sf):
+    """The clips of clip_spans without a walk over a source: next words by block, pointer jumping between blocks."""
+    return ch.clip_spans_linked(ad.scored(spark, sf), Work(spark, "linked"))
+
+
 @query
 def clip_candidates(spark, sf):
     m = ad.manifest(spark, sf)
@@ -482,13 +489,24 @@ def semantic_pilot(spark, sf):
 # ---- packs
 
 
-def _packed(spark, sf, budget: P.Budget):
-    """Pieces in packs. A source is fifty documents in a row, as one alone fills no pack."""
+def _pack_items(spark, sf):
+    """Pieces to be packed. A source is fifty documents in a row, as one alone fills no pack."""
     doc = F.substring("video_id", 2, 18).cast("long")
-    items = ad.pieces(spark, sf).select(
+    return ad.pieces(spark, sf).select(
         F.concat(F.lit("g"), F.floor(doc / 50).cast("string")).alias("video_id"), doc.alias("doc_no"), "unit_no", "piece_no", "piece_id", "text_exact", "char_count"
     )
-    return cp.pack_by_budget(Work(spark, "packs").save(items, "items"), budget, ["doc_no", "unit_no", "piece_no"], "char_count")
+
+
+def _packed(spark, sf, budget: P.Budget):
+    return cp.pack_by_budget(Work(spark, "packs").save(_pack_items(spark, sf), "items"), budget, ["doc_no", "unit_no", "piece_no"], "char_count")
+
+
+@query
+def review_packs_linked(spark, sf):
+    """The packs of review_packs without a walk over a source."""
+    items = _pack_items(spark, sf).select("video_id", "doc_no", "unit_no", "piece_no", "piece_id", "char_count")
+    packed = ch.pack_linked(items, P.REVIEW_PACKS, ["doc_no", "unit_no", "piece_no"], "char_count", Work(spark, "packs_linked"))
+    return packed.select("video_id", "piece_id", "pack_no")
 
 
 @query
