@@ -400,6 +400,20 @@ def hours(ms: str) -> str:
     return f"((2 * ({ms}))::BIGINT * 1000000 + 3600000) // 7200000 / 1e6"
 
 
+def merkle(source: str, most: int) -> str:
+    """The digest of line items by ranges of 64 order keys, sixteen nodes under one, for a tree of `most` levels above the leaves at most."""
+    text = "to_json([l_orderkey::VARCHAR, l_linenumber::VARCHAR, l_partkey::VARCHAR, round(l_extendedprice * 100)::BIGINT::VARCHAR, round(l_quantity * 100)::BIGINT::VARCHAR, l_returnflag])"
+    part = lambda first: f"sum(('0x' || substr(d, {first}, 15))::BIGINT)"
+    out = f"""m_0 AS (SELECT node, n, md5(concat_ws('|', n, a, b)) AS digest FROM (SELECT node, count(*) AS n, {part(1)} AS a, {part(16)} AS b
+      FROM (SELECT l_orderkey // 64 AS node, md5({text}::VARCHAR) AS d FROM {source}) GROUP BY node))"""
+    for k in range(1, most + 1):
+        out += f", m_{k} AS (SELECT node // 16 AS node, sum(n) AS n, md5(string_agg(node || ':' || digest, ',' ORDER BY node)) AS digest FROM m_{k - 1} GROUP BY ALL)"
+    # the first level with one node is the root
+    return out + " " + " UNION ALL ".join(
+        f"SELECT n::BIGINT AS rows, md5(digest) AS digest, {k + 1} AS height FROM m_{k} WHERE (SELECT max(node) FROM m_{k}) = 0" + (f" AND (SELECT max(node) FROM m_{k - 1}) > 0" if k else "") for k in range(most + 1)
+    )
+
+
 THRESHOLDS = (-450, -300, 0, 200, 300, 400, 500, 700, 1000, 1500)
 BAD = "(raw_end_ms <= raw_start_ms OR cut_end_ms <= cut_start_ms OR cut_start_ms < -0.001)"
 
@@ -443,6 +457,15 @@ SQL: dict[str, str] = {
       SELECT video_id, count(*) AS parents, count_if({squeeze('text')} = {squeeze("coalesce(back, '')")}) AS covered FROM v_units LEFT JOIN b USING (video_id, unit_no) GROUP BY ALL""",
     "caption_qc_summary": f"WITH {U}, u AS (SELECT *, end_ms - start_ms AS dur, length(text) AS chars FROM v_units) SELECT count(*) AS units, count(DISTINCT video_id) AS sources, count_if(NOT terminated) AS open_tails, {quantiles('dur')}, {quantiles('chars')}, "
     + ", ".join([*(f"count_if(chars > {t}) AS chars_gt_{t}" for t in (300, 500, 800, 1200)), *(f"count_if(dur > {t * 1000}) AS dur_gt_{t}" for t in (15, 25, 40))]) + " FROM u",
+    "lineitem_quantiles": " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {p}::DOUBLE AS share, round(quantile_cont({c}::DOUBLE, {p}), 6) AS value FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_orderkey") for p in (0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0)
+    ),
+    "long_interval_join": f"""WITH {INTERVALS}, l AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN start_ms + (end_ms - start_ms) * 10000 ELSE end_ms END AS to_ms FROM v_intervals)
+      SELECT l.user_id, l.event_id, count(*) AS events, min(s.event_id) AS first_event, max(s.event_id) AS last_event FROM l JOIN v_intervals s ON s.user_id = l.user_id AND s.end_ms >= l.start_ms - 3000 AND s.start_ms <= l.to_ms + 3000 GROUP BY ALL""",
+    "table_digest": f"WITH {merkle('lineitem', 5)}",
+    "changed_ranges": """WITH c AS (SELECT l_orderkey // 64 AS node, count(*) AS rows_a, sum(CASE WHEN l_orderkey % 7001 = 11 THEN 0 WHEN l_orderkey % 9001 = 13 THEN 2 ELSE 1 END)::BIGINT AS rows_b,
+        bool_or((l_orderkey % 5003 = 7 AND l_linenumber = 1) OR l_orderkey % 7001 = 11 OR l_orderkey % 9001 = 13) AS differs FROM lineitem GROUP BY ALL)
+      SELECT node * 64 AS first_key, node * 64 + 63 AS last_key, rows_a, rows_b FROM c WHERE differs""",
     "top_long_units": f"WITH {U} SELECT video_id, unit_no, length(text) AS chars, end_ms - start_ms AS dur_ms FROM v_units ORDER BY chars DESC, dur_ms DESC, video_id, unit_no LIMIT 200",
     "near_events": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS} SELECT s.video_id, s.segment_id, count(*) AS events, min(event_index) AS first_event, max(event_index) AS last_event {near(3000, '=')} GROUP BY ALL",
     "overlap_text": f"WITH {WORDS}, {SEGMENTS}, {CAPTIONS} SELECT s.video_id, s.segment_id, string_agg(c.text, ' ' ORDER BY c.start_ms, c.event_index) AS caption_text {near(0, '')} GROUP BY ALL",

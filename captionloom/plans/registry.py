@@ -13,6 +13,9 @@ from captionloom.operators import alignment as al
 from captionloom.operators import audit as au
 from captionloom.operators import captions as cp
 from captionloom.operators import chains as ch
+from captionloom.operators import dyadic as dy
+from captionloom.operators import merkle as mk
+from captionloom.operators import quantiles as qu
 from captionloom.operators import qc
 from captionloom.operators import sampling as sm
 from captionloom.operators import segmentation as sg
@@ -206,8 +209,13 @@ def coverage_check(spark, sf):
 
 @query
 def caption_qc_summary(spark, sf):
-    u = ad.units(spark, sf).withColumn("dur", F.col("end_ms") - F.col("start_ms")).withColumn("chars", F.length("text"))
-    q = lambda c: [F.round(F.percentile(c, p / 100), 6).alias(f"{c}_p{p}") for p in (50, 75, 90, 95, 99)]
+    work = Work(spark, "caption_qc")
+    u = ad.units(spark, sf).select("video_id", "terminated", (F.col("end_ms") - F.col("start_ms")).alias("dur"), F.length("text").alias("chars"))
+    u = work.save(u, "units")
+    # fixed values: percents and thresholds
+    percents = (50, 75, 90, 95, 99)
+    found = qu.exact_quantiles(u, ["dur", "chars"], [p / 100 for p in percents], work)
+    q = lambda c: [F.round(F.lit(v).cast("double"), 6).alias(f"{c}_p{p}") for p, v in zip(percents, found[c], strict=True)]
     return u.agg(
         F.count(F.lit(1)).alias("units"), F.countDistinct("video_id").alias("sources"), F.count_if(~F.col("terminated")).alias("open_tails"), *q("dur"), *q("chars"),
         *(F.count_if(F.col("chars") > t).alias(f"chars_gt_{t}") for t in (300, 500, 800, 1200)),
@@ -215,6 +223,15 @@ def caption_qc_summary(spark, sf):
     )
 
 
+@query
+def lineitem_quantiles(spark, sf):
+    """Quantiles of columns with few and with many different values."""
+    columns, shares = ["l_quantity", "l_extendedprice", "l_orderkey"], (0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0)
+    found = qu.exact_quantiles(ad.table(spark, sf, "lineitem"), columns, shares, Work(spark, "quantiles"))
+    rows = [(c, p, v) for c in columns for p, v in zip(shares, found[c], strict=True)]
+    return spark.createDataFrame(rows, "name string, share double, v double").select("name", "share", F.round("v", 6).alias("value"))
+
+
 @query
 def top_long_units(spark, sf):
     u = ad.units(spark, sf).select("video_id", "unit_no", F.length("text").alias("chars"), (F.col("end_ms") - F.col("start_ms")).alias("dur_ms"))
@@ -237,6 +254,17 @@ def near_events(spark, sf):
     return near.groupBy("video_id", "segment_id").agg(F.count(F.lit(1)).alias("events"), F.min("event_index").alias("first_event"), F.max("event_index").alias("last_event"))
 
 
+@query
+def long_interval_join(spark, sf):
+    """Events as intervals of a user, each 97th of them some days long, and the events that begin or end within or span them."""
+    i = ad.intervals(spark, sf)
+    end = F.when(F.col("event_id") % 97 == 0, F.col("start_ms") + (F.col("end_ms") - F.col("start_ms")) * 10_000).otherwise(F.col("end_ms"))
+    long = i.select("user_id", "event_id", F.col("start_ms").alias("from_ms"), end.alias("to_ms"))
+    short = i.select("user_id", F.col("event_id").alias("other_id"), "start_ms", "end_ms")
+    near = dy.dyadic_join(long, short, "user_id", ("from_ms", "to_ms"), ("start_ms", "end_ms"), 3000, True)
+    return near.groupBy("user_id", "event_id").agg(F.count(F.lit(1)).alias("events"), F.min("other_id").alias("first_event"), F.max("other_id").alias("last_event"))
+
+
 @query
 def overlap_text(spark, sf):
     return _overlap_text(spark, ad.timed(spark, sf))
@@ -785,3 +813,27 @@ def manifest_digest(spark, sf):
     row = F.md5(F.concat_ws("|", F.col("unit_no").cast("string"), F.col("start_ms").cast("string"), F.col("end_ms").cast("string"), "text").cast("binary"))
     ordered = F.array_sort(F.collect_list(F.struct("unit_no", row.alias("d"))))
     return u.groupBy("video_id").agg(F.md5(F.array_join(F.transform(ordered, lambda x: x["d"]), "").cast("binary")).alias("digest"), F.count(F.lit(1)).alias("rows"))
+
+
+def _line_digest():
+    cents = lambda c: F.round(F.col(c) * 100).cast("long")
+    return mk.row_digest([F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), cents("l_extendedprice"), cents("l_quantity"), F.col("l_returnflag")])
+
+
+@query
+def table_digest(spark, sf):
+    """One digest of all line items, whatever their order and partitions."""
+    return mk.root(mk.tree(ad.table(spark, sf, "lineitem"), "l_orderkey", _line_digest(), Work(spark, "digest")))
+
+
+@query
+def changed_ranges(spark, sf):
+    """Line items against a copy in which some prices are raised, some lines are lost and some are there twice: the ranges of keys
+    that differ."""
+    x, work = ad.table(spark, sf, "lineitem"), Work(spark, "changes")
+    k = F.col("l_orderkey")
+    raised = F.when((k % 5003 == 7) & (F.col("l_linenumber") == 1), F.col("l_extendedprice") + 1).otherwise(F.col("l_extendedprice"))
+    times = F.when(k % 7001 == 11, 0).when(k % 9001 == 13, 2).otherwise(1)
+    y = x.withColumn("l_extendedprice", raised).withColumn("_n", F.explode(F.array_repeat(F.lit(0), times))).drop("_n")
+    one, two = (mk.tree(t, "l_orderkey", _line_digest(), work, name) for t, name in ((x, "one"), (y.repartition(3), "two")))
+    return mk.difference(one, two, work)
