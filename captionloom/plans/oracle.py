@@ -551,12 +551,23 @@ SQL: dict[str, str] = {
     "caption_scan": f"""WITH {WORDS}, {CAPTIONS}, n AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY event_index) AS k FROM v_captions) SELECT video_id, 2 * k - 1 AS event_index, start_ms / 1000 AS start_sec, end_ms / 1000 AS end_sec,
       round((end_ms - start_ms) / 1000, 3) AS duration_sec, {clean('text')} AS text, regexp_matches({clean('text')}, '{TERMINAL}') AS ends_terminal_punctuation FROM n""",
     "csv_round_trip": "SELECT doc_id, lang, md5(text) AS digest FROM documents",
+    "csv_rescue": """WITH l AS (SELECT *, CASE WHEN doc_id % 17 = 0 THEN 'x' ELSE '' END || doc_id AS ident, doc_id % 17 = 0 OR doc_id % 23 = 5 OR doc_id % 19 = 3 AS bad FROM documents)
+      SELECT CASE WHEN NOT bad THEN doc_id END AS doc_id, CASE WHEN NOT bad THEN lang END AS lang, CASE WHEN NOT bad THEN n_chars END AS n_chars, CASE WHEN bad THEN CASE WHEN doc_id % 23 = 5 THEN ident
+        ELSE concat_ws(',', ident, lang, n_chars, CASE WHEN doc_id % 19 = 3 THEN 'more' END) END END AS rescued FROM l""",
+    "caption_rescue": f"""WITH {WORDS}, {CAPTIONS}, e AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY event_index) - 1 AS k, substr(video_id, 2)::BIGINT AS n FROM v_captions),
+      r AS (SELECT *, CASE WHEN event_index % 9 = 4 THEN 'BAD_START' WHEN event_index % 10 = 6 THEN 'BAD_SEGMENTS' ELSE '' END AS reason FROM e)
+      SELECT video_id, k AS event_index, reason, CASE WHEN reason = '' THEN start_ms / 1000 END AS start_sec, CASE WHEN reason = '' THEN {clean('text')} END AS text FROM r WHERE n % 13 <> 2 AND n % 11 <> 1 AND (reason <> '' OR {clean('text')} <> '')
+      UNION ALL SELECT DISTINCT video_id, NULL, CASE WHEN n % 11 = 1 THEN 'NOT_JSON' ELSE 'NO_EVENTS' END, NULL::DOUBLE, NULL FROM r WHERE n % 13 = 2 OR n % 11 = 1""",
     "json_round_trip": "SELECT n_nationkey::VARCHAR AS task_id, n_name, n_regionkey FROM nation",
     "first_file_scan": "SELECT DISTINCT 'n_regionkey=' || n_regionkey AS folder, '.parquet' AS suffix FROM nation",
     "by_source_sink": f"WITH {U} SELECT video_id, unit_no, start_ms, end_ms, text FROM v_units",
     "summary_sink": f"WITH {WORDS}, {CAPTIONS}, g AS (SELECT lead(start_ms) OVER (PARTITION BY video_id ORDER BY start_ms, event_index) - end_ms AS g FROM v_captions) SELECT "
     + ", ".join(f'count_if(g >= {t}) AS "ge_{t}"' for t in THRESHOLDS) + " FROM g",
     "failure_isolation": "SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN '' ELSE 'negative balance of customer ' || c_custkey END AS error FROM customer",
+    "failed_run_counts": """WITH e AS (SELECT event_type, value, (props->>'k')::BIGINT AS k FROM events), o AS (SELECT *, CASE WHEN event_type = 'error' AND k > 90 THEN 'LookupError' WHEN k % 20 = 0 THEN 'ZeroDivisionError' ELSE '' END AS error_type FROM e)
+      SELECT error_type, CASE WHEN error_type = 'LookupError' THEN 'no rate for ' || k ELSE '' END AS error, count(*) AS n, sum(CASE WHEN error_type = '' THEN round(value * 100)::BIGINT // (k % 20) ELSE 0 END)::BIGINT AS total FROM o GROUP BY ALL
+      UNION ALL SELECT 'FailedRows', count_if(error_type <> '') || ' of ' || count(*), count_if(error_type <> ''), 0 FROM o""",
+    "resumed_stage": f"WITH {U} SELECT video_id, count(*) AS units, sum(length(text))::BIGINT AS chars, substr(video_id, 2)::BIGINT % 3 + 1 AS version FROM v_units GROUP BY ALL",
     "event_run_match": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {EVENT_RUNS}",
     "sentence_alignment": f"""WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {ALIGNED}""",
     "verdict_stats": f"""WITH {VERDICTS}, s AS (SELECT verdict, (n_chars % 100) / 100.0::DOUBLE AS x FROM v_verdicts JOIN documents USING (doc_id)) SELECT verdict, count(*) AS n, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.1), 6) AS p10,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,6 +22,8 @@ from captionloom.operators import sampling as sm
 from captionloom.operators import segmentation as sg
 from captionloom.operators import timeline as tl
 from captionloom.plans import adapters as ad
+from captionloom.plans import attempts as at
+from captionloom.plans import runstate as rs
 from captionloom.work import Work, numbered
 from captionloom.sources import readers as rd
 from captionloom.sources import sinks as sk
@@ -766,6 +769,37 @@ def csv_round_trip(spark, sf):
     return back.select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
+@query
+def csv_rescue(spark, sf):
+    """Documents as CSV records, some with a wrong id, a field too many or too few: the rows, and the records that are none."""
+    work = Work(spark, "csv_rescue")
+    n = F.col("doc_id")
+    ident = F.when(n % 17 == 0, F.concat(F.lit("x"), n.cast("string"))).otherwise(n.cast("string"))
+    line = F.when(n % 23 == 5, ident).otherwise(F.concat_ws(",", ident, "lang", F.col("n_chars").cast("string"), F.when(n % 19 == 3, "more")))
+    # a separator that no line has: the lines are written as they are
+    ad.table(spark, sf, "documents").select(line.alias("doc_id,lang,n_chars")).write.csv(f"{work.path}/lines", header=True, sep="\u0001")
+    good, bad = rd.csv_rescued(spark, f"{work.path}/lines", "doc_id long, lang string, n_chars long", work)
+    return good.withColumn("rescued", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
+@query
+def caption_rescue(spark, sf):
+    """Captions as JSON3 documents, some cut off or without events, some events with a start that is no number or segments that are
+    no list: the events, and what is wrong with the others."""
+    c = ad.captions(spark, sf)
+    start = F.when(F.col("event_index") % 9 == 4, F.lit('"late"')).otherwise(F.col("start_ms").cast("string"))
+    segs = F.when(F.col("event_index") % 10 == 6, F.lit('"none"')).otherwise(F.to_json(F.array(F.struct(F.col("text").alias("utf8")))))
+    event = F.concat(F.lit('{"tStartMs":'), start, F.lit(',"dDurationMs":'), (F.col("end_ms") - F.col("start_ms")).cast("string"), F.lit(',"segs":'), segs, F.lit("}"))
+    ordered = F.array_sort(F.collect_list(F.struct("event_index", event.alias("e"))))
+    n = F.substring("video_id", 2, 18).cast("long")
+    name, tail = F.when(n % 13 == 2, "event").otherwise("events"), F.when(n % 11 == 1, "]").otherwise("]}")
+    docs = c.groupBy("video_id").agg(F.array_join(F.transform(ordered, lambda x: x["e"]), ",").alias("events"))
+    docs = docs.select("video_id", F.concat(F.lit('{"'), name, F.lit('":['), "events", tail).alias("content"))
+    good, bad = rd.caption_events_rescued(Work(spark, "caption_rescue").save(docs, "documents"))
+    rows = good.select("video_id", "event_index", F.lit("").alias("reason"), "start_sec", "text")
+    return rows.unionByName(bad.select("video_id", "event_index", "reason"), allowMissingColumns=True)
+
+
 @query
 def json_round_trip(spark, sf):
     n, path = ad.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("task_id"), "n_name", "n_regionkey"), f"{Work(spark, 'json').path}/tasks"
@@ -797,15 +831,79 @@ def summary_sink(spark, sf):
     return spark.read.schema(", ".join(f"ge_{t} long" for t in (-450, -300, 0, 200, 300, 400, 500, 700, 1000, 1500)).replace("ge_-450", "`ge_-450`").replace("ge_-300", "`ge_-300`")).json(path)
 
 
+def _book(row: dict) -> dict:
+    if row["c_acctbal"] < 0:
+        raise ValueError(f"negative balance of customer {row['c_custkey']}")
+    return {"cents": round(row["c_acctbal"] * 100)}
+
+
 @query
 def failure_isolation(spark, sf):
-    """Customers whose balance can be booked, and the failures with their errors."""
-    c = ad.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    tried = sk.attempted(c, F.col("c_acctbal") >= 0, "ValueError", F.concat(F.lit("negative balance of customer "), F.col("c_custkey").cast("string")))
-    good, bad = sk.split_failures(tried)
+    """Customers whose balance can be booked, and the failures with their errors. The step raises; the run fails when all is written."""
+    c, path = ad.table(spark, sf, "customer").select("c_custkey", "c_acctbal"), f"{Work(spark, 'booking').path}/booked"
+    gives = "cents long"
+    try:
+        good, bad = at.run_isolated(c, _book, ["c_custkey", "c_acctbal"], gives, path)
+    except at.FailedRows:
+        good, bad = at.outcomes(c, gives, path)
     return good.select("c_custkey", F.lit("").alias("error")).unionByName(bad.select("c_custkey", "error"))
 
 
+def _rate(row: dict) -> dict:
+    k = json.loads(row["props"])["k"]
+    if row["event_type"] == "error" and k > 90:
+        raise LookupError(f"no rate for {k}")
+    return {"rate": round(row["value"] * 100) // (k % 20)}
+
+
+@query
+def failed_run_counts(spark, sf):
+    """Events by outcome, and the run's own counts, in a row of its own. Some rows divide by zero, some are refused."""
+    e, path = ad.table(spark, sf, "events").select("event_id", "event_type", "value", "props"), f"{Work(spark, 'rates').path}/rates"
+    gives = "rate long"
+    try:
+        good, bad = at.run_isolated(e, _rate, ["event_type", "value", "props"], gives, path)
+        run = (0, "", "")
+    except at.FailedRows as failed:
+        good, bad = at.outcomes(e, gives, path)
+        run = (failed.failed, "FailedRows", f"{failed.failed} of {failed.attempted}")
+    rows = good.agg(F.count(F.lit(1)).alias("n"), F.sum("rate").alias("total")).select(F.lit("").alias("error_type"), F.lit("").alias("error"), "n", "total")
+    rows = rows.unionByName(bad.groupBy("error_type", F.when(F.col("error_type") == "LookupError", F.col("error")).otherwise("").alias("error")).agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("total")))
+    return rows.unionByName(spark.createDataFrame([(run[1], run[2], run[0], 0)], "error_type string, error string, n long, total long"))
+
+
+@query
+def resumed_stage(spark, sf):
+    """Units of all sources in three versions, by a run that breaks off in the second and one that goes on; a writer that comes late
+    to a version is refused and leaves nothing."""
+    work = Work(spark, "resumed")
+    u = work.save(ad.units(spark, sf).select("video_id", "unit_no", F.length("text").alias("chars")), "units")
+    sources = work.save(u.select("video_id").distinct(), "sources")
+    batch = lambda k: sources.where(F.pmod(F.substring("video_id", 2, 18).cast("long"), F.lit(3)) == k)
+    state, config = rs.VersionedState(spark, f"{work.path}/state"), {"budget": 1}
+    count = lambda todo: u.join(todo, "video_id").groupBy("video_id").agg(F.count(F.lit(1)).alias("units"), F.sum("chars").alias("chars"))
+
+    def breaks(todo):
+        bad = F.when(F.pmod(F.substring("video_id", 2, 18).cast("long"), F.lit(3)) == 1, F.raise_error(F.lit("broken off"))).otherwise(F.col("units"))
+        return count(todo).withColumn("units", bad.cast("long"))
+
+    batches = [batch(k) for k in range(3)]
+    try:
+        rs.run_versioned(state, "units", config, batches, breaks)
+        raise AssertionError("the first run was to break off")
+    except rs.Conflict:
+        raise
+    except Exception as e:
+        if "broken off" not in str(e):
+            raise
+    try:
+        state.commit(0, "units", config, batches[2], count(batches[2]))
+        raise AssertionError("a late writer was not refused")
+    except rs.Conflict:
+        pass
+    return rs.run_versioned(state, "units", config, batches, count)
+
+
 @query
 def manifest_digest(spark, sf):
     """A digest of each source's units and their number; equal tables have equal digests in any row order."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from captionloom import schemas
 from captionloom.functions import text as tx
+from captionloom.work import Work
 
 # fixed values: suffixes that are never media
 NOT_MEDIA = (".json3", ".json", ".txt", ".csv", ".part", ".ytdl")
@@ -68,3 +69,51 @@ def pending(units: DataFrame, done: DataFrame, key: str = "video_id") -> DataFra
 def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.desc(order))
     return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
+def csv_rescued(spark: SparkSession, path: str, schema: str, work: Work, rescued: str = "rescued") -> tuple[DataFrame, DataFrame]:
+    """(rows, rescued records) of a CSV table with a header. A record with too few or too many fields, or with one that its type
+    cannot hold, is no row: its text is kept as the one column `rescued`. Records are single lines here, so that a quote that is
+    never closed costs one record and not the rest of a file. What is parsed is written once, for both to read."""
+    wide = f"{schema}, {rescued} string"
+    every = spark.read.schema(wide).csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=rescued, escape='"', encoding="UTF-8", enforceSchema=True)
+    every = work.save(every, "parsed")
+    return every.where(F.col(rescued).isNull()).drop(rescued), every.where(F.col(rescued).isNotNull()).select(rescued)
+
+
+def caption_events_rescued(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """caption_events() for documents of any shape: (events, failures(video_id, event_index, reason, rescued)).
+
+    Documents are read as VARIANT, so a field of the wrong type costs its event alone. A document that is no JSON, or has no array
+    of events, is a failure without an event_index; an event is one if it is no object, its start or duration is no number, or
+    its segments are no array. Absent starts, durations and texts are zero and empty, as there."""
+    docs = documents.select("video_id", "content", F.try_parse_json("content").alias("doc"))
+    kind = lambda v: F.schema_of_variant(v)
+    events = F.try_variant_get("doc", "$.events", "variant")
+    docs = docs.select("video_id", "content", F.col("doc").isNull().alias("broken"), F.coalesce(F.try_variant_get("doc", "$.events", "array<variant>"), F.lit(None)).alias("events"), F.when(events.isNotNull(), kind(events)).alias("kind"))
+    lost = docs.where(F.col("events").isNull()).select("video_id", F.lit(None).cast("int").alias("event_index"), F.when(F.col("broken"), "NOT_JSON").otherwise("NO_EVENTS").alias("reason"), F.col("content").alias("rescued"))
+    rows = docs.where(F.col("events").isNotNull()).select("video_id", F.posexplode("events").alias("event_index", "e"))
+    get = lambda path, t: F.try_variant_get("e", path, t)
+    there = lambda path: get(path, "variant").isNotNull() & ~F.coalesce(F.is_variant_null(get(path, "variant")), F.lit(False))
+    time_ok = lambda path: ~there(path) | (get(path, "double").isNotNull() & ~kind(get(path, "variant")).isin("STRING", "BOOLEAN"))
+    reason = (
+        F.when(F.col("e").isNull() | ~kind(F.col("e")).startswith("OBJECT"), "NOT_OBJECT")
+        .when(~time_ok("$.tStartMs"), "BAD_START")
+        .when(~time_ok("$.dDurationMs"), "BAD_DURATION")
+        .when(there("$.segs") & get("$.segs", "array<variant>").isNull(), "BAD_SEGMENTS")
+    )
+    rows = rows.withColumn("reason", reason)
+    bad = rows.where("reason is not null").select("video_id", "event_index", "reason", F.to_json("e").alias("rescued"))
+    said = lambda s: F.coalesce(F.try_variant_get(s, "$.utf8", "string"), F.lit(""))
+    raw = F.array_join(F.transform(get("$.segs", "array<variant>"), said), "")
+    ms = lambda path: F.coalesce(get(path, "double"), F.lit(0.0))
+    good = rows.where("reason is null").select(
+        "video_id",
+        "event_index",
+        (ms("$.tStartMs") / 1000).alias("start_sec"),
+        ((ms("$.tStartMs") + ms("$.dDurationMs")) / 1000).alias("end_sec"),
+        (ms("$.dDurationMs") / 1000).alias("duration_sec"),
+        F.coalesce(raw, F.lit("")).alias("raw_text"),
+    )
+    good = good.withColumn("text", tx.clean(F.col("raw_text"))).where("text <> ''")
+    return good.withColumn("ends_terminal_punctuation", tx.is_terminal(F.col("text"))), lost.unionByName(bad)

@@ -9,6 +9,7 @@ from captionloom import schemas
 from captionloom.plans import runstate
 from captionloom.sources import readers, sinks
 from captionloom.streaming import streams
+from captionloom.work import Work
 
 
 def test_caption_events(spark, tmp_path):
@@ -22,6 +23,29 @@ def test_caption_events(spark, tmp_path):
     ]
 
 
+def test_broken_caption_documents(spark):
+    events = [
+        {"tStartMs": 500, "dDurationMs": 1500, "segs": [{"utf8": "Hi "}, {"utf8": "you."}]}, {"tStartMs": 1}, {"tStartMs": "x", "segs": []}, 7, None,
+        {"tStartMs": None, "segs": [{"utf8": "n"}, {}, 3, None, {"utf8": 5}]}, {"segs": "s"}, {"tStartMs": True}, {"dDurationMs": {}, "segs": []},
+    ]
+    docs = [("a", json.dumps({"events": events})), ("b", "no json"), ("c", '{"x":1}'), ("d", '{"events":{}}'), ("e", None), ("f", "[1]"), ("g", '{"events":[]}')]
+    good, bad = readers.caption_events_rescued(spark.createDataFrame(docs, "video_id string, content string"))
+    assert [(r.video_id, r.event_index, r.start_sec, r.end_sec, r.text) for r in good.orderBy("event_index").collect()] == [("a", 0, 0.5, 2.0, "Hi you."), ("a", 5, 0.0, 0.0, "n5")]
+    found = {(r.video_id, r.event_index): (r.reason, r.rescued) for r in bad.collect()}
+    assert {k: v[0] for k, v in found.items()} == {
+        ("a", 2): "BAD_START", ("a", 3): "NOT_OBJECT", ("a", 4): "NOT_OBJECT", ("a", 6): "BAD_SEGMENTS", ("a", 7): "BAD_START", ("a", 8): "BAD_DURATION",
+        ("b", None): "NOT_JSON", ("c", None): "NO_EVENTS", ("d", None): "NO_EVENTS", ("e", None): "NOT_JSON", ("f", None): "NO_EVENTS",
+    }
+    assert found["a", 6][1] == '{"segs":"s"}' and found["b", None][1] == "no json"
+
+
+def test_broken_records(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('id,name,x\n1,"a ""q"", b",1.5\n2,b,\nx,c,2.5\n3,d\n4,e,1,2\n5,"open,3\n6,,7\n')
+    good, bad = readers.csv_rescued(spark, str(tmp_path), "id long, name string, x double", Work(spark, "t"))
+    assert {(r.id, r.name, r.x) for r in good.collect()} == {(1, 'a "q", b', 1.5), (2, "b", None), (6, None, 7.0)}
+    assert {r.rescued for r in bad.collect()} == {"x,c,2.5", "3,d", "4,e,1,2", '5,"open,3'} and (good.count(), bad.count()) == (3, 4)
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", 'say "x", \n twice', 1.5), ("NA", None, None)], "id string, text string, x double")
     sinks.write_csv(df.coalesce(1), str(tmp_path / "c"))
