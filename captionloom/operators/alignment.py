@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from captionloom.functions import text as tx
-from captionloom.functions.similarity import char_similarity, ratio, token_similarity
+from captionloom.functions.similarity import char_similarity, token_similarity
 from captionloom.operators.timeline import interval_join, match_band
+from captionloom.work import Work
 
 # fixed values: acceptance, length limits and penalties
 MIN_ACCEPT, RATIO_DEVIATION, SPAN_PENALTY, MAX_SENTENCES = 0.90, 0.35, 0.04, 6
 SUBSEQUENCE_PENALTY, MAX_EVENTS = 0.03, 12
-MATCH = T.StructType([T.StructField("similarity", T.DoubleType()), T.StructField("matched", T.StringType())])
+#: Past every place of a token.
+AWAY = 1 << 30
 
 
 def sentence_alignment(clips: DataFrame) -> DataFrame:
@@ -66,36 +64,69 @@ def overlap_consensus(segments: DataFrame, events: DataFrame, key: str = "video_
     return rows.select(key, "segment_id", "overlap_text", "lexical_similarity", match_band(F.col("lexical_similarity")).alias("match_band"))
 
 
-def best_subsequence(words: list[str], caption: list[str]) -> tuple[float, str]:
-    """Ratio and text of the run of caption tokens with the best ratio less a length penalty; the first of equals.
+def run_bounds(pairs: DataFrame, key: str = "clip_id") -> DataFrame:
+    """pairs(key, w, c: arrays of tokens) -> key, m, size, at, common: for each run of c of a length that suits w, how many tokens
+    it has in common with w as multisets.
 
-    A run whose multiset bound cannot beat the best so far is passed over without matching; that loses nothing,
-    because a better score has to be strictly greater.
+    A token of c counts in a run unless as many before it in the run as w has of it are the same token, so it counts from just
+    after the place of that earliest one on. Sliding a run by one place then changes the number by three yes-or-no terms:
+    the token that leaves, the one that enters, and the one that now counts as the leaving one made room. A running sum
+    of these over the places gives all runs of a length, a row each, without looking into any run.
     """
-    m, n = len(words), len(caption)
-    if not m or not n:
-        return 0.0, ""
-    low, high = max(1, m - max(4, m // 4)), min(n, m + max(6, int(m * 0.35)))
-    best = (-1.0, 0.0, 0, 0)
-    matcher = SequenceMatcher(None, autojunk=False)
-    for size in range(low, high + 1):
-        penalty = SUBSEQUENCE_PENALTY * abs(size - m) / m
-        for at in range(n - size + 1):
-            matcher.set_seqs(words, caption[at : at + size])
-            if matcher.real_quick_ratio() - penalty <= best[0] or matcher.quick_ratio() - penalty <= best[0]:
-                continue
-            found = matcher.ratio()
-            if found - penalty > best[0]:
-                best = (found - penalty, found, at, at + size)
-    if best[3] == 0:
-        return ratio(words, caption[:0]), ""
-    return best[1], " ".join(caption[best[2] : best[3]])
-
-
-@F.pandas_udf(MATCH)
-def token_subsequence(words: pd.Series, caption: pd.Series) -> pd.DataFrame:
-    rows = [best_subsequence(list(a), list(b)) for a, b in zip(words, caption, strict=True)]
-    return pd.DataFrame(rows, columns=["similarity", "matched"])
+    rows = pairs.where((F.size("w") > 0) & (F.size("c") > 0))
+    own = rows.select(key, F.explode("w").alias("t")).groupBy(key, "t").agg(F.count(F.lit(1)).cast("int").alias("cap"))
+    said = rows.select(key, F.posexplode("c").alias("j", "t")).join(own, [key, "t"], "left")
+    w = Window.partitionBy(key, "t").orderBy("j")
+    # the place after which a token counts: -1 from the start, AWAY never; and the token that counts once this one has left
+    earlier = F.collect_list("j").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    later = F.collect_list("j").over(w.rowsBetween(1, Window.unboundedFollowing))
+    after = F.when(F.col("cap").isNull(), AWAY).otherwise(F.coalesce(F.try_element_at(earlier, -F.col("cap")), F.lit(-1)))
+    freed = F.when(F.col("cap").isNull(), AWAY).otherwise(F.coalesce(F.try_element_at(later, F.col("cap")), F.lit(AWAY)))
+    said = said.select(key, "j", after.alias("after"), freed.alias("freed"))
+    ordered = F.array_sort(F.collect_list(F.struct("j", "after", "freed")))
+    places = said.groupBy(key).agg(ordered.alias("x"))
+    places = places.select(key, F.transform("x", lambda x: x["after"]).alias("after"), F.transform("x", lambda x: x["freed"]).alias("freed"))
+    m = F.size("w")
+    # fixed values: how much shorter or longer a run may be
+    low = F.greatest(F.lit(1), m - F.greatest(F.lit(4), F.floor(m / 4).cast("int")))
+    high = F.least(F.size("c"), m + F.greatest(F.lit(6), F.floor(m * F.lit(0.35)).cast("int")))
+    sizes = rows.select(key, m.alias("m"), low.alias("low"), high.alias("high")).where("low <= high").join(places, key)
+    runs = sizes.select(key, "m", "after", "freed", F.explode(F.sequence("low", "high")).alias("size"))
+    runs = runs.select("*", F.explode(F.sequence(F.lit(0), F.size("after") - F.col("size"))).alias("at"))
+    left, entered = F.get("after", F.col("at") - 1), F.get("after", F.col("at") + F.col("size") - 1)
+    room = F.get("freed", F.col("at") - 1)
+    one = lambda c: c.cast("int")
+    slid = one(entered <= F.col("at") - 1) + one(room < F.col("at") + F.col("size") - 1) - one(left < AWAY)
+    first = F.size(F.filter(F.slice("after", F.lit(1), F.col("size")), lambda p: p < 0))
+    step = F.when(F.col("at") == 0, first).otherwise(slid)
+    return runs.select(key, "m", "size", "at", step.alias("step")).select(
+        key, "m", "size", "at", F.sum("step").over(Window.partitionBy(key, "size").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int").alias("common")
+    )
+
+
+def token_subsequence(pairs: DataFrame, work: Work, key: str = "clip_id") -> DataFrame:
+    """pairs(key, w, c) -> key, similarity, matched: the run of c with the best ratio to w less a penalty for its length; of equals
+    the shortest, then the first. Without a run of a suitable length: 0 and nothing.
+
+    The run with the best bound is matched first. Only runs whose bound exceeds what that one got, or equals it and comes
+    earlier, can win; they are matched, and the others never leave their row of numbers."""
+    pairs = work.save(pairs.select(key, "w", "c"), "pairs")
+    penalty = F.lit(SUBSEQUENCE_PENALTY) * F.abs(F.col("size") - F.col("m")) / F.col("m")
+    bounds = work.save(run_bounds(pairs, key).withColumn("bound", F.lit(2.0) * F.col("common") / (F.col("m") + F.col("size")) - penalty), "bounds")
+
+    def matched(runs: DataFrame) -> DataFrame:
+        said = runs.join(pairs, key).withColumn("run", F.slice("c", F.col("at") + 1, F.col("size")))
+        said = said.withColumn("similarity", token_similarity("w", "run"))
+        return said.select(key, "size", "at", "similarity", (F.col("similarity") - penalty).alias("score"), F.array_join("run", " ").alias("matched"))
+
+    order = F.struct(-F.col("size"), -F.col("at"))
+    top = bounds.groupBy(key).agg(F.max_by(F.struct("m", "size", "at"), F.struct("bound", order)).alias("r")).select(key, "r.*")
+    top = work.save(matched(top), "top")
+    limit = top.select(F.col(key).alias("_k"), F.col("score").alias("_score"), F.struct("size", "at").alias("_place"))
+    could = (F.col("bound") > F.col("_score")) | ((F.col("bound") == F.col("_score")) & (F.struct("size", "at") < F.col("_place")))
+    rest = work.save(bounds.join(limit, F.col(key) == F.col("_k")).where(could).select(key, "m", "size", "at"), "rest")
+    best = top.unionByName(matched(rest)).groupBy(key).agg(F.max_by(F.struct("similarity", "matched"), F.struct("score", order)).alias("b"))
+    return pairs.select(key).join(best, key, "left").select(key, F.coalesce("b.similarity", F.lit(0.0)).alias("similarity"), F.coalesce("b.matched", F.lit("")).alias("matched"))
 
 
 def event_run_match(pairs: DataFrame) -> DataFrame:

@@ -375,6 +375,27 @@ v_near AS (SELECT s.video_id || '_' || segment_id AS clip_id, s.text, c.text AS
 ), {matched("v_both", "n", "w", "c", "v_same")}
 SELECT clip_id, ratio AS similarity, matched, k AS events FROM v_both JOIN v_same ON pid = n QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY ratio DESC, i, k) = 1"""
 
+SUBSEQUENCE = f"""
+s_text AS (SELECT s.video_id, s.segment_id, string_agg(c.text, ' ' ORDER BY c.start_ms, c.end_ms, c.event_index) AS t {near(4000, "=")} GROUP BY ALL
+), s_clip AS MATERIALIZED (
+  SELECT video_id || '_' || segment_id AS clip_id, regexp_extract_all(lower(text), '{TOKEN}') AS w, regexp_extract_all(lower(coalesce(t, '')), '{TOKEN}') AS c FROM v_segments LEFT JOIN s_text USING (video_id, segment_id)
+), s_size AS (SELECT *, len(w) AS m, greatest(1, len(w) - greatest(4, len(w) // 4)) AS low, least(len(c), len(w) + greatest(6, floor(len(w) * 0.35::DOUBLE)::BIGINT)) AS high FROM s_clip WHERE len(w) > 0 AND len(c) > 0
+), s_start AS (SELECT *, unnest(range(1, len(c) - low + 2)) AS a FROM s_size WHERE low <= high
+), s_token AS (SELECT clip_id, m, low, a, unnest(range(1, least(high, len(c) - a + 1) + 1)) AS size, unnest(c[a:a + least(high, len(c) - a + 1) - 1]) AS t FROM s_start
+), s_cap AS (SELECT clip_id, t, count(*) AS cap FROM (SELECT clip_id, unnest(w) AS t FROM s_size) GROUP BY ALL
+), s_seen AS (SELECT s.*, row_number() OVER (PARTITION BY clip_id, a, t ORDER BY size) <= coalesce(cap, 0) AS counts FROM s_token s LEFT JOIN s_cap USING (clip_id, t)
+), s_common AS (SELECT clip_id, m, low, a, size, sum(counts::INT) OVER (PARTITION BY clip_id, a ORDER BY size) AS common FROM s_seen
+), s_bound AS MATERIALIZED (SELECT clip_id, a, size, 2.0::DOUBLE * common::DOUBLE / (m + size)::DOUBLE - 0.03::DOUBLE * abs(size - m) / m AS bound FROM s_common WHERE size >= low
+), s_top AS MATERIALIZED (SELECT clip_id, size, a, w, c[a:a + size - 1] AS r FROM s_bound JOIN s_clip USING (clip_id) QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY bound DESC, size, a) = 1
+), {matched("s_top", "clip_id", "w", "r", "s_first")}, s_limit AS MATERIALIZED (SELECT clip_id, size, a, ratio - 0.03::DOUBLE * abs(size - len(w)) / len(w) AS score FROM s_top JOIN s_first ON pid = clip_id
+), s_rest AS MATERIALIZED (SELECT row_number() OVER () AS n, b.clip_id, b.size, b.a, w, c[b.a:b.a + b.size - 1] AS r FROM s_bound b JOIN s_limit l ON l.clip_id = b.clip_id JOIN s_clip c ON c.clip_id = b.clip_id
+  WHERE bound > score OR (bound = score AND (b.size < l.size OR (b.size = l.size AND b.a <= l.a)))
+), {matched("s_rest", "n", "w", "r", "s_same")}, s_all AS (
+  SELECT clip_id, size, a, ratio, array_to_string(r, ' ') AS matched, ratio - 0.03::DOUBLE * abs(size - len(w)) / len(w) AS score FROM s_rest JOIN s_same ON pid = n
+  UNION ALL SELECT clip_id, size, a, ratio, array_to_string(r, ' '), ratio - 0.03::DOUBLE * abs(size - len(w)) / len(w) FROM s_top JOIN s_first ON pid = clip_id
+), s_best AS (SELECT * FROM s_all QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY score DESC, size, a) = 1)
+SELECT clip_id, coalesce(ratio, 0.0) AS similarity, coalesce(matched, '') AS matched FROM s_clip LEFT JOIN s_best USING (clip_id)"""
+
 VERDICTS = """v_verdicts AS (SELECT doc_id, CASE WHEN quality = 1 AND toxic <> 1 THEN 'GOOD' WHEN quality <> 1 AND toxic <> 1 THEN 'BAD_TEXT'
   WHEN quality = 1 THEN 'BAD_BOUNDARY' ELSE 'BAD_BOTH' END AS verdict FROM labels)"""
 
@@ -569,6 +590,7 @@ SQL: dict[str, str] = {
       UNION ALL SELECT 'FailedRows', count_if(error_type <> '') || ' of ' || count(*), count_if(error_type <> ''), 0 FROM o""",
     "resumed_stage": f"WITH {U} SELECT video_id, count(*) AS units, sum(length(text))::BIGINT AS chars, substr(video_id, 2)::BIGINT % 3 + 1 AS version FROM v_units GROUP BY ALL",
     "event_run_match": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {EVENT_RUNS}",
+    "token_subsequence": f"WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {SUBSEQUENCE}",
     "sentence_alignment": f"""WITH RECURSIVE {WORDS}, {SEGMENTS}, {CAPTIONS}, {ALIGNED}""",
     "verdict_stats": f"""WITH {VERDICTS}, s AS (SELECT verdict, (n_chars % 100) / 100.0::DOUBLE AS x FROM v_verdicts JOIN documents USING (doc_id)) SELECT verdict, count(*) AS n, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.1), 6) AS p10,
       round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.9), 6) AS p90, count_if(x < 0.85) AS below_85 FROM s GROUP BY ALL""",

@@ -11,6 +11,7 @@ from captionloom.operators import captions as cp
 from captionloom.operators import sampling as sm
 from captionloom.operators import segmentation as sg
 from captionloom.operators import timeline as tl
+from captionloom.work import Work
 
 
 def test_percent_rank(spark):
@@ -148,4 +149,5 @@ def test_alignment(spark):
     assert got["a"].alignment_decision == "ACCEPT_CAPTION" and got["a"].proposal_text == "One two three."
     assert got["b"].alignment_reason == "no_complete_caption_sentence"
     assert got["c"].alignment_reason == "no_length_compatible_complete_sentence_span"
-    assert al.best_subsequence("b c".split(), "a b c d".split()) == (1.0, "b c")
+    pair = spark.createDataFrame([("a", ["b", "c"], ["a", "b", "c", "d"]), ("b", [], ["a"])], "clip_id string, w array<string>, c array<string>")
+    assert {tuple(r) for r in al.token_subsequence(pair, Work(spark, "t")).collect()} == {("a", 1.0, "b c"), ("b", 0.0, "")}

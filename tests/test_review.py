@@ -1,6 +1,7 @@
 """Numbering, samples, checks and validation against small models."""
 
 import random
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pytest
@@ -100,7 +101,9 @@ def test_token_subsequence_against_all_runs(spark):
             caption[2:2] = words
         rows.append((k, words, caption))
     df = spark.createDataFrame(rows, "k int, w array<string>, c array<string>")
-    for r in df.withColumn("m", al.token_subsequence("w", "c")).collect():
+    found = {r.k: r for r in al.token_subsequence(df, Work(spark, "t"), "k").collect()}
+    assert found.keys() == {k for k, _, _ in rows}
+    for r in df.collect():
         m, n, best = len(r.w), len(r.c), (-1.0, 0.0, "")
         if m and n:
             for size in range(max(1, m - max(4, m // 4)), min(n, m + max(6, int(m * 0.35))) + 1):
@@ -108,7 +111,34 @@ def test_token_subsequence_against_all_runs(spark):
                     sim = SequenceMatcher(None, r.w, r.c[at : at + size], autojunk=False).ratio()
                     if sim - 0.03 * abs(size - m) / m > best[0]:
                         best = (sim - 0.03 * abs(size - m) / m, sim, " ".join(r.c[at : at + size]))
-        assert r.m.similarity == pytest.approx(best[1]) and r.m.matched == best[2]
+        assert found[r.k].similarity == pytest.approx(best[1]) and found[r.k].matched == best[2]
+
+
+def test_run_bounds_are_multiset_counts(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.choices("abcde", k=rng.randint(0, 12)), rng.choices("abcdef", k=rng.randint(0, 20))) for k in range(25)]
+    got = {(r.k, r.size, r["at"]): r.common for r in al.run_bounds(spark.createDataFrame(rows, "k int, w array<string>, c array<string>"), "k").collect()}
+    want = {}
+    for k, w, c in rows:
+        m, n = len(w), len(c)
+        if m and n:
+            for size in range(max(1, m - max(4, m // 4)), min(n, m + max(6, int(m * 0.35))) + 1):
+                want.update({(k, size, i): sum((Counter(w) & Counter(c[i : i + size])).values()) for i in range(n - size + 1)})
+    assert got == want
+
+
+def test_few_runs_are_matched(spark):
+    """On captions of recognised words, bounds leave less than a twentieth of the runs to be matched."""
+    from captionloom.functions import text as tx
+    from captionloom.plans import adapters as ad
+    from captionloom.plans import registry
+
+    sf = ad.timed(spark, "/root/testdata/sf0.001")
+    c = ad.caption_windows(registry._clips(spark, sf), ad.captions(spark, sf), 4000)
+    work = Work(spark, "t")
+    al.token_subsequence(c.select("clip_id", tx.tokens(F.col("text")).alias("w"), tx.tokens(F.coalesce("window_text", F.lit(""))).alias("c")), work).count()
+    runs, matched = (spark.read.parquet(f"{work.path}/{n}").count() for n in ("bounds", "rest"))
+    assert runs > 100_000 and matched + spark.read.parquet(f"{work.path}/top").count() < runs / 20
 
 
 def test_item_errors(spark):
