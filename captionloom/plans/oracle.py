@@ -600,5 +600,11 @@ SQL: dict[str, str] = {
     "audit_rollup": f"WITH {U}, {AUDIT} SELECT video_id, decision, audit_route, audit_decision, count(*) AS clips FROM v_audit GROUP BY ALL",
     "validate_results": f"WITH {UP}, {VALIDATED} SELECT * FROM v_valid",
     "readiness": f"WITH {UP}, {VALIDATED} SELECT count(*) AS blocks, count_if(errors <> '') AS bad_blocks, count(*) > 0 AND count_if(errors <> '') = 0 AS ready FROM v_valid",
+    "streamed_units": """WITH e AS (SELECT user_id AS source, event_id, epoch_us(ts) // 1000 AS ms, round(value * 100)::BIGINT AS amount, event_type = 'purchase' AS ends FROM events),
+      b AS (SELECT *, coalesce(lag(ends) OVER w OR ms - lag(ms) OVER w > 3600000, true) AS opens FROM e WINDOW w AS (PARTITION BY source ORDER BY ms, event_id)),
+      u AS (SELECT *, sum(opens::INT) OVER (PARTITION BY source ORDER BY ms, event_id)::BIGINT AS unit_no FROM b),
+      g AS (SELECT source, unit_no, arg_min(event_id, (ms, event_id)) AS first_event, arg_max(event_id, (ms, event_id)) AS last_event, count(*) AS n_events, sum(amount)::BIGINT AS amount, max(ms) AS end_ms, bool_or(ends) AS ended FROM u GROUP BY ALL)
+      SELECT * EXCLUDE (ended), CASE WHEN ended THEN 'end' ELSE 'pause' END AS closed_by FROM g
+      WHERE ended OR unit_no < (SELECT max(unit_no) FROM g o WHERE o.source = g.source) OR end_ms + 3600000 < (SELECT max(ms) FROM e)""",
     "manifest_digest": f"WITH {U} SELECT video_id, md5(string_agg(md5(concat_ws('|', unit_no, start_ms, end_ms, text)), '' ORDER BY unit_no)) AS digest, count(*) AS rows FROM v_units GROUP BY ALL",
 }

@@ -27,6 +27,8 @@ from captionloom.plans import runstate as rs
 from captionloom.work import Work, numbered
 from captionloom.sources import readers as rd
 from captionloom.sources import sinks as sk
+from captionloom.streaming import streams as st
+from captionloom.streaming import units as su
 
 Query = Callable[[SparkSession, str], DataFrame]
 _found: dict[str, Query] = {}
@@ -935,3 +937,30 @@ def changed_ranges(spark, sf):
     y = x.withColumn("l_extendedprice", raised).withColumn("_n", F.explode(F.array_repeat(F.lit(0), times))).drop("_n")
     one, two = (mk.tree(t, "l_orderkey", _line_digest(), work, name) for t, name in ((x, "one"), (y.repartition(3), "two")))
     return mk.difference(one, two, work)
+
+
+# ---- streams
+
+
+@query
+def streamed_units(spark, sf):
+    """Units of users' events, replayed as a stream of five files in two runs; each batch is written twice, as after a failure.
+    A purchase ends a unit, and so does an hour without events."""
+    work = Work(spark, "streamed")
+    e = ad.table(spark, sf, "events")
+    time = F.col("ts").cast("timestamp")
+    rows = e.select(F.col("user_id").alias("source"), "event_id", time.alias("time"), F.round(F.col("value") * 100).cast("long").alias("amount"), (F.col("event_type") == "purchase").alias("ends"))
+    first, last = rows.agg(F.min(F.unix_millis("time")), F.max(F.unix_millis("time"))).first()
+    part = F.floor((F.unix_millis("time") - first) * 5 / (last - first + 1))
+    write = su.write_batch(f"{work.path}/units")
+
+    def twice(df, number):
+        write(df, number)
+        write(df, number)
+
+    for k in range(5):
+        rows.where(part == k).coalesce(1).write.mode("append").parquet(f"{work.path}/events")
+        if k in (2, 4):
+            stream = st.read_new_files(spark, f"{work.path}/events", rows.schema, 1)
+            su.run_units(su.streamed_units(stream, 3_600_000), f"{work.path}/units", f"{work.path}/checkpoint", twice).awaitTermination()
+    return spark.read.parquet(f"{work.path}/units").drop("batch")
