@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import html
+import html.entities
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # fixed values: closing marks, terminal and clause marks, letters of the lexical form, spacing rules, markers
 CLOSERS = "[\"”’'»)\\]]"
@@ -19,34 +17,63 @@ NO_SPACE_BEFORE = "^[,.;:!?…%)\\]}”’»]"
 NO_SPACE_AFTER = "[(\\[{“‘«]$"
 EVENT_TIGHT = "^[ \\n,.?!…:;)\\]}]"
 MOJIBAKE = ("Ã", "Â", "Ä", "Æ", "á»", "áº", "â€", "ðŸ", "�")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 #: A sentence mark with its closers, before white space or the end.
 INNER_BOUNDARY = "((?:[.!?]+|…+)[\"”’»)\\]]*)(?=(?U:\\s)|$)"
 SENTENCE = "((?s).*?[.!?…]+[\"”’'»)\\]]*(?=(?U:\\s)|$))"
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(text: pd.Series) -> pd.Series:
-    """All named and numeric HTML entities."""
-    return text.map(html.unescape, na_action="ignore")
-
-
-def unescape_common(text: Column) -> Column:
-    """The five entities that captions have, without leaving the JVM."""
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
-def clean(text: Column, full_entities: bool = False) -> Column:
+def names_of_entities() -> Column:
+    """The named character references of HTML, with and without their semicolons, as a map that plans hold as one constant."""
+    return F.str_to_map(F.lit("\u0002".join(f"{k}\u0001{v}" for k, v in html.entities.html5.items())), F.lit("\u0002"), F.lit("\u0001"))
+
+
+def numeric_reference(code: Column) -> Column:
+    """The character of a number in a reference, by the rules of HTML: bytes that are no control characters are windows-1252,
+    what is no character is a replacement mark or nothing."""
+    # the 32 codes after 127, of which five have no character in windows-1252
+    western = F.array(*(F.lit(bytes([k]).decode("cp1252", "ignore") or chr(k)) for k in range(0x80, 0xA0)))
+    low = F.pmod(code, F.lit(0x10000))
+    nothing = code.between(1, 8) | code.between(0x0E, 0x1F) | (code == 0x0B) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (low >= 0xFFFE)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when(code.between(0x80, 0x9F), F.get(western, (code - 0x80).cast("int")))
+        .when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+        .when(nothing, "")
+        .otherwise(plain)
+    )
+
+
+def unescape(text: Column) -> Column:
+    """All named and numeric HTML references, each once, without leaving the JVM. A text without & is handed on as it is."""
+    named = names_of_entities()
+
+    def numeric(piece: Column, digits: Column, base: int, lead: int) -> Column:
+        """digits are not empty; more than seven after the zeros exceed every character."""
+        short = F.regexp_replace(digits, "^0+(?=.)", "")
+        code = F.when(F.length(short) > 7, 0x110000).otherwise(F.conv(short, base, 10).cast("long"))
+        end = F.length(digits) + lead
+        semicolon = (F.substring(piece, end + 1, 1) == ";").cast("int")
+        return F.concat(numeric_reference(code), F.substring(piece, end + semicolon + 1, F.length(piece)))
+
+    def name(piece: Column) -> Column:
+        """The longest beginning of at least two characters that is a name."""
+        whole = F.regexp_extract(piece, "^[^\\t\\n\\f <#;]{1,32};?", 0)
+        sizes = F.when(F.length(whole) >= 2, F.sequence(F.length(whole), F.lit(2), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+        hit = F.get(F.filter(F.transform(sizes, lambda n: F.substring(whole, F.lit(1), n)), lambda k: F.map_contains_key(named, k)), F.lit(0))
+        return F.coalesce(F.concat(F.try_element_at(named, hit), F.substring(piece, F.length(hit) + 1, F.length(piece))), F.concat(F.lit("&"), piece))
+
+    def one(piece: Column) -> Column:
+        ten, sixteen = F.regexp_extract(piece, "^#([0-9]+)", 1), F.regexp_extract(piece, "^#[xX]([0-9a-fA-F]+)", 1)
+        return F.when(ten != "", numeric(piece, ten, 10, 1)).when(sixteen != "", numeric(piece, sixteen, 16, 2)).otherwise(name(piece))
+
+    pieces_ = F.split(text, "&", -1)
+    back = F.concat(F.get(pieces_, F.lit(0)), F.array_join(F.transform(F.slice(pieces_, F.lit(2), F.size(pieces_)), one), ""))
+    return F.when(text.contains("&"), back).otherwise(text)
+
+
+def clean(text: Column) -> Column:
     """Entities, zero-width characters and runs of white space within a line; line feeds stay inside."""
-    if full_entities:
-        # only texts with an entity go to Python
-        found = html_unescape(F.when(text.rlike("&[#A-Za-z]"), text))
-        text = F.coalesce(found, text)
-    else:
-        text = unescape_common(text)
-    text = F.regexp_replace(F.translate(text, "​﻿", ""), "[ \\t\\r\\f\\x0B]+", " ")
+    text = F.regexp_replace(F.translate(unescape(text), "\u200b\ufeff", ""), "[ \\t\\r\\f\\x0B]+", " ")
     return F.regexp_replace(text, "^[ \\n]+|[ \\n]+$", "")
 
 

@@ -157,6 +157,37 @@ def spread_sample(rows: DataFrame, count: int, score: str, work: Work, name: str
     return ranked.join(order, "_rank").drop("_rank", "_score")
 
 
+def keep_auto_queue(picked: DataFrame, work: Work, key: str = "video_id") -> DataFrame:
+    """Picked trusted clips in the order in which they are heard, with queue_no from 0: quality spread, weakest boundary,
+    shortest, longest, the rest; each in the order of the pilot."""
+    # fixed values: order of the reasons
+    reasons = ("keep_quality_spread", "keep_weakest_boundary", "keep_shortest", "keep_longest")
+    priority = F.coalesce(*(F.when(F.col("pilot_reason") == r, n) for n, r in enumerate(reasons)), F.lit(len(reasons)))
+    return numbered(picked.withColumn("review_priority", priority), ["review_priority", key, "place"], "queue_no", work)
+
+
+def group_sample(audited: DataFrame, each: int, work: Work, key: str = "video_id") -> DataFrame:
+    """`each` clips of the three audit groups, with audit_group and sample_order from 1 over all: accepted and doubtful ones spread
+    over their similarity, from different sources where there are so many, and of those without caption trust the middle one by
+    quality of each of the first sources. Fails unless every group has its number and no clip is in two. audited is a written table."""
+    accept, align, whisper = "ACCEPT_CAPTION_CANDIDATE", "REVIEW_ALIGNMENT", "REVIEW_WHISPER_PRIMARY"
+    of = lambda g: audited.where(F.col("audit_decision") == g)
+    spread = [spread_sample(of(g), each, "proposal_similarity", work, g.lower(), key).withColumn("audit_group", F.lit(g)) for g in (accept, align)]
+    sources = of(whisper).select(key).distinct().orderBy(key).limit(each)
+    middle = middle_of(of(whisper).join(F.broadcast(sources), key), ["quality_score", "raw_start_ms", "clip_no"], key)
+    order = F.row_number().over(Window.orderBy(key)).cast("int")
+    parts = [*spread, middle.withColumn("sample_order", order).withColumn("audit_group", F.lit(whisper))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part.select(out.columns))
+    first = F.when(F.col("audit_group") == align, each).when(F.col("audit_group") == whisper, 2 * each).otherwise(0)
+    out = work.save(out.withColumn("sample_order", F.col("sample_order") + first), "group_sample")
+    found = out.agg(*(F.count_if(F.col("audit_group") == g) for g in (accept, align, whisper)), F.countDistinct("clip_id")).first()
+    if tuple(found) != (each, each, each, 3 * each):
+        raise ValueError(f"expected {each} different clips of each group, found {tuple(found)}")
+    return out
+
+
 def semantic_pilot(pieces: DataFrame, seed: int, quota: dict[str, int], order: list[str], key: str = "video_id") -> DataFrame:
     """Pieces of each source by bucket (first that fits: LONG_SPLIT, TINY_FRAGMENT, REPEAT_OR_CROWDING,
     NORMAL_CONTROL), in a seeded order up to the bucket's quota, with the texts before and after."""

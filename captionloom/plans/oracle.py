@@ -325,6 +325,17 @@ AUDIT = f"""{GRADED}, v_audit AS (
   FROM v_graded WHERE decision IN ('KEEP_AUTO', 'KEEP_WHISPER_PRIMARY')
 )"""
 
+def spread_steps(name: str, group: str, count: int = 5) -> str:
+    """{name}_picked(k, video_id, clip_id): `count` rows of an audit group, one for each target rank in turn: the nearest of a source that
+    has none yet, else the nearest."""
+    out = f"""{name}_rank AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY proposal_similarity, video_id, raw_start_ms, clip_id) - 1 AS i, count(*) OVER () AS n FROM v_audit WHERE audit_decision = '{group}')"""
+    for k in range(count):
+        before = " UNION ALL ".join(f"SELECT i, video_id FROM {name}_{j}" for j in range(k)) or "SELECT NULL, NULL WHERE false"
+        out += f""", {name}_{k} AS MATERIALIZED (SELECT {k + 1} AS k, r.* FROM {name}_rank r WHERE i NOT IN (SELECT i FROM ({before}) x(i, v))
+      ORDER BY video_id IN (SELECT v FROM ({before}) x(i, v)), abs(i - round_even({k} * (n - 1) / {count - 1}, 0)), i LIMIT 1)"""
+    return out + f", {name}_picked AS ({' UNION ALL '.join(f'SELECT k, video_id, clip_id FROM {name}_{k}' for k in range(count))})"
+
+
 VALIDATED = f"""
 v_block AS (SELECT video_id || '_' || unit_no AS block_id, unit_no, text FROM v_units),
 v_result AS (
@@ -445,6 +456,9 @@ SQL: dict[str, str] = {
     "unescaped_pages": f"SELECT page_id, md5(c) AS clean_md5, length(c) AS clean_chars FROM (SELECT page_id, {clean("replace(replace(html, '&copy;', '©'), '&middot;', '·')")} AS c FROM pages)",
     "clean_text": f"SELECT doc_id, md5({clean('text')}) AS clean_md5, length({clean('text')}) AS clean_chars FROM documents",
     "lexical_tokens": f"SELECT conv_id, turn, form, CASE WHEN form = '' THEN 0 ELSE len(string_split(form, ' ')) END AS n_tokens, n_found FROM (SELECT conv_id, turn, {lexical('text')} AS form, len(regexp_extract_all(lower(text), '{TOKEN}')) AS n_found FROM conversations)",
+    "entity_forms": f"SELECT conv_id, turn, {lexical('text')} AS form FROM conversations",
+    "parsed_numbers": """WITH v AS (SELECT event_type, try_cast(CASE WHEN event_id % 7 = 0 THEN 'n/a' WHEN event_id % 11 = 0 THEN 'NaN' WHEN event_id % 13 = 0 THEN '' WHEN event_id % 17 = 0 THEN ' 12.5 ' WHEN event_id % 19 = 0 THEN '1e3'
+      ELSE value::VARCHAR END AS DOUBLE) AS x FROM events), n AS (SELECT event_type, CASE WHEN NOT isnan(x) THEN x END AS x FROM v) SELECT event_type, count(x) AS numbers, count_if(x IS NULL) AS "none", round(sum(x), 4) AS total FROM n GROUP BY ALL""",
     "terminal_flags": f"WITH {WORDS} SELECT video_id, count_if(regexp_matches(word, '{TERMINAL}')) AS terminal, count_if(regexp_matches(word, '{CLAUSE}')) AS clause, count(*) AS words FROM v_words GROUP BY ALL",
     "piece_hints": f"""WITH {UP}, {RISKS} SELECT piece_id, needs_split_hint, tiny_hint, repeat_hint, crowding_hint FROM v_pieces JOIN v_risks USING (piece_id)""",
     "semantic_pilot": f"""WITH {UP}, {RISKS}, b AS (SELECT video_id, piece_id, lag(text_exact) OVER w AS prev_text, lead(text_exact) OVER w AS next_text,
@@ -456,8 +470,8 @@ SQL: dict[str, str] = {
     "hms_labels": f"""WITH {WORDS}, {SEGMENTS} SELECT video_id, segment_id, printf('%02d:%02d:%02d.%03d', start_ms // 3600000, start_ms // 60000 % 60, start_ms // 1000 % 60, start_ms % 1000) AS start_label,
       printf('%02d:%02d:%02d.%03d', end_ms // 3600000, end_ms // 60000 % 60, end_ms // 1000 % 60, end_ms % 1000) AS end_label FROM v_segments""",
     "mojibake_report": "SELECT lang, sum(" + " + ".join(f"(length(text) - length(replace(text, '{m}', ''))) // {len(m)}" for m in ("Ã", "Â", "Ä", "Æ", "á»", "áº", "â€", "ðŸ", "�")) + ") AS markers, count_if(regexp_matches(text, '[ăâđêôơư]')) AS native FROM documents GROUP BY ALL",
-    "output_verification": "SELECT l_returnflag, count_if(ok) AS verified, count_if(NOT ok) AS failed FROM (SELECT l_returnflag, abs((l_quantity + l_discount * 5) - l_quantity) <= 0.35 AS ok FROM lineitem) GROUP BY ALL",
-    "task_estimates": f"WITH {U} SELECT video_id, unit_no, round((end_ms - start_ms) / 1000.0, 3) AS unit_duration_sec, n_events, greatest(1, round_even((end_ms - start_ms) / 8000.0, 0)::INT) AS target_segments FROM v_units",
+    "output_verification": "SELECT l_returnflag, count_if(ok) AS verified, count_if(NOT ok) AS failed FROM (SELECT l_returnflag, abs((l_quantity + l_discount * 5) - l_quantity) <= 0.35 AND l_linenumber % 4 <> 0 AND l_partkey % 5 <> 0 AS ok FROM lineitem) GROUP BY ALL",
+    "task_estimates": f"WITH {WORDS}, {CAPTIONS.replace('% 13 <> 12', '% 13 <> 12 AND word_index // 7 % 10 <> 9')}, {UNITS} SELECT video_id, unit_no, round((end_ms - start_ms) / 1000.0, 3) AS unit_duration_sec, last_event_index - first_event_index + 1 AS events_in_unit, n_events, greatest(1, round_even((end_ms - start_ms) / 8000.0, 0)::INT) AS target_segments FROM v_units",
     "word_gaps": f"WITH {WORDS}, {GAPS} SELECT video_id, word_index, gap_before_ms, gap_after_ms, gap_global_ms, segment_boundary, cross_segment FROM v_gaps",
     "pause_percent_rank": f"""WITH {WORDS}, {GAPS} SELECT video_id, word_index, CASE WHEN gap_global_ms IS NOT NULL AND n >= 5 THEN round((r + (c - 1) / 2) / n, 9) END AS pause_percentile FROM (
       SELECT *, rank() OVER (PARTITION BY video_id ORDER BY gap_global_ms NULLS LAST) AS r, count(*) OVER (PARTITION BY video_id, gap_global_ms) AS c, count(gap_global_ms) OVER (PARTITION BY video_id) AS n FROM v_gaps)""",
@@ -516,8 +530,9 @@ SQL: dict[str, str] = {
       round(mean_word_probability, 6) AS mean_word_probability, round(word_probability_p10, 6) AS word_probability_p10, round(median_segment_avg_logprob, 6) AS median_segment_avg_logprob,
       round(max_segment_no_speech_prob, 6) AS max_segment_no_speech_prob, round(clip_consensus_mean, 6) AS clip_consensus_mean, decision, decision_reason, round(round_even(quality_score, 6) + 1e-7, 4) AS quality_score FROM v_manifest""",
     "decision_summary": f"WITH RECURSIVE {M} SELECT video_id, decision, count(*) AS clips, {hours('sum(cut_end_ms - cut_start_ms)')} AS hours, sum(word_count) AS words FROM v_manifest GROUP BY ALL",
-    "suspicious_keep": f"""WITH RECURSIVE {M} SELECT clip_id, word_count, raw_start_ms, raw_end_ms FROM v_manifest WHERE dur < 3000 OR dur > 14000 OR word_count < 3 OR mean_word_probability < 0.78 OR word_probability_p10 < 0.45
-      OR max_segment_no_speech_prob > 0.35 OR median_segment_avg_logprob < -0.90""",
+    "suspicious_keep": f"""WITH RECURSIVE {M}, a AS (SELECT * REPLACE (mean_word_probability - CASE WHEN right(clip_id, 1) IN ('3', '7') THEN 0.3 ELSE 0 END AS mean_word_probability) FROM v_manifest)
+      SELECT clip_id, decision, word_count, raw_start_ms, raw_end_ms FROM a WHERE decision LIKE 'KEEP%' AND (dur < 3000 OR dur > 14000 OR word_count < 3 OR mean_word_probability < 0.78 OR word_probability_p10 < 0.45
+      OR max_segment_no_speech_prob > 0.35 OR median_segment_avg_logprob < -0.90)""",
     "structural_qc": f"""WITH RECURSIVE {M}, f AS (SELECT count(*) AS rows, count(clip_id) - count(DISTINCT clip_id) AS duplicate_ids, 0 AS unknown_decisions, count_if({BAD} AND decision <> 'DROP') AS invalid_active,
       count_if({BAD} AND decision = 'DROP') AS invalid_drop, count_if(trim(text) = '') AS empty_text FROM v_manifest),
       m AS (SELECT count(*) AS missing_sources FROM (SELECT DISTINCT 'd' || doc_id AS v FROM documents) WHERE v NOT IN (SELECT video_id FROM v_manifest)),
@@ -541,6 +556,13 @@ SQL: dict[str, str] = {
     "first_values": f"""WITH {U} SELECT video_id, arg_min(n_events, unit_no) FILTER (unit_no % 3 = 0) AS n_events, arg_min(end_ms, unit_no) FILTER (terminated) AS end_ms FROM v_units GROUP BY ALL""",
     "quota_pilot": f"""WITH {U}, {GRADED}, v_auto AS (SELECT * FROM v_graded WHERE decision = 'KEEP_AUTO'), v_quota AS (SELECT video_id, 160 // count(*) OVER () + (row_number() OVER (ORDER BY video_id) - 1 < 160 % count(*) OVER ())::INT AS quota
       FROM (SELECT DISTINCT video_id FROM v_auto)), {pilot('v_auto', '160', '')} SELECT video_id, clip_id, pilot_reason, place FROM v_placed JOIN v_quota USING (video_id) WHERE place <= quota""",
+    "keep_auto_queue": f"""WITH {U}, {GRADED}, v_auto AS (SELECT * FROM v_graded WHERE decision = 'KEEP_AUTO'), v_quota AS (SELECT video_id, 160 // count(*) OVER () + (row_number() OVER (ORDER BY video_id) - 1 < 160 % count(*) OVER ())::INT AS quota
+      FROM (SELECT DISTINCT video_id FROM v_auto)), {pilot('v_auto', '160', '')}, q AS (SELECT *, coalesce(list_position(['keep_quality_spread', 'keep_weakest_boundary', 'keep_shortest', 'keep_longest'], pilot_reason), 5) - 1 AS review_priority
+      FROM v_placed JOIN v_quota USING (video_id) WHERE place <= quota) SELECT row_number() OVER (ORDER BY review_priority, video_id, place) - 1 AS queue_no, review_priority, clip_id, pilot_reason FROM q""",
+    "group_sample": f"WITH {U}, {AUDIT}, {spread_steps('a', 'ACCEPT_CAPTION_CANDIDATE')}, {spread_steps('b', 'REVIEW_ALIGNMENT')}, "
+    + """w AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY quality_score, raw_start_ms, clip_no) - 1 AS i, count(*) OVER (PARTITION BY video_id) AS n, dense_rank() OVER (ORDER BY video_id) AS d FROM v_audit WHERE audit_decision = 'REVIEW_WHISPER_PRIMARY')
+      SELECT 'ACCEPT_CAPTION_CANDIDATE' AS audit_group, k AS sample_order, video_id, clip_id FROM a_picked UNION ALL SELECT 'REVIEW_ALIGNMENT', k + 5, video_id, clip_id FROM b_picked
+      UNION ALL SELECT 'REVIEW_WHISPER_PRIMARY', d + 10, video_id, clip_id FROM w WHERE d <= 5 AND i = n // 2""",
     "middle_pick": f"WITH {U}, {GRADED} SELECT video_id, clip_id FROM v_graded QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY quality_score, raw_start_ms, clip_no) - 1 = count(*) OVER (PARTITION BY video_id) // 2",
     "review_parts": f"WITH RECURSIVE {UP}, {packed(REVIEW_PARTS)} {PACKED}",
     "semantic_tasks": f"WITH RECURSIVE {UP}, {packed(TASKS_V2)} {PACKED}",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from captionloom import params as P
+from captionloom import schemas
 from captionloom.functions import text as tx
 from captionloom.operators import alignment as al
 from captionloom.operators import audit as au
@@ -67,13 +68,13 @@ def v_captions(spark, sf):
 @query
 def clean_text(spark, sf):
     t = ad.table(spark, sf, "documents")
-    t = t.select("doc_id", tx.clean(F.col("text"), full_entities=True).alias("c"))
+    t = t.select("doc_id", tx.clean(F.col("text")).alias("c"))
     return t.select("doc_id", F.md5(F.col("c").cast("binary")).alias("clean_md5"), F.length("c").alias("clean_chars"))
 
 
 @query
 def unescaped_pages(spark, sf):
-    p = ad.table(spark, sf, "pages").select("page_id", tx.clean(F.col("html"), full_entities=True).alias("c"))
+    p = ad.table(spark, sf, "pages").select("page_id", tx.clean(F.col("html")).alias("c"))
     return p.select("page_id", F.md5(F.col("c").cast("binary")).alias("clean_md5"), F.length("c").alias("clean_chars"))
 
 
@@ -83,6 +84,24 @@ def lexical_tokens(spark, sf):
     return t.select("conv_id", "turn", "form", F.size(tx.lexical_tokens(F.col("text"))).alias("n_tokens"), F.size(tx.tokens(F.col("text"))).alias("n_found"))
 
 
+@query
+def entity_forms(spark, sf):
+    """Normal forms of turns that are written with named, decimal and hexadecimal references: those of the turns themselves."""
+    t = F.col("text")
+    for char, reference in (("&", "&amp;"), (" ", "&nbsp;"), ("'", "&#x27;"), (".", "&#46;"), ("é", "&eacute;"), ("ü", "&uuml"), (",", "&comma;")):
+        t = F.replace(t, F.lit(char), F.lit(reference))
+    return ad.table(spark, sf, "conversations").select("conv_id", "turn", tx.lexical(t).alias("form"))
+
+
+@query
+def parsed_numbers(spark, sf):
+    """Values of events as text, some of which are no numbers, and what is left of them as numbers."""
+    k = F.col("event_id")
+    v = F.when(k % 7 == 0, "n/a").when(k % 11 == 0, "NaN").when(k % 13 == 0, "").when(k % 17 == 0, " 12.5 ").when(k % 19 == 0, "1e3").otherwise(F.col("value").cast("string"))
+    e = schemas.numbers(schemas.require_columns(ad.table(spark, sf, "events"), "event_id", "event_type", "value").withColumn("value", v), "value")
+    return e.groupBy("event_type").agg(F.count("value").alias("numbers"), F.count_if(F.col("value").isNull()).alias("none"), F.round(F.sum("value"), 4).alias("total"))
+
+
 @query
 def terminal_flags(spark, sf):
     w = ad.words(spark, sf)
@@ -110,17 +129,23 @@ def mojibake_report(spark, sf):
 
 @query
 def output_verification(spark, sf):
-    """Line items as produced files: requested and actual seconds, rate and channels by rule."""
+    """Line items as produced files: requested and actual seconds, and by rule some files of another rate or with two channels."""
     x = ad.table(spark, sf, "lineitem")
-    ok = qc.output_ok(F.col("l_quantity"), F.col("l_quantity") + F.col("l_discount") * 5, F.lit(22_050), F.lit(1))
+    rate, channels = F.when(F.col("l_linenumber") % 4 == 0, 44_100).otherwise(22_050), F.when(F.col("l_partkey") % 5 == 0, 2).otherwise(1)
+    ok = qc.output_ok(F.col("l_quantity"), F.col("l_quantity") + F.col("l_discount") * 5, rate, channels)
     return x.groupBy("l_returnflag").agg(F.count_if(ok).alias("verified"), F.count_if(~ok).alias("failed"))
 
 
 @query
 def task_estimates(spark, sf):
-    u = ad.units(spark, sf)
+    """Units of captions in which each tenth event is blank: such events have gone, but stand between the others' indices."""
+    text = F.when(F.col("event_index") % 10 == 9, " \n").otherwise(F.col("text"))
+    u = cp.sentence_units(ad.captions(spark, sf).withColumn("text", text).where("trim(text, ' \n') <> ''"))
     n = F.greatest(F.lit(1), F.bround((F.col("end_ms") - F.col("start_ms")) / 8000.0, 0).cast("int"))
-    return u.select("video_id", "unit_no", F.round((F.col("end_ms") - F.col("start_ms")) / 1000.0, 3).alias("unit_duration_sec"), "n_events", n.alias("target_segments"))
+    return u.select(
+        "video_id", "unit_no", F.round((F.col("end_ms") - F.col("start_ms")) / 1000.0, 3).alias("unit_duration_sec"),
+        (F.col("last_event_index") - F.col("first_event_index") + 1).alias("events_in_unit"), "n_events", n.alias("target_segments"),
+    )
 
 
 # ---- windows and interval features
@@ -417,7 +442,10 @@ def decision_summary(spark, sf):
 
 @query
 def suspicious_keep(spark, sf):
-    return qc.suspicious_keep(ad.manifest(spark, sf).withColumn("decision", F.lit("KEEP_AUTO"))).select("clip_id", "word_count", "raw_start_ms", "raw_end_ms")
+    """Clips whose probabilities were measured anew after the decision, some of them lower: kept ones that miss a limit now."""
+    m = ad.manifest(spark, sf)
+    again = F.when(F.substring("clip_id", -1, 1).isin("3", "7"), F.col("mean_word_probability") - 0.3).otherwise(F.col("mean_word_probability"))
+    return qc.suspicious_keep(m.withColumn("mean_word_probability", again)).select("clip_id", "decision", "word_count", "raw_start_ms", "raw_end_ms")
 
 
 @query
@@ -505,10 +533,16 @@ def middle_pick(spark, sf):
 @query
 def group_sample(spark, sf):
     work = Work(spark, "group_sample")
-    g = work.save(_graded(spark, sf), "graded")
-    auto = sm.spread_sample(g.where("decision = 'KEEP_AUTO'"), 5, "quality_score", work, "auto").withColumn("audit_group", F.lit("ACCEPT_CAPTION_CANDIDATE"))
-    held = sm.spread_sample(g.where("decision = 'REVIEW'"), 5, "quality_score", work, "held").withColumn("audit_group", F.lit("REVIEW_ALIGNMENT"))
-    return auto.unionByName(held).select("audit_group", "sample_order", "video_id", "clip_id")
+    audited = work.save(_audited(spark, sf), "audited")
+    return sm.group_sample(audited, 5, work).select("audit_group", "sample_order", "video_id", "clip_id")
+
+
+@query
+def keep_auto_queue(spark, sf):
+    """Trusted clips of a pilot in the order in which they are heard."""
+    work = Work(spark, "keep_auto")
+    picked = sm.quota_pilot(work.save(_graded(spark, sf), "graded"), 160, work)
+    return sm.keep_auto_queue(picked, work).select("queue_no", "review_priority", "clip_id", "pilot_reason")
 
 
 @query

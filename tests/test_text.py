@@ -1,5 +1,8 @@
 """Text functions against literal vectors and small Python models."""
 
+import html
+import html.entities
+import random
 import re
 
 import pytest
@@ -48,7 +51,7 @@ def test_hms(spark, seconds, label):
 
 def test_clean_keeps_line_feeds(spark):
     assert one(spark, tx.clean(F.col("t")), t=" a\t\tb &amp; c\n d​ ") == "a b & c\n d"
-    assert one(spark, tx.clean(F.col("t"), full_entities=True), t="&eacute;&#233;") == "éé"
+    assert one(spark, tx.clean(F.col("t")), t="&eacute;&#233;") == "éé"
 
 
 def test_hints(spark):
@@ -64,3 +67,20 @@ def test_similarity(spark, a, b, value):
     assert one(spark, si.token_similarity(*cols), a=a, b=b) == pytest.approx(value)
     df = spark.createDataFrame([(1, a, b)], "n int, a string, b string")
     assert si.multiset_similarity(df, ["n"], *cols, "bound").first().bound >= value - 1e-12
+
+
+def test_unescape_equals_the_library(spark):
+    rng = random.Random(12)
+    bits = ["&", "&amp;", "&lt", "&nbsp;", "&#x27;", "&#39", "&#128;", "&#x81;", "&#0;", "&#xD800;", "&#x110000;", "&#99999999999;", "&#11;", "&#xFDD0;", "&#x1F600;", "&#x1ffff;", "&notit;", "&noti", "&CounterClockwiseContourIntegral;"]
+    bits += ["&acE;", "&x;", "&é;", "& ", "&#;", "&#x;", "&#xg", ";", "a", "<", "#", "é汉", "&amp;lt;", "&thetasym", "&notin;x", "\n", "&#065;", "&#x000041", "&ampamp;", "&a" * 40, "&frac12", "&#12", "3;"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(1, 6))) for _ in range(1500)] + bits + [f"&{n}" for n in list(html.entities.html5)[::7]] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", tx.unescape(F.col("t")).alias("u"), F.transform(F.array("t"), tx.unescape).alias("l")).collect():
+        want = None if r.t is None else html.unescape(r.t)
+        assert r.u == want and r.l == [want], r.t
+
+
+def test_entity_names_are_one_constant(spark, capsys):
+    spark.range(1).select(tx.unescape(F.col("id").cast("string"))).explain("extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1]
+    assert "str_to_map" not in optimized
