@@ -56,10 +56,11 @@ def unescape(text: Column) -> Column:
         return F.concat(numeric_reference(code), F.substring(piece, end + semicolon + 1, F.length(piece)))
 
     def name(piece: Column) -> Column:
-        """The longest beginning of at least two characters that is a name."""
+        """The longest beginning of at least two characters that is a name. Inner functions name no variable of outer ones: Spark
+        does not find a Python function above such a text."""
         whole = F.regexp_extract(piece, "^[^\\t\\n\\f <#;]{1,32};?", 0)
-        sizes = F.when(F.length(whole) >= 2, F.sequence(F.length(whole), F.lit(2), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-        hit = F.get(F.filter(F.transform(sizes, lambda n: F.substring(whole, F.lit(1), n)), lambda k: F.map_contains_key(named, k)), F.lit(0))
+        beginnings = F.transform(F.array_repeat(whole, F.greatest(F.lit(0), F.length(whole) - 1)), lambda w, k: F.substring(w, F.lit(1), F.length(w) - k))
+        hit = F.get(F.filter(beginnings, lambda k: F.map_contains_key(named, k)), F.lit(0))
         return F.coalesce(F.concat(F.try_element_at(named, hit), F.substring(piece, F.length(hit) + 1, F.length(piece))), F.concat(F.lit("&"), piece))
 
     def one(piece: Column) -> Column:
