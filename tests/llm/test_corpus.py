@@ -218,7 +218,40 @@ def test_codes_that_clash_do_not_link_lines(spark, monkeypatch):
     lines = ["a b c d e", "f g h i j", "a b c d x"]
     pairs = spark.createDataFrame([(k, m, lines[k], lines[m]) for k in range(3) for m in range(k)], "a int, b int, u string, v string")
     pairs = pairs.withColumn("x", ld.coded(F.split("u", " "))).withColumn("y", ld.coded(F.split("v", " ")))
-    assert [(r.a, r.b) for r in ld.alike(pairs, 0.8).collect()] == [(2, 0)]
+    assert [(r.a, r.b) for r in ld.alike(pairs, 0.8, Work(spark, "t")).collect()] == [(2, 0)]
+
+
+@pytest.mark.parametrize("n", [60_000, 70_000])
+def test_lines_of_very_many_words(spark, n):
+    """Lines of more different words than UTF-16 has codes below its surrogates, or at all; two of them are near copies."""
+    book = [f"w{k}x" for k in range(n)]
+    near, far = book[:100] + ["other"] * 5 + book[105:], [f"v{k}" if k % 3 == 0 else w for k, w in enumerate(book)]
+    got = ld.line_dedup(table(spark, [(1, " ".join(book)), (2, " ".join(near)), (3, " ".join(far))]), similarity=0.99, keep_text=False).collect()
+    assert {r.doc_id: r.n_kept for r in got} == {1: 1, 2: 0, 3: 1}
+
+
+def test_template_lines_meet_by_sketch(spark):
+    """Many different lines of one template share a block; few of them become pairs."""
+    rows = [(k, f"total price is {k * 7919}") for k in range(3000)] + [(9000, "total price is 7919 now")]
+    docs, work = table(spark, rows), Work(spark, "t")
+    links = {(r.a, r.b) for r in ld.line_links(docs, work, 0.8).collect()}
+    assert len(links) == 1
+    got = ld.line_dedup(docs, keep_text=False)
+    assert [r.doc_id for r in got.where("n_kept = 0").collect()] == [9000]
+    tags = spark.createDataFrame([(4 | k << 16,) for k in range(50)] + [(5 | 3 << 16,)], "tag long")
+    keys = tags.select("tag", F.explode(ld.sketch_keys(F.col("tag"), 0.8)).alias("key"))
+    pairs = keys.join(keys.withColumnRenamed("tag", "other"), "key").where("tag < other").select("tag", "other").distinct()
+    want = {(a, b) for a in (r.tag for r in tags.collect()) for b in (r.tag for r in tags.collect()) if a < b and (a & 65535, b & 65535) == (4, 5) and bin((a ^ b) >> 16).count("1") <= 2}
+    assert want <= {(r.tag, r.other) for r in pairs.collect()}
+
+
+def test_simhash_of_lines(spark):
+    rng = random.Random(2)
+    rows = [[rng.getrandbits(62) for _ in range(n)] for n in (4, 5, 31, 32, 255, 256, 700)]
+    df = spark.createDataFrame([(r,) for r in rows], "hs array<long>")
+    for r in df.select("hs", F.transform("hs", lambda h: F.xxhash64(F.lit(3), h)).alias("words"), ld.simhash(F.col("hs")).alias("p")).collect():
+        counts = [sum(w >> bit & 1 for w in r.words) for bit in range(64)]
+        assert r.p & (1 << 64) - 1 == sum((c > len(r.hs) / 2) << bit for bit, c in enumerate(counts))
 
 
 def test_language_model(spark):
