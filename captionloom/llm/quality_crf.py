@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, pieces, texts
+from .common import crc_fold, pieces_by_size, texts
 from .linear import Logistic, labelled_sample
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
@@ -150,12 +150,12 @@ class Field:
 
 
 def train(texts_: list[str], labels: np.ndarray) -> Field:
-    """The field from two thirds of the sample, its calibration from the rest; a small sample serves both."""
-    part = np.arange(labels.size) % 3 != 2 if labels.size >= 300 else np.ones(labels.size, bool)
+    """The field from two thirds of the sample, its calibration from the rest, at every size: no document's score is calibrated on
+    a field that has seen it."""
+    part = np.arange(labels.size) % 3 != 2
     field = fit([t for t, p in zip(texts_, part, strict=True) if p], labels[part])
-    rest = ~part if not part.all() else part
-    seen = field.aggregate([t for t, p in zip(texts_, rest, strict=True) if p])
-    return replace(field, calibration=Logistic(seen, labels[rest]))
+    seen = field.aggregate([t for t, p in zip(texts_, part, strict=True) if not p])
+    return replace(field, calibration=Logistic(seen, labels[~part]))
 
 
 def fit(texts_: list[str], labels: np.ndarray) -> Field:
@@ -221,7 +221,7 @@ def score_quality(
     model = train(sample, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces_by_size(batches, 2):
             score = model.calibration.predict(model.aggregate(batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32)), *batch.columns[3:]], names

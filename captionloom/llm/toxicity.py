@@ -120,11 +120,9 @@ class Model:
         return [float(top[-1]), float(top.mean()), *counts, float(np.log1p(saved.size))]
 
 
-def train(texts_: list[str], labels: np.ndarray, window: int = WINDOW) -> Model:
-    """Dictionaries from two thirds of the sample, calibration from the rest; a small sample serves both."""
-    part = np.arange(labels.size) % 3 != 2 if labels.size >= 300 else np.ones(labels.size, bool)
-    fit = np.flatnonzero(part)
-    split = {k: [texts_[i].encode().lower().split() for i in fit if labels[i] == k] for k in (0, 1)}
+def dictionaries(texts_: list[str], labels: np.ndarray, window: int) -> Model:
+    """The two dictionaries of a labelled sample, without limits and calibration."""
+    split = {k: [t.encode().lower().split() for t, label in zip(texts_, labels, strict=True) if label == k] for k in (0, 1)}
     marked = typical(split[1], split[0], window)
     plain = [x for words in split[0] for x in (b" " + b" ".join(words[k : k + window]) + b" " for k in range(0, len(words), window))]
     ordinary = trained(plain, ORDINARY_BYTES)
@@ -135,16 +133,20 @@ def train(texts_: list[str], labels: np.ndarray, window: int = WINDOW) -> Model:
     saved = model.savings(different, model.compressors())
     hard = [x for n, x in sorted(zip((-saved).tolist(), different, strict=False)) if n <= -HARD]
     ordinary = b"".join(dict.fromkeys(hard))[:HARD_BYTES] + ordinary
-    toxic = words + ordinary
-    model = Model(ordinary, toxic, None, window)
-    use = np.arange(labels.size) if part.all() else np.flatnonzero(~part)
-    tools = model.compressors()
+    return Model(ordinary, words + ordinary, None, window)
+
+
+def train(texts_: list[str], labels: np.ndarray, window: int = WINDOW) -> Model:
+    """Dictionaries from two thirds of the sample, thresholds and calibration from the rest, at every size."""
+    part = np.arange(labels.size) % 3 != 2
+    model = dictionaries([t for t, p in zip(texts_, part, strict=True) if p], labels[part], window)
+    tools, use = model.compressors(), np.flatnonzero(~part)
     found = [model.savings(windows(texts_[i], window), tools) for i in use]
     usual = np.concatenate([np.zeros(1, int), *(x for x, i in zip(found, use, strict=True) if labels[i] == 0)])
     limits = tuple(max(1, int(np.quantile(usual, 1 - r, method="lower")) + 1) for r in RATES)
-    model = Model(ordinary, toxic, None, window, limits)
+    model = Model(model.ordinary, model.toxic, None, window, limits)
     x = np.array([model.describe(saved) for saved in found]).reshape(-1, 3 + len(limits))
-    return Model(ordinary, toxic, Logistic(x, labels[use]), window, limits)
+    return Model(model.ordinary, model.toxic, Logistic(x, labels[use]), window, limits)
 
 
 def score_toxicity(

@@ -614,3 +614,34 @@ def test_forward_backward_against_all_paths():
     for t in range(4):
         assert marginal[0, t, 1] == pytest.approx(sum(w for p, w in weight.items() if p[t] == 1) / total)
     assert moves[0, 1] == pytest.approx(sum(w * sum(a == 0 and b == 1 for a, b in zip(p, p[1:], strict=False)) for p, w in weight.items()) / total)
+
+
+def test_classifiers_go_the_same_way_at_every_size(monkeypatch):
+    """What is calibrated on is never what is fitted on: with 5, 299 and 300 labels a third is held back."""
+    rng = random.Random(1)
+    words = BASE.split()
+    for n in (0, 1, 5, 299, 300):
+        texts_, labels = [f"doc{k} " + " ".join(rng.choices(words, k=8)) for k in range(n)], np.arange(n) % 2
+        fitted, seen = [], []
+        fit, aggregate = qc.fit, qc.Field.aggregate
+        monkeypatch.setattr(qc, "fit", lambda t, y, fit=fit: (fitted.extend(t), fit(t, y))[1])
+        monkeypatch.setattr(qc.Field, "aggregate", lambda self, t, f=aggregate: (seen.extend(t), f(self, t))[1])
+        monkeypatch.setattr(qc, "STEPS", 2)
+        qc.train(texts_, labels)
+        assert not set(fitted) & set(seen) and len(fitted) + len(seen) == n and len(seen) == n // 3
+        made, dictionaries = [], tx.dictionaries
+        monkeypatch.setattr(tx, "dictionaries", lambda t, y, w, f=dictionaries: (made.extend(t), f(t, y, w))[1])
+        model = tx.train(texts_, labels)
+        assert len(made) == n - n // 3 and 0 <= model.calibration.predict(np.zeros((1, 6)))[0] <= 1
+        monkeypatch.undo()
+
+
+def test_batches_are_cut_by_size():
+    import pyarrow as pa
+
+    from captionloom.llm.common import pieces_by_size
+
+    text = ["a" * n for n in (3, 4, 20, 1, 1, 1)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(text)], ["n", "t"])
+    assert [x.column(0).to_pylist() for x in pieces_by_size([batch], 1, 100, 7)] == [[0, 1], [2], [3, 4, 5, 6]]
+    assert [x.num_rows for x in pieces_by_size([batch], 1, 2, 1000)] == [2, 2, 2, 1] and not list(pieces_by_size([batch.slice(0, 0)], 1))
