@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -19,10 +21,12 @@ class Work:
 
     Intermediate tables are written there and read again, so that lineage is cut by files which every executor can
     read and a lost executor costs no recomputation. Where a session of local mode names no folder, this process makes
-    one of its own; on a cluster that is an error, as other machines would not see it.
+    one of its own; on a cluster that is an error, as other machines would not see it. Tables stay as long as the application
+    runs, since results are read from them; when it ends, its folders are deleted.
     """
 
     own: str | None = None
+    made: list["Work"] = []
 
     def __init__(self, spark: SparkSession, label: str):
         base = spark.conf.get(CHECKPOINT_DIR, None)
@@ -32,10 +36,14 @@ class Work:
             Work.own = base = Work.own or tempfile.mkdtemp(prefix="captionloom-")
         self.spark = spark
         self.path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        if not Work.made:
+            atexit.register(Work.clear)
+        Work.made.append(self)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Writes df and returns the written table. The shuffle files of the write are deleted with it, as nothing reads them
-        again; otherwise they stay until the driver happens to collect the plan."""
+        again; otherwise they stay until the driver happens to collect the plan. While it writes, the option for that is set for
+        the whole session: queries that run beside it in other threads lose theirs too, and compute them again if they need to."""
         conf, before = self.spark.conf, self.spark.conf.get(SHUFFLE_CLEANUP, "false")
         conf.set(SHUFFLE_CLEANUP, "true")
         try:
@@ -47,8 +55,19 @@ class Work:
     def drop(self, *names: str) -> None:
         """Deletes tables that nothing reads any more."""
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(f"{self.path}/{name}")
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    @staticmethod
+    def clear() -> None:
+        """Deletes the folders of all runs of this application. A session that has ended by then leaves its own."""
+        while Work.made:
+            work = Work.made.pop()
+            with contextlib.suppress(Exception):
+                work._delete(work.path)
 
 
 def numbered(rows: DataFrame, order: list[Column | str], name: str, work: Work) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from captionloom.plans import attempts as at
 from captionloom.plans import runstate as rs
+from captionloom.work import Work
 
 
 def step():
@@ -93,3 +94,13 @@ def test_a_broken_run_goes_on(spark, tmp_path):
     (tmp_path / "versions" / "notes.txt").write_text("x")
     (tmp_path / "staged" / "old").mkdir()
     assert [v.number for v in state.versions()] == [1, 2, 3] and json.loads(state.versions()[0].config) == {"a": 1}
+
+
+def test_work_folders_are_deleted_at_the_end(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Work, "own", str(tmp_path))
+    monkeypatch.setattr(Work, "made", [])
+    one = Work(spark, "a")
+    assert one.save(spark.range(3), "t").count() == 3 and len(list(tmp_path.iterdir())) == 1
+    Work(spark, "b")
+    Work.clear()
+    assert not list(tmp_path.iterdir()) and not Work.made
