@@ -51,15 +51,15 @@ def structural_qc(clips: DataFrame, sources: DataFrame, key: str = "video_id") -
     """One row: counts of each defect, the error codes that follow, and qc_pass. Sources: the expected keys.
 
     Every defect is first counted by source, where clips, their overlaps and the expected keys meet; one total is taken
-    of those counts.
+    of those counts. An id that is there more than once counts once, with the first of its sources.
     """
-    place = F.row_number().over(Window.partitionBy("clip_id").orderBy(key, "raw_start_ms"))
+    again = clips.where("clip_id is not null").groupBy("clip_id").agg(F.min(key).alias("_again"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = again.groupBy("_again").agg(F.count(F.lit(1)).alias("duplicate_ids"))
     w = Window.partitionBy(key).orderBy("raw_start_ms", "raw_end_ms", "clip_id")
     over = F.lag("raw_end_ms").over(w) - F.col("raw_start_ms")
-    rows = clips.withColumn("_place", place).withColumn("_over", over)
+    rows = clips.withColumn("_over", over)
     by_source = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("clip_id").isNotNull() & (F.col("_place") > 1)).alias("duplicate_ids"),
         F.count_if(~F.col("decision").isin(*DECISIONS)).alias("unknown_decisions"),
         F.count_if(invalid_interval() & (F.col("decision") != "DROP")).alias("invalid_active"),
         F.count_if(invalid_interval() & (F.col("decision") == "DROP")).alias("invalid_drop"),
@@ -68,6 +68,7 @@ def structural_qc(clips: DataFrame, sources: DataFrame, key: str = "video_id") -
         F.count_if(F.col("_over") > 250).alias("severe_overlaps"),
     )
     expected = sources.select(F.col(key).alias("_expected")).distinct()
+    by_source = by_source.join(again, F.col(key).eqNullSafe(F.col("_again")), "left").drop("_again")
     both = by_source.join(expected, by_source[key] == expected["_expected"], "full_outer")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
     row = both.agg(

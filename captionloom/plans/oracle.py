@@ -533,7 +533,7 @@ SQL: dict[str, str] = {
     "suspicious_keep": f"""WITH RECURSIVE {M}, a AS (SELECT * REPLACE (mean_word_probability - CASE WHEN right(clip_id, 1) IN ('3', '7') THEN 0.3 ELSE 0 END AS mean_word_probability) FROM v_manifest)
       SELECT clip_id, decision, word_count, raw_start_ms, raw_end_ms FROM a WHERE decision LIKE 'KEEP%' AND (dur < 3000 OR dur > 14000 OR word_count < 3 OR mean_word_probability < 0.78 OR word_probability_p10 < 0.45
       OR max_segment_no_speech_prob > 0.35 OR median_segment_avg_logprob < -0.90)""",
-    "structural_qc": f"""WITH RECURSIVE {M}, f AS (SELECT count(*) AS rows, count(clip_id) - count(DISTINCT clip_id) AS duplicate_ids, 0 AS unknown_decisions, count_if({BAD} AND decision <> 'DROP') AS invalid_active,
+    "structural_qc": f"""WITH RECURSIVE {M}, f AS (SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT clip_id FROM v_manifest WHERE clip_id IS NOT NULL GROUP BY clip_id HAVING count(*) > 1)) AS duplicate_ids, 0 AS unknown_decisions, count_if({BAD} AND decision <> 'DROP') AS invalid_active,
       count_if({BAD} AND decision = 'DROP') AS invalid_drop, count_if(trim(text) = '') AS empty_text FROM v_manifest),
       m AS (SELECT count(*) AS missing_sources FROM (SELECT DISTINCT 'd' || doc_id AS v FROM documents) WHERE v NOT IN (SELECT video_id FROM v_manifest)),
       o AS (SELECT count(*) AS overlaps, coalesce(count_if(x > 250), 0) AS severe_overlaps FROM (SELECT lag(raw_end_ms) OVER (PARTITION BY video_id ORDER BY raw_start_ms, raw_end_ms, clip_id) - raw_start_ms AS x FROM v_manifest) WHERE x > 50),

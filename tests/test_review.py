@@ -155,11 +155,11 @@ def test_item_errors(spark):
 
 def test_structural_qc_counts_each_defect(spark):
     rows = [("a", "a1", "DROP", 0, 9, 0.0, 9.0, "x"), ("a", "a1", "REVIEW", 0, 0, 0.0, 9.0, "x"), ("a", "a2", "ODD", 0, 500, 0.0, 9.0, " "), ("a", "a3", "DROP", 100, 90, 1.0, 9.0, "x"),
-            ("x", "x1", "REVIEW", 0, 9, 0.0, 9.0, "x")]
+            ("x", "x1", "REVIEW", 0, 9, 0.0, 9.0, "x"), ("x", "a1", "DROP", 20, 30, 9.0, 40.0, "x")]
     clips = spark.createDataFrame(rows, "video_id string, clip_id string, decision string, raw_start_ms int, raw_end_ms int, cut_start_ms double, cut_end_ms double, text string")
     sources = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "video_id string")
     (r,) = qc.structural_qc(clips, sources).collect()
-    assert (r.rows, r.duplicate_ids, r.unknown_decisions, r.invalid_active, r.invalid_drop, r.empty_text) == (5, 1, 1, 1, 1, 1)
+    assert (r.rows, r.duplicate_ids, r.unknown_decisions, r.invalid_active, r.invalid_drop, r.empty_text) == (6, 1, 1, 1, 1, 1)
     assert (r.missing_sources, r.extra_sources, r.overlaps, r.severe_overlaps) == (2, 1, 1, 1)
     assert r.errors == "DUPLICATE_IDS;UNKNOWN_DECISIONS;INVALID_ACTIVE;EMPTY_TEXT;MISSING_SOURCES;EXTRA_SOURCES;SEVERE_OVERLAPS" and not r.qc_pass
     (r,) = qc.structural_qc(clips.where("false"), sources.where("false")).collect()
