@@ -64,7 +64,9 @@ def dyadic_join(
 ) -> DataFrame:
     """interval_join() with a bound for any interval: 4 rows for each bit of the longest one's length. Same columns and rows.
 
-    Nodes of long intervals that many others lie in are skewed keys of plain equi-joins, which adaptive execution splits."""
+    Nodes of long intervals that many others lie in are skewed keys of plain equi-joins, which adaptive execution splits. Both
+    sides are merged: by the size of their files they look small enough to be broadcast, but they are laid out to many rows each,
+    which would all pass through the driver."""
     (a, b), (c, d) = left_span, right_span
     lefts = laid(left, key, F.col(a) - pad, F.col(b) + pad, cell)
     rights = laid(right, key, F.col(c), F.col(d), cell)
@@ -72,8 +74,8 @@ def dyadic_join(
     at = lambda side, nodes, name: side.select(F.col("_key").alias(f"{name}k"), F.col("_low").alias(f"{name}low"), F.col("_row").alias(f"{name}row"), F.explode(nodes).alias(f"{name}node"))
     own, above = maximal_nodes(F.col("_low"), F.col("_high"), levels), ancestors(F.col("_low"), F.col("_high"), levels)
     same = (F.col("lk") == F.col("rk")) & (F.col("lnode") == F.col("rnode"))
-    pairs = at(lefts, own, "l").join(at(rights, F.concat(own, above), "r"), same)
-    pairs = pairs.unionByName(at(lefts, above, "l").join(at(rights, own, "r"), same))
+    pairs = at(lefts, own, "l").join(at(rights, F.concat(own, above), "r").hint("merge"), same)
+    pairs = pairs.unionByName(at(lefts, above, "l").join(at(rights, own, "r").hint("merge"), same))
     level = F.pmod("lnode", F.lit(LEVELS)).cast("int")
     first = F.greatest("llow", "rlow")
     # the node that is met at holds the first shared cell
