@@ -8,61 +8,16 @@ jumping finds those that the chain visits and their rank in log(blocks) rounds;
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captionloom.operators.segmentation import FORCED_SCORE, UNIT
+from captionloom.operators.segmentation import UNIT, Kernel, span_kernel
 from captionloom.params import CLIPS, Budget, ClipRules
 from captionloom.work import Work, numbered
 
 BLOCK, HALO = 4096, 256
-#: The rows of a block and of its halo by column, and the number of the source of each -> for each row the last row of a span
-#: from there, its score, whether it is forced, and whether rows past the halo could change that.
-Kernel = Callable[[dict[str, np.ndarray], np.ndarray, bool], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-
-
-def span_kernel(rules: ClipRules = CLIPS) -> Kernel:
-    """The best end of a clip from each row, for all rows of a block at a time: one step for each further word."""
-
-    def kernel(c: dict[str, np.ndarray], source: np.ndarray, closed: bool):
-        start, end, points = c["start_ms"], c["end_ms"], c["points"]
-        n = len(start)
-        at = np.arange(n)
-        best, last, alive, k = np.full(n, -(1 << 62)), at.copy(), np.ones(n, bool), 0
-        reach, hit_end = at - 1, np.zeros(n, bool)
-        while alive.any():
-            i = np.flatnonzero(alive)
-            i_end = i + k
-            inside = i_end < n
-            hit_end[i[~inside]] = True
-            alive[i[~inside]] = False
-            i, i_end = i[inside], i_end[inside]
-            dur = end[i_end] - start[i]
-            go = (source[i_end] == source[i]) & (dur <= rules.max_ms)
-            alive[i[~go]] = False
-            i, i_end, dur = i[go], i_end[go], dur[go]
-            reach[i] = i_end
-            away = np.abs(dur - rules.target_ms)
-            score = points[i_end] + np.maximum(0, int(2.5 * UNIT) - 5 * away) + (UNIT // 2 if k + 1 >= rules.min_words else -2 * UNIT)
-            # a better score, then a better length, then the first
-            value = np.where(dur >= rules.min_ms, score * (1 << 24) - away, -(1 << 62))
-            better = value > best[i]
-            best[i[better]], last[i[better]] = value[better], i_end[better]
-            k += 1
-        forced = best == -(1 << 62)
-        after = np.minimum(reach + 1, n - 1)
-        stretch = (reach + 1 < n) & (source[after] == source) & (end[after] - start <= rules.abs_max_ms)
-        last[forced] = np.where(stretch, reach + 1, np.maximum(at, reach))[forced]
-        score = np.where(forced, FORCED_SCORE, -(-best // (1 << 24)))
-        return last, score, forced, np.zeros(n, bool) if closed else hit_end | (last + 1 >= n)
-
-    return kernel
-
-
 def pack_kernel(budget: Budget) -> Kernel:
     """The last item of a pack from each item: the costs held are differences of running sums."""
 

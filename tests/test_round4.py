@@ -17,3 +17,50 @@ def test_sides_of_interval_joins_never_pass_through_the_driver(spark):
         df = join(left, right, "k", ("a", "b"), ("c", "d"))
         assert df.collect() == [("a", 1, 0, 900_000, 2, 5, 7)]
         assert "BroadcastExchange" not in plan(df) and "SortMergeJoin" in plan(df)
+
+
+def test_words_are_dealt_before_they_are_made(spark):
+    """Documents are shuffled, their words are not: one exchange serves windows, groups and buckets by source."""
+    from captionloom.plans import adapters as ad
+    from captionloom.plans import registry
+
+    sf = ad.timed(spark, "/root/testdata/sf0.001")
+    sf.tasks = 3
+    scored = ad.scored(spark, sf)
+    assert plan(scored).split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+    for df in (ad.segments(spark, sf), ad.captions(spark, sf), registry.best_end(spark, sf), registry.clip_spans(spark, sf)):
+        assert plan(df).split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+    assert "Join" not in plan(registry.bucket_pairs(spark, sf)).split("== Physical Plan ==")[1]
+
+
+def test_chains_of_many_sources_are_those_of_each():
+    import numpy as np
+
+    from captionloom.operators import segmentation as sg
+
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        sizes = rng.integers(1, 60, 5)
+        parts = []
+        for n in sizes:
+            start = np.cumsum(rng.integers(100, 4000, n))
+            parts.append((start, start + rng.integers(50, 3000, n), rng.integers(0, 9, n) * sg.UNIT))
+        source = np.repeat(np.arange(5), sizes)
+        got = sg.chains(*(np.concatenate(x) for x in zip(*parts, strict=True)), source)
+        base, want = 0, []
+        for k, part in enumerate(parts):
+            for number, (first, last, score, forced, merged, basis) in enumerate(sg.chain(*part)):
+                want.append((k, number + 1, base + first, base + last, score, base + basis, forced, merged))
+            base += len(part[0])
+        assert [tuple(x) for x in zip(*(got[c].tolist() for c in ("source", "clip_no", "first", "last", "score", "basis", "forced", "merged")), strict=True)] == want
+
+
+def test_facts_of_walks_are_those_of_members(spark, tmp_path):
+    from captionloom.operators import segmentation as sg
+    from captionloom.plans import adapters as ad
+
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60").write.parquet(f"{tmp_path}/documents.parquet")
+    scored = ad.scored(spark, ad.timed(spark, str(tmp_path)))
+    rows = lambda df: sorted((r.video_id, r.clip_no, sorted(r.segments), *(x for c, x in sorted(r.asDict().items()) if c != "segments")) for r in df.collect())
+    got = rows(sg.clip_facts(scored))
+    assert got and got == rows(sg.member_facts(sg.clip_members(scored)))
