@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html.entities
+
 from captionloom.params import REVIEW_PACKS, REVIEW_PARTS, TASKS_V1, TASKS_V2, Budget
 
 CLOSERS = "[\"”’''»)\\]]"
@@ -14,9 +16,44 @@ SPACE = "[\\s\\x0B\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\
 def clean(x: str) -> str:
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
         x = f"replace({x}, '{entity}', '{char}')"
+    return spaced(x)
+
+
+def spaced(x: str) -> str:
+    """Text without zero-width characters, with single spaces within a line and none at the ends."""
     return f"regexp_replace(regexp_replace(regexp_replace({x}, '[\\x{{200b}}\\x{{feff}}]', '', 'g'), '[ \\t\\r\\f\\x0B]+', ' ', 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
 
 
+def unescaped(source: str, key: str, text: str) -> str:
+    """v_unescaped({key}, plain): texts with all references of HTML resolved, each once. A number may lack its semicolon; of names the
+    longest that the text goes on with counts, and names that HTML knows without a semicolon need none."""
+    quote = lambda x: x.replace("'", "''")
+    names = ", ".join(f"('{k}', '{quote(v)}')" for k, v in html.entities.html5.items())
+    western = ", ".join("'" + (bytes([k]).decode("cp1252", "ignore") or chr(k)) + "'" for k in range(0x80, 0xA0))
+    return f"""v_names(name, chars) AS (VALUES {names}
+), v_rows AS MATERIALIZED (SELECT row_number() OVER () AS r, {key}, {text} AS t FROM {source}
+), v_parts AS MATERIALIZED (SELECT r, unnest(ps) AS p, generate_subscripts(ps, 1) AS k FROM (SELECT r, string_split(t, '&') AS ps FROM v_rows)
+), v_begins AS (SELECT r, k, unnest(list_transform(range(2, least(length(p), 32) + 1), lambda n: p[:n])) AS name FROM v_parts WHERE k > 1
+), v_named AS (SELECT r, k, arg_max(name, length(name)) AS name, arg_max(chars, length(name)) AS chars FROM v_begins JOIN v_names USING (name) GROUP BY ALL
+), v_digits AS (
+  SELECT *, ltrim(regexp_extract(p, '^#([0-9]+)', 1), '0') AS ten, lower(ltrim(regexp_extract(p, '^#[xX]([0-9a-fA-F]+)', 1), '0')) AS sixteen,
+    regexp_extract(p, '^#([0-9]+|[xX][0-9a-fA-F]+);?', 0) AS number FROM v_parts WHERE k > 1
+), v_codes AS (
+  SELECT *, CASE WHEN number = '' THEN NULL WHEN greatest(length(ten), length(sixteen)) > 7 THEN 1114112 WHEN ten <> '' THEN ten::BIGINT
+    ELSE coalesce(list_sum(list_transform(range(1, length(sixteen) + 1), lambda i: (instr('0123456789abcdef', sixteen[i]) - 1) * (16 ** (length(sixteen) - i))::BIGINT)), 0)::BIGINT END AS code
+  FROM v_digits
+), v_resolved AS (
+  SELECT r, k, CASE WHEN code IS NOT NULL THEN CASE
+      WHEN code BETWEEN 128 AND 159 THEN [{western}][code - 127]
+      WHEN code = 0 OR code BETWEEN 55296 AND 57343 OR code > 1114111 THEN chr(65533)
+      WHEN code BETWEEN 1 AND 8 OR code BETWEEN 14 AND 31 OR code IN (11, 127) OR code BETWEEN 64976 AND 65007 OR code % 65536 >= 65534 THEN ''
+      ELSE chr(code::INT) END || p[length(number) + 1:]
+    WHEN name IS NOT NULL THEN chars || p[length(name) + 1:] ELSE '&' || p END AS p
+  FROM v_codes LEFT JOIN v_named USING (r, k)
+  UNION ALL SELECT r, k, p FROM v_parts WHERE k = 1
+), v_unescaped AS (SELECT {key}, plain FROM v_rows LEFT JOIN (SELECT r, string_agg(p, '' ORDER BY k) AS plain FROM v_resolved GROUP BY r) USING (r))"""
+
+
 def squeeze(x: str) -> str:
     return f"trim(regexp_replace({x}, '{SPACE}+', ' ', 'g'))"
 
@@ -453,7 +490,8 @@ SQL: dict[str, str] = {
     "v_words": f"WITH {WORDS} SELECT * EXCLUDE (doc_id) FROM v_words",
     "v_segments": f"WITH {WORDS}, {SEGMENTS} SELECT * EXCLUDE (doc_id) FROM v_segments",
     "v_captions": f"WITH {WORDS}, {CAPTIONS} SELECT * FROM v_captions",
-    "unescaped_pages": f"SELECT page_id, md5(c) AS clean_md5, length(c) AS clean_chars FROM (SELECT page_id, {clean("replace(replace(html, '&copy;', '©'), '&middot;', '·')")} AS c FROM pages)",
+    "unescaped_pages": f"""WITH {unescaped('pages', 'page_id', 'html')}
+        SELECT page_id, md5(c) AS clean_md5, length(c) AS clean_chars FROM (SELECT page_id, {spaced('plain')} AS c FROM v_unescaped)""",
     "clean_text": f"SELECT doc_id, md5({clean('text')}) AS clean_md5, length({clean('text')}) AS clean_chars FROM documents",
     "lexical_tokens": f"SELECT conv_id, turn, form, CASE WHEN form = '' THEN 0 ELSE len(string_split(form, ' ')) END AS n_tokens, n_found FROM (SELECT conv_id, turn, {lexical('text')} AS form, len(regexp_extract_all(lower(text), '{TOKEN}')) AS n_found FROM conversations)",
     "entity_forms": f"SELECT conv_id, turn, {lexical('text')} AS form FROM conversations",

@@ -64,3 +64,35 @@ def test_facts_of_walks_are_those_of_members(spark, tmp_path):
     rows = lambda df: sorted((r.video_id, r.clip_no, sorted(r.segments), *(x for c, x in sorted(r.asDict().items()) if c != "segments")) for r in df.collect())
     got = rows(sg.clip_facts(scored))
     assert got and got == rows(sg.member_facts(sg.clip_members(scored)))
+
+
+def test_every_entity_name_is_found_by_its_hash(spark):
+    """All names, each whole, cut off by one character and with letters after it, without a search through all names."""
+    import html.entities
+
+    from pyspark.sql import functions as F
+
+    from captionloom.functions import text as tx
+
+    texts = [t for n in html.entities.html5 for t in (f"&{n}", f"&{n[:-1]}", f"&{n}x&")] + ["&#0000000000065;", "&#x;&#32;&#126;&#127;&#31;"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.unescape(F.col("t")).alias("u")).collect()
+    assert [r.u for r in got] == [html.unescape(t) for t in texts]
+    assert max(b.count("\u0001") for b in tx.entity_buckets()) < 10
+
+
+def test_sql_of_unescaped_pages_knows_all_references(spark, tmp_path):
+    import html.entities
+    import random
+
+    import duckdb
+
+    from captionloom.plans import oracle, registry
+
+    rng, names = random.Random(14), list(html.entities.html5)
+    bits = ["&amp", "&am", "&", "&copy", "&amp;lt;", "&#39", "&#x41;", "&#0;", "&#128;", "&#xD800;", "&#11;", "&#99999999999;", "&#x;", "&#x1F600;", "&#xg", "&notit;", " ", "\t", "a", ";", "é"]
+    rows = [(i, "", "".join(rng.choices(bits + [f"&{rng.choice(names)}"], k=rng.randint(1, 8)))) for i in range(800)] + [(900, "", None), (901, "", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((r.page_id, r.clean_md5, r.clean_chars) for r in registry.unescaped_pages(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(con.sql(oracle.SQL["unescaped_pages"]).fetchall())
