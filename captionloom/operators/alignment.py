@@ -133,10 +133,15 @@ def event_run_match(pairs: DataFrame) -> DataFrame:
     """pairs(clip_id, text, event_start, event_end, event_index, event_text) -> the most similar run of up to
     MAX_EVENTS neighbouring events of each clip; of equals the first."""
     w = Window.partitionBy("clip_id").orderBy("event_start", "event_end", "event_index")
-    rows = pairs.withColumn("_i", F.row_number().over(w)).withColumn("_next", F.collect_list("event_text").over(w.rowsBetween(0, MAX_EVENTS - 1)))
-    runs = rows.select("clip_id", "text", "_i", F.col("_next"), F.explode(F.sequence(F.lit(1), F.size("_next"))).alias("events"))
-    runs = runs.withColumn("matched", F.trim(F.array_join(F.slice("_next", F.lit(1), F.col("events")), " ")))
-    runs = runs.withColumn("similarity", token_similarity(tx.lexical_tokens(F.col("text")), tx.lexical_tokens(F.col("matched"))))
+    # no reference and no letter's case reaches past a space, so a run's tokens are those of its events; each text is split once
+    event = F.when(F.col("event_text").isNotNull(), F.struct(F.col("event_text").alias("t"), F.col("_said").alias("l")))
+    rows = pairs.select("clip_id", "text", "event_start", "event_end", "event_index", "event_text", tx.lexical_tokens(F.col("event_text")).alias("_said"))
+    rows = rows.withColumn("_i", F.row_number().over(w)).withColumn("_next", F.collect_list(event).over(w.rowsBetween(0, MAX_EVENTS - 1)))
+    rows = rows.select("clip_id", tx.lexical_tokens(F.col("text")).alias("_own"), "_i", "_next")
+    runs = rows.select("clip_id", "_own", "_i", "_next", F.explode(F.sequence(F.lit(1), F.size("_next"))).alias("events"))
+    runs = runs.withColumn("_run", F.slice("_next", F.lit(1), F.col("events")))
+    runs = runs.select("clip_id", "_i", "events", "_own", F.trim(F.array_join(F.col("_run.t"), " ")).alias("matched"), F.flatten(F.col("_run.l")).alias("_tokens"))
+    runs = runs.withColumn("similarity", token_similarity("_own", "_tokens")).drop("_own", "_tokens")
     return runs.groupBy("clip_id").agg(F.max_by(F.struct("similarity", "matched", "events"), F.struct("similarity", -F.col("_i"), -F.col("events"))).alias("b")).select(
         "clip_id", "b.similarity", "b.matched", "b.events"
     )

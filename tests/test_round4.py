@@ -96,3 +96,25 @@ def test_sql_of_unescaped_pages_knows_all_references(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     assert got == sorted(con.sql(oracle.SQL["unescaped_pages"]).fetchall())
+
+
+def test_texts_of_event_runs_are_split_once(spark):
+    """Above the explosion to runs no text is split again, and the tokens of a run are those of its joined text."""
+    from difflib import SequenceMatcher
+
+    from pyspark.sql import functions as F
+
+    from captionloom.functions import text as tx
+    from captionloom.operators.alignment import event_run_match
+
+    events = ["a &am", "p; ΟΔΟΣ", None, "", "&nbspb &lt", "; c​d", "ΣΑΣ e"]
+    pairs = spark.createDataFrame([("x", "a p οδος b c d", k, k, k, t) for k, t in enumerate(events)], "clip_id string, text string, event_start int, event_end int, event_index int, event_text string")
+    out = event_run_match(pairs)
+    above = plan(out).split("== Optimized Logical Plan ==")[1].split("Generate explode")[0]
+    assert "regexp_replace" not in above
+    joins = {(i, k): " ".join(t for t in events[i : i + k] if t is not None).strip() for i in range(7) for k in range(1, 8 - i)}
+    said = {r.j: r.t for r in spark.createDataFrame([(j,) for j in [*joins.values(), pairs.first().text]], "j string").select("j", tx.lexical_tokens(F.col("j")).alias("t")).collect()}
+    own = said[pairs.first().text]
+    best = max(SequenceMatcher(None, own, said[j], autojunk=False).ratio() if said[j] else 0.0 for j in joins.values())
+    got = out.first()
+    assert got.similarity == best and got.matched in joins.values()
