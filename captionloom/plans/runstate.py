@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captionloom.sources.readers import pending
-from captionloom.sources.sinks import write_by_source
+from captionloom.sources.sinks import read_by_source, write_by_source
 
 MANIFEST = "stage string, config_sha256 string, config string, video_id string"
 
@@ -54,7 +54,7 @@ def run_stage(
         write_by_source(compute(todo), f"{root}/{stage}")
         entry = todo.select(F.lit(stage).alias("stage"), F.lit(config_hash(config)).alias("config_sha256"), F.lit(json.dumps(config, sort_keys=True)).alias("config"), "video_id")
         entry.write.mode("append").json(path)
-    return spark.read.parquet(f"{root}/{stage}")
+    return read_by_source(spark, f"{root}/{stage}")
 
 
 class Conflict(RuntimeError):
