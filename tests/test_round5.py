@@ -21,3 +21,28 @@ def test_files_by_source_do_not_grow_with_sources(spark, tmp_path):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     sinks.write_by_source(table(["d7"], 0, "").unionByName(table(["d8"], 1, "x")), path)
     assert got.sparkSession.read.parquet(path).where("video_id = 'd8'").count() == 1
+
+
+def exchanges(df) -> int:
+    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Exchange hashpartitioning")
+
+
+def test_sides_that_are_dealt_by_source_stay_where_they_are(spark):
+    """Overlaps of rows that documents were dealt for need no exchange of their own, and are those of the join."""
+    import random
+
+    from captionloom.operators import timeline as tl
+    from captionloom.plans import adapters as ad
+    from captionloom.plans import registry
+
+    rng = random.Random(6)
+    span = lambda at: (at, at + rng.choice([0, 1, 900, 45_000, -400]))
+    some = lambda: [(rng.choice(["x", "y", None]), i, *span(rng.randint(-50_000, 90_000))) for i in range(80)]
+    left, right = spark.createDataFrame(some(), "k string, i int, a long, b long"), spark.createDataFrame(some(), "k string, j int, c long, d long")
+    for more in ((0, False), (3000, True), (250, False, 700)):
+        one, two = (f(left, right, "k", ("a", "b"), ("c", "d"), *more) for f in (tl.interval_join, tl.dealt_interval_join))
+        assert one.columns == two.columns and one.count() and sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    sf = ad.timed(spark, "/root/testdata/sf0.001")
+    sf.tasks = 3
+    assert exchanges(registry.overlap_text(spark, sf)) == 2 and exchanges(registry.density_flags(spark, sf)) == 3
+    assert exchanges(ad.caption_windows(registry._clips(spark, sf), ad.captions(spark, sf))) == 3
