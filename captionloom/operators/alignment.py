@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from captionloom.functions import text as tx
-from captionloom.functions.similarity import char_similarity, token_similarity
+from captionloom.functions.similarity import char_similarity, ratio, token_similarity
 from captionloom.operators.timeline import dealt_interval_join, grouped_left_join, match_band
 from captionloom.work import Work
 
@@ -15,6 +20,8 @@ MIN_ACCEPT, RATIO_DEVIATION, SPAN_PENALTY, MAX_SENTENCES = 0.90, 0.35, 0.04, 6
 SUBSEQUENCE_PENALTY, MAX_EVENTS = 0.03, 12
 #: Past every place of a token.
 AWAY = 1 << 30
+#: Tokens of runs that are counted at a time.
+COUNTED = 1_000_000
 
 
 def sentence_alignment(clips: DataFrame) -> DataFrame:
@@ -129,6 +136,53 @@ def token_subsequence(pairs: DataFrame, work: Work, key: str = "clip_id") -> Dat
     return pairs.select(key).join(best, key, "left").select(key, F.coalesce("b.similarity", F.lit(0.0)).alias("similarity"), F.coalesce("b.matched", F.lit("")).alias("matched"))
 
 
+def best_run(w: list[str], c: list[str]) -> tuple[float, str]:
+    """(similarity, run) of token_subsequence() for one pair. Runs are counted by the places that begin them, COUNTED tokens at a time,
+    and matched by falling bounds for as long as a bound can win."""
+    m, n = len(w), len(c)
+    # fixed values: how much shorter or longer a run may be
+    low, high = max(1, m - max(4, m // 4)), min(n, m + max(6, int(m * 0.35)))
+    if not m or low > high:
+        return 0.0, ""
+    cap, places, after = defaultdict(int), defaultdict(list), np.full(n + high, AWAY)
+    for t in w:
+        cap[t] += 1
+    for j, t in enumerate(c):
+        if t in cap:
+            own = places[t]
+            after[j] = own[-cap[t]] if len(own) >= cap[t] else -1
+            own.append(j)
+    sizes = np.arange(low, high + 1)
+    penalty = SUBSEQUENCE_PENALTY * np.abs(sizes - m) / m
+    best, similarity = (-np.inf, 0, 0), 0.0
+    step = max(1, COUNTED // high)
+    for first in range(0, n - low + 1, step):
+        at = np.arange(first, min(first + step, n - low + 1))
+        held = np.cumsum(np.lib.stride_tricks.sliding_window_view(after, high)[at] < at[:, None], axis=1)
+        bound = np.where(at[:, None] + sizes <= n, 2.0 * held[:, sizes - 1] / (m + sizes) - penalty, -np.inf)
+        rows, columns = np.nonzero((bound >= best[0]) & (bound > -np.inf))
+        order = np.lexsort((at[rows], sizes[columns], -bound[rows, columns]))
+        for i, k in zip(rows[order].tolist(), columns[order].tolist(), strict=True):
+            if bound[i, k] < best[0]:
+                break
+            place = (-int(sizes[k]), -int(at[i]))
+            if (bound[i, k], *place) > best:
+                found = ratio(w, c[-place[1] : -place[1] - place[0]])
+                if (found - penalty[k], *place) > best:
+                    best, similarity = (found - penalty[k], *place), found
+    return similarity, " ".join(c[-best[2] : -best[2] - best[1]])
+
+
+@F.pandas_udf(T.StructType().add("similarity", "double").add("matched", "string"))
+def best_runs(w: pd.Series, c: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([best_run(list(x), list(y)) for x, y in zip(w, c, strict=True)], columns=["similarity", "matched"])
+
+
+def token_subsequence_by_clip(pairs: DataFrame, key: str = "clip_id") -> DataFrame:
+    """token_subsequence() of many clips with short windows: a clip is a row throughout, its runs are never rows."""
+    return pairs.select(key, best_runs("w", "c").alias("b")).select(key, "b.similarity", "b.matched")
+
+
 def event_run_match(pairs: DataFrame) -> DataFrame:
     """pairs(clip_id, text, event_start, event_end, event_index, event_text) -> the most similar run of up to
     MAX_EVENTS neighbouring events of each clip; of equals the first."""

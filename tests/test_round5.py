@@ -27,6 +27,34 @@ def exchanges(df) -> int:
     return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Exchange hashpartitioning")
 
 
+def test_runs_of_tokens_are_no_rows(spark):
+    """The best run of a clip is found in its row, whatever part of the runs is counted at a time: no run is written or shuffled."""
+    import random
+
+    from captionloom.operators import alignment as al
+    from captionloom.plans import adapters as ad
+    from captionloom.plans import registry
+    from captionloom.work import Work
+
+    rng, rows = random.Random(5), []
+    for k in range(60):
+        words, said = (rng.choices("abcdefgh"[: rng.randint(1, 8)], k=rng.randint(0, n)) for n in (12, 40))
+        said[2:2] = words if k % 3 == 0 else []
+        rows.append((k, words, said))
+    pairs = spark.createDataFrame(rows, "k int, w array<string>, c array<string>")
+    want = sorted(map(tuple, al.token_subsequence(pairs, Work(spark, "t"), "k").collect()))
+    assert sorted(map(tuple, al.token_subsequence_by_clip(pairs, "k").collect())) == want
+    for counted in (1, 50):
+        al.COUNTED, before = counted, al.COUNTED
+        try:
+            assert [(k, *al.best_run(w, c)) for k, w, c in rows] == want
+        finally:
+            al.COUNTED = before
+    sf = ad.timed(spark, "/root/testdata/sf0.001")
+    sf.tasks = 3
+    assert exchanges(registry.token_subsequence(spark, sf)) == 3
+
+
 def test_sides_that_are_dealt_by_source_stay_where_they_are(spark):
     """Overlaps of rows that documents were dealt for need no exchange of their own, and are those of the join."""
     import random
