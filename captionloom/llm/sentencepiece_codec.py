@@ -48,6 +48,7 @@ class ChunkEncoder:
         plain = all(self.lib.normalize(x) == MARK + x.replace(" ", MARK) for x in ("a  b ", " \t x", "ÅÅ ﬁ"))
         self.shared = plain and not crossing
         self.mark = self.lib.piece_to_id(MARK)
+        self.pieces, self.ids = pieces_, {p: k for k, p in enumerate(pieces_)}
 
     def segment(self, words: list[str]) -> list[tuple[int, list[int], str]]:
         """Of each marked word, given without its first marker: number of ids, ids, decoded."""
@@ -55,6 +56,18 @@ class ChunkEncoder:
         found = [ids if word else [self.mark] for word, ids in zip(words, found, strict=True)]
         return [(len(ids), ids, text) for ids, text in zip(found, self.lib.decode(found), strict=True)]
 
+    def cuts(self, word: str, ids: list[int]) -> list[int] | None:
+        """The lengths of a word's pieces, from which spelt() has its ids again; None if it has other ones."""
+        cuts = [len(self.pieces[k]) for k in ids]
+        return cuts if self.spelt(word, cuts) == ids else None
+
+    def spelt(self, word: str, cuts: list[int]) -> list[int]:
+        marked, at, out = MARK + word, 0, []
+        for n in cuts:
+            out.append(self.ids.get(marked[at : at + n], -1))
+            at += n
+        return out
+
     def words(self, text: str) -> list[str]:
         """The marked words of a text, each without its first marker."""
         if not text:
@@ -94,8 +107,9 @@ def arranged(rows: list[tuple[int, str, str]], digest: bool) -> list[tuple]:
 BLOCK = "block long, ids array<long>, sizes binary, numbers binary, words binary, n_words long"
 BLOCK_ARROW = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.int64()]
 ASK = "part int, block long, words binary"
-ANSWER = "part int, asked long, sizes binary, ids binary, others binary, decoded binary"
-LEVEL = 3
+ANSWER = "part int, asked long, sizes binary, cuts binary, unlike binary, ids binary, others binary, decoded binary"
+#: What the tables and exchanges take on disk counts for more than the seconds of a higher level.
+LEVEL = 12
 
 
 def squeeze(values) -> bytes:
@@ -122,6 +136,13 @@ def unsqueeze_texts(data: bytes) -> list[str]:
     return [raw[a:b].decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
+def arranged_words(words: list[str], counts: np.ndarray) -> np.ndarray:
+    """The words' places in the order in which they are numbered: frequent ones first, as small numbers take less room, and of about
+    the same frequency by their letters, as sorted words take less room."""
+    alphabetic = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    return alphabetic[np.argsort(-np.frexp(counts[alphabetic])[1], kind="stable")]
+
+
 def dealt(words: list[str], parts: int) -> list[tuple[int, list[int]]]:
     """The parts of the table that have some of the words, with the places of these, sorted by word. parts is a power of two."""
     own: dict[int, list[int]] = {}
@@ -139,12 +160,10 @@ def word_blocks(docs: DataFrame, model: str, block_words: int) -> DataFrame:
         ids, sizes, numbers, table = [], [], [], {}
 
         def row() -> pa.RecordBatch:
-            # small numbers for frequent words, which take less room
-            found = np.array(numbers, np.int64)
-            order = np.argsort(-np.bincount(found, minlength=len(table)), kind="stable")
+            found, words = np.array(numbers, np.int64), list(table)
+            order = arranged_words(words, np.bincount(found, minlength=len(table)))
             rank = np.empty(len(table), np.int64)
             rank[order] = np.arange(len(table))
-            words = list(table)
             values = [block, ids, squeeze(sizes), squeeze(rank[found]), squeeze_texts([words[k] for k in order.tolist()]), len(words)]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, BLOCK_ARROW, strict=True)], names)
 
@@ -180,20 +199,25 @@ def ask(blocks: DataFrame, parts: int) -> DataFrame:
 
 def answer(asked: DataFrame, model: str) -> DataFrame:
     """The ids of the words, and what they decode to where that is another text, in the order in which a block has asked.
-    Each word of a part is segmented once."""
+    Each word of a part is segmented once. Ids go as lengths of pieces, which take less room, but for words that their pieces do not
+    spell."""
     names = [x.split()[0] for x in ANSWER.split(", ")]
 
     def run(group: pa.Table) -> pa.Table:
         rows = [(r["part"], r["block"], unsqueeze_texts(r["words"])) for r in group.to_pylist()]
         words = sorted({w for _, _, own in rows for w in own})
-        table = dict(zip(words, encoder(model).segment(words), strict=True))
+        codec = encoder(model)
+        table = {w: (n, ids, text, codec.cuts(w, ids)) for w, (n, ids, text) in zip(words, codec.segment(words), strict=True)}
         out = []
         for part, block, own in rows:
             found = [table[w] for w in own]
-            ids = np.fromiter((x for _, some, _ in found for x in some), np.uint32)
-            other = [k for k, (w, (_, _, text)) in enumerate(zip(own, found, strict=True)) if text != w]
-            out.append((part, block, squeeze([n for n, _, _ in found]), squeeze(ids), squeeze(other), squeeze_texts([found[k][2] for k in other])))
-        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+            unlike = [k for k, (_, _, _, cuts) in enumerate(found) if cuts is None]
+            cuts = np.fromiter((x for _, ids, _, own_cuts in found for x in (own_cuts or [0] * len(ids))), np.uint32)
+            ids = np.fromiter((x for k in unlike for x in found[k][1]), np.uint32)
+            other = [k for k, (w, (_, _, text, _)) in enumerate(zip(own, found, strict=True)) if text != w]
+            packed = [[n for n, *_ in found], cuts, unlike, ids, other]
+            out.append((part, block, *map(squeeze, packed), squeeze_texts([found[k][2] for k in other])))
+        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
         return pa.Table.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
 
     return asked.groupBy("part").applyInArrow(run, ANSWER)
@@ -227,20 +251,25 @@ def encode_and_decode(docs: DataFrame, model: str, digest: bool = False, block_w
     blocks = work.save(word_blocks(docs, model, block_words), "blocks")
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     parts = 1 << max(4, (max(1, total // part_words) - 1).bit_length())
-    answers = work.save(answer(ask(blocks, parts), model), "answers")
+    # read once, so only the exchange has it
+    answers = answer(ask(blocks, parts), model)
 
     def back(block: pa.Table, found: pa.Table) -> pa.Table:
         (row,) = block.to_pylist()
-        words = unsqueeze_texts(row["words"])
+        codec, words = encoder(model), unsqueeze_texts(row["words"])
         decoded, ids, n = np.empty(len(words), object), np.empty(len(words), object), np.zeros(len(words), np.int64)
         decoded[:] = words
         places = dict(dealt(words, parts))
         for r in found.to_pylist():
-            at, sizes, own = np.array(places[r["part"]]), unsqueeze(r["sizes"]), list(map(str, unsqueeze(r["ids"]).tolist()))
+            at, sizes, cuts = np.array(places[r["part"]]), unsqueeze(r["sizes"]), unsqueeze(r["cuts"]).tolist()
             n[at] = sizes
             ends = np.cumsum(sizes, dtype=np.int64).tolist()
             for k, start, end in zip(at.tolist(), [0, *ends[:-1]], ends, strict=True):
-                ids[k] = ",".join(own[start:end])
+                ids[k] = ",".join(map(str, codec.spelt(words[k], cuts[start:end])))
+            given, start = unsqueeze(r["ids"]).tolist(), 0
+            for k in unsqueeze(r["unlike"]).tolist():
+                end = start + int(sizes[k])
+                ids[at[k]], start = ",".join(map(str, given[start:end])), end
             for k, text in zip(at[unsqueeze(r["others"])].tolist(), unsqueeze_texts(r["decoded"]), strict=True):
                 decoded[k] = text
         numbers, ends = unsqueeze(row["numbers"]), np.cumsum(unsqueeze(row["sizes"]), dtype=np.int64)

@@ -74,3 +74,31 @@ def test_sides_that_are_dealt_by_source_stay_where_they_are(spark):
     sf.tasks = 3
     assert exchanges(registry.overlap_text(spark, sf)) == 2 and exchanges(registry.density_flags(spark, sf)) == 3
     assert exchanges(ad.caption_windows(registry._clips(spark, sf), ad.captions(spark, sf))) == 3
+
+
+def test_sentencepiece_writes_its_blocks_alone(spark, tmp_path, monkeypatch):
+    """Answers go to their blocks without a table of their own, words of like frequency are numbered by their letters, and ids go as
+    the lengths of pieces, but for words that their pieces do not spell."""
+    import random
+
+    import numpy as np
+
+    from captionloom.llm import queries
+    from captionloom.llm import sentencepiece_codec as sc
+
+    saved = []
+    monkeypatch.setattr(sc.Work, "save", lambda self, df, name, save=sc.Work.save: (saved.append(name), save(self, df, name))[1])
+    docs = spark.createDataFrame([(k, f"some words {k} and  more words, some ÅÅ {'x' * k}") for k in range(40)], "doc_id long, text string")
+    model = queries.tokenizer_file("piece_bpe_32k.model")
+    got = {r.doc_id: (list(r.ids), r.decoded) for r in sc.encode_and_decode(docs, model, block_words=50).collect()}
+    lib = sc.encoder(model).lib
+    assert saved == ["blocks"] and got == {r.doc_id: (lib.encode(r.text), lib.decode(lib.encode(r.text))) for r in docs.collect()}
+    codec = sc.encoder(model)
+    (_, plain, _), (_, odd, _) = codec.segment(["words", "\u4e00\U0001f9ff"])
+    assert codec.spelt("words", codec.cuts("words", plain)) == plain and codec.cuts("\u4e00\U0001f9ff", odd) is None
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choices("abcdefgh", k=7)) for _ in range(20_000)}, key=lambda w: w[::-1])
+    counts = np.ones(len(words), np.int64)
+    counts[:3] = 900, 5, 4
+    order = sc.arranged_words(words, counts).tolist()
+    assert order[0] == 0 and set(order[1:3]) == {1, 2} and [words[k] for k in order[3:]] == sorted(words[3:])
