@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ def linked(rows: DataFrame, key: str, kernel: Kernel, work: Work, block: int = B
 def visited(links: DataFrame, key: str, work: Work, block: int = BLOCK) -> DataFrame:
     """The links on the chain from each source's first row, with rank (from 1), by pointer jumping over exits and firsts."""
     first = links.groupBy(key).agg(F.min("at").alias("at")).select("at")
-    entries = first.union(links.where("exit is not null").select(F.col("exit").alias("at")).distinct()).distinct()
+    entries = work.save(first.union(links.where("exit is not null").select(F.col("exit").alias("at")).distinct()).distinct(), "entries")
     jump = work.save(entries.join(links, "at").where("exit is not null").select("at", "exit", "hops"), "jump_0")
     found = work.save(first.select("at", F.lit(1).cast("long").alias("rank")), "found_0")
     reached, k = found, 0
@@ -97,12 +98,16 @@ def visited(links: DataFrame, key: str, work: Work, block: int = BLOCK) -> DataF
         on = jump.select(F.col("at").alias("exit"), F.col("exit").alias("to"), F.col("hops").alias("more"))
         jump = work.save(jump.join(on, "exit").select("at", F.col("to").alias("exit"), (F.col("hops") + F.col("more")).alias("hops")), f"jump_{k}")
     kind = dict(links.dtypes)[key]
-    rows = links.join(reached, "at", "left").select(key, "at", "block", "last", "score", "forced", "next", "rank")
+    # the few reached rows are dealt with the links by block, in rows of their own that have no last
+    rows = links.select(key, "at", "block", "last", "score", "forced", "next", F.lit(None).cast("long").alias("rank"))
+    rows = rows.unionByName(reached.select("at", F.floor(F.col("at") / block).alias("block"), "rank"), allowMissingColumns=True)
 
     def mark(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("at")
+        known = table.filter(pc.is_null(table["last"]))
+        table = table.filter(pc.is_valid(table["last"])).combine_chunks().sort_by("at")
         first_at, n = table["at"][0].as_py(), table.num_rows
-        rank = table["rank"].fill_null(0).to_numpy().copy()
+        rank = np.zeros(n, np.int64)
+        rank[known["at"].to_numpy() - first_at] = known["rank"].to_numpy()
         following = table["next"].fill_null(-1).to_numpy() - first_at
         for i in range(n):
             if rank[i] and 0 <= following[i] < n:
