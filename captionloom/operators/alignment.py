@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
+from collections.abc import Callable
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from captionloom.functions import text as tx
-from captionloom.functions.similarity import char_similarity, ratio, token_similarity
+from captionloom.functions.similarity import char_similarity, matched, ratio, spelt, token_similarity
 from captionloom.operators.timeline import dealt_interval_join, grouped_left_join, match_band
 from captionloom.work import Work
 
@@ -24,6 +26,18 @@ AWAY = 1 << 30
 COUNTED = 1_000_000
 
 
+def first_best(bounds: list[tuple], score: Callable[[tuple], float]) -> tuple[float, tuple] | None:
+    """(score, run) of the run (bound, place ..., ...) with the best score, of equals the one at the first place; places differ. No score
+    exceeds its bound, so runs are scored by falling bounds for as long as a bound can win."""
+    best = None
+    for bound, *run in sorted((-x[0], *x[1:]) for x in bounds):
+        if best and (bound, *run) >= best:
+            break
+        found = (-score(run), *run)
+        best = min(best, found) if best else found
+    return best and (-best[0], best[1:])
+
+
 def sentence_alignment(clips: DataFrame) -> DataFrame:
     """clips(clip_id, text, window_text) -> the best run of complete caption sentences of each clip.
 
@@ -199,3 +213,36 @@ def event_run_match(pairs: DataFrame) -> DataFrame:
     return runs.groupBy("clip_id").agg(F.max_by(F.struct("similarity", "matched", "events"), F.struct("similarity", -F.col("_i"), -F.col("events"))).alias("b")).select(
         "clip_id", "b.similarity", "b.matched", "b.events"
     )
+
+
+def best_events(w: list[str], said: list[list[str] | None]) -> tuple[float, int, int]:
+    """(similarity, first event from 0, events) of event_run_match() for one clip; events without text are in no run, but take a place."""
+    own, all_ = spelt(w, [t for e in said for t in e or ()])
+    begins = [0, *accumulate(len(e or ()) for e in said)]
+    m, held, bounds = len(w), Counter(own), []
+    for i, event in enumerate(said):
+        if event is not None:
+            left, common, k = dict(held), 0, 0
+            for j in range(i, min(i + MAX_EVENTS, len(said))):
+                if said[j] is not None:
+                    for c in all_[begins[j] : begins[j + 1]]:
+                        if n := left.get(c):
+                            left[c], common = n - 1, common + 1
+                    k, total = k + 1, m + begins[j + 1] - begins[i]
+                    bounds.append((2.0 * common / total if total else 1.0, i, k, begins[i], begins[j + 1]))
+    best = first_best(bounds, lambda run: 2.0 * matched(own, all_[run[2] : run[3]]) / (m + run[3] - run[2]) if m + run[3] - run[2] else 1.0)
+    return (best[0], *best[1][:2]) if best else (float(not m), 0, 0)
+
+
+@F.pandas_udf(T.StructType().add("similarity", "double").add("first", "integer").add("events", "integer"))
+def event_runs(form: pd.Series, said: pd.Series) -> pd.DataFrame:
+    rows = [best_events(x.split(), [e if e is None else e.split() for e in y]) for x, y in zip(form, said, strict=True)]
+    return pd.DataFrame(rows, columns=["similarity", "first", "events"])
+
+
+def event_run_match_by_clip(clips: DataFrame, key: str = "clip_id") -> DataFrame:
+    """event_run_match() of clips(key, form, events): the normal form of a clip's text, and its events in order, structs with event_text and
+    event_form. A clip is a row throughout, its runs are never rows. Clips without events have no row."""
+    rows = clips.where(F.size("events") > 0).select(key, "events.event_text", event_runs(F.coalesce("form", F.lit("")), F.col("events.event_form")).alias("b"))
+    run = F.slice(F.array_compact(F.slice("event_text", F.col("b.first") + 1, F.lit(MAX_EVENTS))), F.lit(1), F.col("b.events"))
+    return rows.select(key, "b.similarity", F.trim(F.array_join(run, " ")).alias("matched"), "b.events")
