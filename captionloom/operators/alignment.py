@@ -38,34 +38,63 @@ def first_best(bounds: list[tuple], score: Callable[[tuple], float]) -> tuple[fl
     return best and (-best[0], best[1:])
 
 
+def best_sentences(w: list[str], said: list[list[str]]) -> tuple[float, int, int, int] | None:
+    """(similarity, first sentence from 1, sentences, tokens) of sentence_alignment() for one clip, or None without a run of a suitable length."""
+    m, bounds = len(w), []
+    if not m:
+        return None
+    own, all_ = spelt(w, [t for s in said for t in s])
+    ends = list(accumulate(map(len, said)))
+    held = Counter(own)
+    penalty = lambda size: SPAN_PENALTY * abs(size - m) / m
+    for i, sentence in enumerate(said):
+        begin, left, common = ends[i] - len(sentence), dict(held), 0
+        at = begin
+        for k, end in enumerate(ends[i : i + MAX_SENTENCES]):
+            for c in all_[at:end]:
+                if n := left.get(c):
+                    left[c], common = n - 1, common + 1
+            at, size = end, end - begin
+            if size / m > 1 + RATIO_DEVIATION:
+                break
+            if size and size / m >= 1 - RATIO_DEVIATION:
+                bounds.append((2.0 * common / (m + size) - penalty(size), i + 1, k + 1, begin, end))
+    similarity: dict[tuple, float] = {}
+
+    def score(run: list) -> float:
+        begin, end = run[2:]
+        similarity[tuple(run)] = 2.0 * matched(own, all_[begin:end]) / (m + end - begin)
+        return similarity[tuple(run)] - penalty(end - begin)
+
+    best = first_best(bounds, score)
+    return best and (similarity[best[1]], *best[1][:2], best[1][3] - best[1][2])
+
+
+@F.pandas_udf(T.StructType().add("sim", "double").add("i", "integer").add("k", "integer").add("size", "integer"))
+def sentence_runs(w: pd.Series, said: pd.Series) -> pd.DataFrame:
+    rows = [best_sentences(list(x), [s.split() for s in y]) for x, y in zip(w, said, strict=True)]
+    return pd.DataFrame([r or (None, None, None, None) for r in rows], columns=["sim", "i", "k", "size"]).astype({"sim": "float64", "i": "Int32", "k": "Int32", "size": "Int32"})
+
+
 def sentence_alignment(clips: DataFrame) -> DataFrame:
     """clips(clip_id, text, window_text) -> the best run of complete caption sentences of each clip.
 
-    Runs and the length limit are columns; only runs of compatible length reach the similarity function. The
-    best score, similarity less a penalty for the difference in length, wins; of equals the first run.
+    A sentence is split into tokens once: no token and no letter's case reaches past a space, so a run's tokens are those of its
+    sentences. A clip is a row throughout; its runs of compatible length are bounded by what they have in common, and matched by
+    falling bounds. The best score, similarity less a penalty for the difference in length, wins; of equals the first run.
     """
     rows = clips.select("clip_id", tx.tokens(F.coalesce("text", F.lit(""))).alias("w"), tx.complete_sentences(F.coalesce("window_text", F.lit(""))).alias("s"))
-    n = F.size("s")
-    first = rows.where((n > 0) & (F.size("w") > 0)).select("clip_id", "w", "s", F.explode(F.sequence(F.lit(1), n)).alias("i"))
-    runs = first.select("clip_id", "w", "s", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_SENTENCES), F.size("s") - F.col("i") + 1))).alias("k"))
-    runs = runs.select("clip_id", "w", "i", "k", F.array_join(F.slice("s", F.col("i"), F.col("k")), " ").alias("proposal"))
-    runs = runs.withColumn("p", tx.tokens(F.col("proposal"))).withColumn("token_ratio", F.size("p") / F.size("w"))
-    runs = runs.where((F.size("p") > 0) & F.col("token_ratio").between(1 - RATIO_DEVIATION, 1 + RATIO_DEVIATION))
-    runs = runs.withColumn("sim", token_similarity("w", "p"))
-    score = F.col("sim") - SPAN_PENALTY * F.abs(F.size("p") - F.size("w")) / F.size("w")
-    best = runs.groupBy("clip_id").agg(F.max_by(F.struct("proposal", "sim", "token_ratio", "k"), F.struct(score, -F.col("i"), -F.col("k"))).alias("b"))
-    out = rows.join(best, "clip_id", "left")
-    nothing = (n == 0) | (F.size("w") == 0)
+    rows = rows.select("clip_id", F.size("w").alias("m"), "s", sentence_runs("w", F.transform("s", lambda x: F.array_join(tx.tokens(x), " "))).alias("b"))
     accept = F.col("b.sim") >= MIN_ACCEPT
-    return out.select(
+    return rows.select(
         "clip_id",
-        F.coalesce("b.proposal", F.lit("")).alias("proposal_text"),
+        F.coalesce(F.array_join(F.slice("s", F.col("b.i"), F.col("b.k")), " "), F.lit("")).alias("proposal_text"),
         F.coalesce("b.sim", F.lit(0.0)).alias("proposal_similarity"),
-        F.col("b.token_ratio").alias("proposal_token_ratio"),
+        (F.col("b.size") / F.col("m")).alias("proposal_token_ratio"),
         F.coalesce("b.k", F.lit(0)).alias("proposal_sentence_count"),
         F.when(accept, "ACCEPT_CAPTION").otherwise("REVIEW_ALIGNMENT").alias("alignment_decision"),
-        F.when(nothing, "no_complete_caption_sentence")
-        .when(F.col("b").isNull(), "no_length_compatible_complete_sentence_span")
+        F.when((F.size("s") == 0) | (F.col("m") == 0), "no_complete_caption_sentence")
+        .when(F.col("b.sim").isNull(), "no_length_compatible_complete_sentence_span")
         .when(accept, "caption_sentence_alignment_pass")
         .otherwise("caption_sentence_similarity_low")
         .alias("alignment_reason"),

@@ -71,3 +71,31 @@ def test_event_runs_are_no_rows(spark):
     assert al.event_run_match_by_clip(clips.withColumn("events", F.slice("events", 1, 0))).count() == 0
     plan = physical(registry.event_run_match(spark, three_tasks()))
     assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan.split("ArrowEvalPython")[0]
+
+
+def test_sentence_runs_are_no_rows(spark):
+    """The best run by a plain model, from one pass over the words and nothing written."""
+    rng, rows = random.Random(3), []
+    for k in range(80):
+        said = " ".join(rng.choices("abcde", k=rng.randint(0, 25)) + ["x."] * rng.randint(0, 2))
+        for mark in (". ", "! ", "… "):
+            said = said.replace(rng.choice("abcde") + " ", rng.choice("abcde") + mark)
+        rows.append((f"c{k}", " ".join(rng.choices("abcde", k=rng.randint(0, 9))), said if k % 9 else None))
+    clips = spark.createDataFrame(rows, "clip_id string, text string, window_text string")
+    split = {r.clip_id: r for r in clips.select("clip_id", F.split("text", " ").alias("w"), al.tx.complete_sentences(F.coalesce("window_text", F.lit(""))).alias("s")).collect()}
+    found, some = al.sentence_alignment(clips).collect(), 0
+    for r in found:
+        w, s = [t for t in split[r.clip_id].w if t], split[r.clip_id].s
+        best = None
+        for i in range(len(s)):
+            for k in range(1, min(6, len(s) - i) + 1):
+                p = "".join(c if c.isalnum() else " " for c in " ".join(s[i : i + k])).split()
+                if w and p and 0.65 <= len(p) / len(w) <= 1.35:
+                    sim = plain(w, p)
+                    best = max(best or (-9,), (sim - 0.04 * abs(len(p) - len(w)) / len(w), -i, -k, sim, " ".join(s[i : i + k]), len(p) / len(w)))
+        want = (best[4], best[3], best[5], -best[2]) if best else ("", 0.0, None, 0)
+        assert (r.proposal_text, r.proposal_similarity, r.proposal_token_ratio, r.proposal_sentence_count) == want
+        some += best is not None
+    assert len(found) == 80 and some > 20
+    plan = physical(registry.sentence_alignment(spark, three_tasks()))
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
