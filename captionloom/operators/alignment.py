@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from captionloom.functions import text as tx
 from captionloom.functions.similarity import char_similarity, matched, ratio, spelt, token_similarity
-from captionloom.operators.timeline import dealt_interval_join, grouped_left_join, match_band
+from captionloom.operators.timeline import dealt_interval_lists, match_band
 from captionloom.work import Work
 
 # fixed values: acceptance, length limits and penalties
@@ -104,12 +104,10 @@ def sentence_alignment(clips: DataFrame) -> DataFrame:
 def overlap_consensus(segments: DataFrame, events: DataFrame, key: str = "video_id") -> DataFrame:
     """segments(key, segment_id, start_ms, end_ms, text), events(key, event_start, event_end, event_index, event_text) ->
     key, segment_id, overlap_text, lexical_similarity (by characters), match_band. A segment without events has empty text."""
-    spans = segments.select(key, "segment_id", "start_ms", "end_ms")
-    over = dealt_interval_join(spans, events, key, ("start_ms", "end_ms"), ("event_start", "event_end"))
-    ordered = F.array_sort(F.collect_list(F.struct("event_start", "event_index", "event_text")))
-    joined = over.groupBy(key, "segment_id").agg(F.array_join(F.transform(ordered, lambda x: x["event_text"]), " ").alias("overlap_text"))
-    rows = grouped_left_join(segments.select(key, "segment_id", "text"), joined, [key, "segment_id"])
-    rows = rows.withColumn("overlap_text", tx.clean(F.coalesce("overlap_text", F.lit(""))))
+    spans, said = segments.select(key, "segment_id", "start_ms", "end_ms", "text"), events.select(key, "event_start", "event_index", "event_text", "event_end")
+    rows = dealt_interval_lists(spans, said, key, "segment_id", ("start_ms", "end_ms"), ("event_start", "event_end"), "events")
+    rows = rows.withColumn("overlap_text", F.array_join("events.event_text", " "))
+    rows = rows.withColumn("overlap_text", tx.clean(F.col("overlap_text")))
     rows = rows.withColumn("lexical_similarity", char_similarity(tx.lexical(F.col("text")), tx.lexical(F.col("overlap_text"))))
     return rows.select(key, "segment_id", "overlap_text", "lexical_similarity", match_band(F.col("lexical_similarity")).alias("match_band"))
 

@@ -99,3 +99,9 @@ def test_sentence_runs_are_no_rows(spark):
     assert len(found) == 80 and some > 20
     plan = physical(registry.sentence_alignment(spark, three_tasks()))
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_overlapping_texts_need_one_pass(spark):
+    """Segments and their events meet in lists, without a join of segments with themselves."""
+    plan = physical(registry.segment_overlap_consensus(spark, three_tasks()))
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
