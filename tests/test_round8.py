@@ -105,3 +105,21 @@ def test_overlapping_texts_need_one_pass(spark):
     """Segments and their events meet in lists, without a join of segments with themselves."""
     plan = physical(registry.segment_overlap_consensus(spark, three_tasks()))
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_facts_need_no_word_rows(spark, tmp_path, monkeypatch):
+    """The facts of clips from Arrow columns are those from rows of words, in any size of batch, with words that are odd or look so."""
+    from captionloom.operators import segmentation as sg
+
+    rng = random.Random(4)
+    words = ["a", "Bee.", "c,", "(d", "e)", "&amp;", "&lt;b&gt;", "f\u200b", "\u200b", "g.\u2028", "(\u2028", "h!\x85", "\xa0", "“", "”", "…", "i…”", "Đẹp", "j;»", "8.", "x\x0by", "…k", "‘l", "\U0001f600"]
+    docs = [(k, " ".join(rng.choices(words, k=rng.randint(1, 200)))) for k in range(60)] + [(60, None), (61, " \t"), (62, "one"), (63, " ".join(["word"] * 3000)), (-7, "minus seven is. a source "), (None, "no id at all. " * 9)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = lambda df: {(r.video_id, r.clip_no): r for r in df.collect()}
+    want = rows(sg.clip_facts(ad.scored(spark, str(tmp_path))))
+    assert len(want) > 300 and rows(sg.clip_facts_of(ad.texts(spark, str(tmp_path)), ad.word_times)) == want
+    monkeypatch.setattr(sg, "WORDS_AT_A_TIME", 50)
+    found = sg.clip_facts_of(ad.texts(spark, str(tmp_path)), ad.word_times)
+    assert found.dtypes == sg.clip_facts(ad.scored(spark, str(tmp_path))).dtypes and rows(found) == want
+    assert "Window" not in physical(found) and "Generate" not in physical(found)
+    assert sg.clip_facts_of(ad.texts(spark, str(tmp_path)).where("false"), ad.word_times).count() == 0
