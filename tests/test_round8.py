@@ -123,3 +123,13 @@ def test_facts_need_no_word_rows(spark, tmp_path, monkeypatch):
     assert found.dtypes == sg.clip_facts(ad.scored(spark, str(tmp_path))).dtypes and rows(found) == want
     assert "Window" not in physical(found) and "Generate" not in physical(found)
     assert sg.clip_facts_of(ad.texts(spark, str(tmp_path)).where("false"), ad.word_times).count() == 0
+
+
+def test_multisets_are_counted_in_their_row(spark, monkeypatch):
+    """One exchange of documents serves the bound too: tokens are no rows, and pairs are not written."""
+    monkeypatch.setattr(ad.Work, "save", lambda *_: 1 / 0)
+    found = registry.quick_ratio_buckets(spark, three_tasks())
+    assert physical(found).count("Exchange hashpartitioning") == physical(registry.bucket_pairs(spark, three_tasks())).count("Exchange hashpartitioning")
+    rows = [(1, ["a", None, "a", "b"], ["a", "b", "b"]), (2, None, None), (3, ["x", None], None), (4, [None], [])]
+    df = spark.createDataFrame(rows, "k int, a array<string>, b array<string>")
+    assert {r.k: r.s for r in si.multiset_similarity(df, ["k"], F.col("a"), F.col("b"), "s").collect()} == {1: 2 / 3, 2: 1.0, 3: 0.0, 4: 1.0}
