@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from captionloom.functions import text as tx
-from captionloom.functions.similarity import char_similarity, matched, ratio, spelt, token_similarity
+from captionloom.functions.similarity import char_similarity, matched, spelt, token_similarity
 from captionloom.operators.timeline import dealt_interval_lists, match_band
 from captionloom.work import Work
 
@@ -23,7 +23,12 @@ SUBSEQUENCE_PENALTY, MAX_EVENTS = 0.03, 12
 #: Past every place of a token.
 AWAY = 1 << 30
 #: Tokens of runs that are counted at a time.
-COUNTED = 1_000_000
+COUNTED = 20_000
+
+
+def parted(text: str) -> list[str]:
+    """Tokens that were joined with spaces; other white space may be part of one."""
+    return text.split(" ") if text else []
 
 
 def first_best(bounds: list[tuple], score: Callable[[tuple], float]) -> tuple[float, tuple] | None:
@@ -72,7 +77,7 @@ def best_sentences(w: list[str], said: list[list[str]]) -> tuple[float, int, int
 
 @F.pandas_udf(T.StructType().add("sim", "double").add("i", "integer").add("k", "integer").add("size", "integer"))
 def sentence_runs(w: pd.Series, said: pd.Series) -> pd.DataFrame:
-    rows = [best_sentences(list(x), [s.split() for s in y]) for x, y in zip(w, said, strict=True)]
+    rows = [best_sentences(list(x), [parted(s) for s in y]) for x, y in zip(w, said, strict=True)]
     return pd.DataFrame([r or (None, None, None, None) for r in rows], columns=["sim", "i", "k", "size"]).astype({"sim": "float64", "i": "Int32", "k": "Int32", "size": "Int32"})
 
 
@@ -185,32 +190,31 @@ def best_run(w: list[str], c: list[str]) -> tuple[float, str]:
     low, high = max(1, m - max(4, m // 4)), min(n, m + max(6, int(m * 0.35)))
     if not m or low > high:
         return 0.0, ""
-    cap, places, after = defaultdict(int), defaultdict(list), np.full(n + high, AWAY)
-    for t in w:
-        cap[t] += 1
-    for j, t in enumerate(c):
+    own, said = spelt(w, c)
+    cap, places, counts = Counter(own), defaultdict(list), [AWAY] * (n + high)
+    for j, t in enumerate(said):
         if t in cap:
-            own = places[t]
-            after[j] = own[-cap[t]] if len(own) >= cap[t] else -1
-            own.append(j)
-    sizes = np.arange(low, high + 1)
+            held = places[t]
+            counts[j] = held[-cap[t]] if len(held) >= cap[t] else -1
+            held.append(j)
+    after, sizes = np.array(counts), np.arange(low, high + 1)[:, None]
     penalty = SUBSEQUENCE_PENALTY * np.abs(sizes - m) / m
     best, similarity = (-np.inf, 0, 0), 0.0
     step = max(1, COUNTED // high)
     for first in range(0, n - low + 1, step):
         at = np.arange(first, min(first + step, n - low + 1))
-        held = np.cumsum(np.lib.stride_tricks.sliding_window_view(after, high)[at] < at[:, None], axis=1)
-        bound = np.where(at[:, None] + sizes <= n, 2.0 * held[:, sizes - 1] / (m + sizes) - penalty, -np.inf)
-        rows, columns = np.nonzero((bound >= best[0]) & (bound > -np.inf))
-        order = np.lexsort((at[rows], sizes[columns], -bound[rows, columns]))
-        for i, k in zip(rows[order].tolist(), columns[order].tolist(), strict=True):
-            if bound[i, k] < best[0]:
+        common = np.cumsum(after[at + np.arange(high)[:, None]] < at, axis=0)[low - 1 :]
+        bound = 2.0 * common / (m + sizes) - penalty
+        bound[at + sizes > n] = -np.inf
+        while True:
+            # the greatest bound, of equals that of the shortest run and then the first: what comes after one that cannot win cannot either
+            k, i = divmod(int(bound.argmax()), len(at))
+            place = (-low - k, -first - i)
+            if (bound[k, i], *place) <= best or bound[k, i] == -np.inf:
                 break
-            place = (-int(sizes[k]), -int(at[i]))
-            if (bound[i, k], *place) > best:
-                found = ratio(w, c[-place[1] : -place[1] - place[0]])
-                if (found - penalty[k], *place) > best:
-                    best, similarity = (found - penalty[k], *place), found
+            bound[k, i] = -np.inf
+            found = 2.0 * matched(own, said[-place[1] : -place[1] - place[0]]) / (m - place[0])
+            best, similarity = max((best, similarity), ((float(found - penalty[k, 0]), *place), found))
     return similarity, " ".join(c[-best[2] : -best[2] - best[1]])
 
 
@@ -263,7 +267,7 @@ def best_events(w: list[str], said: list[list[str] | None]) -> tuple[float, int,
 
 @F.pandas_udf(T.StructType().add("similarity", "double").add("first", "integer").add("events", "integer"))
 def event_runs(form: pd.Series, said: pd.Series) -> pd.DataFrame:
-    rows = [best_events(x.split(), [e if e is None else e.split() for e in y]) for x, y in zip(form, said, strict=True)]
+    rows = [best_events(parted(x), [e if e is None else parted(e) for e in y]) for x, y in zip(form, said, strict=True)]
     return pd.DataFrame(rows, columns=["similarity", "first", "events"])
 
 

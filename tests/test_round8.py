@@ -133,3 +133,18 @@ def test_multisets_are_counted_in_their_row(spark, monkeypatch):
     rows = [(1, ["a", None, "a", "b"], ["a", "b", "b"]), (2, None, None), (3, ["x", None], None), (4, [None], [])]
     df = spark.createDataFrame(rows, "k int, a array<string>, b array<string>")
     assert {r.k: r.s for r in si.multiset_similarity(df, ["k"], F.col("a"), F.col("b"), "s").collect()} == {1: 2 / 3, 2: 1.0, 3: 0.0, 4: 1.0}
+
+
+def test_windows_are_joined_without_pair_rows(spark, monkeypatch):
+    """Texts near a clip come from its list of events, and a clip's tokens are encoded once for all of its runs."""
+    spelt = []
+    monkeypatch.setattr(al, "spelt", lambda *x, f=al.spelt: (spelt.append(1), f(*x))[1])
+    rng = random.Random(8)
+    for k in range(300):
+        w, c = (rng.choices("abcdefgh"[: 1 + k % 8], k=rng.randint(1, n)) for n in (9, 40))
+        runs = [(plain(w, c[i : i + n]) - 0.03 * abs(n - len(w)) / len(w), -n, -i, plain(w, c[i : i + n])) for n in range(max(1, len(w) - 4), len(w) + 7) for i in range(len(c) - n + 1)]
+        best = max(runs, default=None)
+        assert al.best_run(w, c) == ((best[3], " ".join(c[-best[2] : -best[2] - best[1]])) if best else (0.0, "")), (w, c)
+    assert len(spelt) <= 300
+    near = physical(ad.caption_windows(registry._clips(spark, three_tasks()), ad.captions(spark, three_tasks())))
+    assert near.count("Generate explode") <= 3 and "_rs" in near
