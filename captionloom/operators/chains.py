@@ -14,33 +14,28 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captionloom.operators.segmentation import UNIT, Kernel, span_kernel
+from captionloom.operators.captions import pack_numbers
+from captionloom.operators.segmentation import UNIT, Kernel, by_source, span_kernel
 from captionloom.params import CLIPS, Budget, ClipRules
 from captionloom.work import Work, numbered
 
 BLOCK, HALO = 4096, 256
+
+
 def pack_kernel(budget: Budget) -> Kernel:
-    """The last item of a pack from each item: the costs held are differences of running sums."""
+    """The last item of a pack from each item: the costs held are differences of running sums, which never fall, so each limit is
+    first met at a place that a search finds."""
 
     def kernel(c: dict[str, np.ndarray], source: np.ndarray, closed: bool):
         cost = c["size"].astype(np.int64) + budget.item_cost
         n = len(cost)
-        at = np.arange(n)
-        before = np.concatenate([[0], np.cumsum(cost)])
-        last, alive, k, open_ = at.copy(), np.ones(n, bool), 1, np.zeros(n, bool)
-        while alive.any():
-            i = np.flatnonzero(alive)
-            inside = i + k < n
-            open_[i[~inside]] = True
-            alive[i[~inside]] = False
-            i = i[inside]
-            held = before[i + k] - before[i]
-            full = (held >= budget.hard_max) | ((held >= budget.target) & (held + cost[i + k] > budget.soft_max))
-            go = ~full & (source[i + k] == source[i])
-            alive[i[~go]] = False
-            last[i[go]] = i[go] + k
-            k += 1
-        return last, np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n, bool) if closed else open_
+        at, before = np.arange(n), np.concatenate([[0], np.cumsum(cost)])
+        met = lambda limit: np.searchsorted(before, before[:-1] + limit)
+        over = np.searchsorted(before[1:], before[:-1] + budget.soft_max, "right")
+        full = np.maximum(at + 1, np.minimum(met(budget.hard_max), np.maximum(met(budget.target), over)))
+        ends = np.append(np.flatnonzero(source[1:] != source[:-1]) + 1, n)
+        stop = np.minimum(full, ends[np.searchsorted(ends, at, "right")]) if n else at
+        return stop - 1, np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n, bool) if closed else stop >= n
 
     return kernel
 
@@ -155,3 +150,26 @@ def pack_linked(items: DataFrame, budget: Budget, order: list[str], size: str, w
     packs = visited(links, key, work, block)
     held = packs.select(F.explode(F.sequence("at", "last")).alias("at"), F.col("rank").cast("int").alias("pack_no"))
     return rows.join(held, "at").drop("at")
+
+
+def pack_short(items: DataFrame, budget: Budget, order: list[str], size: str, key: str = "video_id") -> DataFrame:
+    """pack_by_budget() of many short sources: the items with pack_no, from Arrow columns of whole sources. Items stay in one pass."""
+    kinds = dict(items.dtypes)
+
+    def walk(table: pa.Table, source: np.ndarray) -> pa.Table:
+        numbers = [pack_numbers(sizes.tolist(), budget) for sizes in np.split(table[size].to_numpy(), np.flatnonzero(source[1:] != source[:-1]) + 1)]
+        return table.append_column("pack_no", pa.array([n for x in numbers for n in x], pa.int32()))
+
+    return by_source(items, key, order, walk, ", ".join([*(f"{c} {kinds[c]}" for c in items.columns), "pack_no int"]))
+
+
+def pack_by_length(items: DataFrame, budget: Budget, order: list[str], size: str, work: Work, key: str = "video_id", block: int = BLOCK) -> DataFrame:
+    """pack_linked(), which deals only sources of more items than a block has; a shorter one is a block of its own, which no chain
+    leaves. items are read more than once and should be a written table."""
+    long = items.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block).select(F.col(key).alias("_key"))
+    long = work.save(long, "long")
+    if long.isEmpty():
+        return pack_short(items, budget, order, size, key)
+    own = F.col(key).eqNullSafe(F.col("_key"))
+    short = pack_short(items.join(long, own, "left_anti"), budget, order, size, key)
+    return short.unionByName(pack_linked(items.join(long, own, "left_semi"), budget, order, size, work, key, block, halo=block))

@@ -148,3 +148,37 @@ def test_windows_are_joined_without_pair_rows(spark, monkeypatch):
     assert len(spelt) <= 300
     near = physical(ad.caption_windows(registry._clips(spark, three_tasks()), ad.captions(spark, three_tasks())))
     assert near.count("Generate explode") <= 3 and "_rs" in near
+
+
+def test_packs_deal_long_sources_alone(spark, monkeypatch):
+    """Sources that fit in a block are walked where they are; the links of the others come from a search for each limit."""
+    import numpy as np
+
+    from captionloom.operators import captions as cp
+    from captionloom.operators import chains as ch
+    from captionloom.params import Budget
+    from captionloom.work import Work
+
+    rng = random.Random(9)
+    for k in range(400):
+        budget = Budget(*sorted(rng.choices(range(1, 120), k=3)), rng.choice([0, 3]))
+        sizes = [[rng.choice([0, 1, 7, 30, 200]) for _ in range(rng.randint(1, 40))] for _ in range(3)]
+        last, *_, open_ = ch.pack_kernel(budget)({"size": np.concatenate(sizes)}, np.repeat(np.arange(3), list(map(len, sizes))), k % 2 == 0)
+        base = 0
+        for own in sizes:
+            for i in range(len(own)):
+                numbers = cp.pack_numbers(own[i:], budget)
+                n = numbers.count(1)
+                assert last[base + i] == base + i + n - 1 and open_[base + i] == (k % 2 == 1 and own is sizes[-1] and i + n == len(own))
+            base += len(own)
+    items = [(s, i, f"{s}{i}", rng.choice([0, 1, 7, 30, 200])) for s, n in (("a", 300), ("b", 2), ("c", 40), (None, 3), ("e", 41)) for i in range(n)]
+    df, budget, saved = spark.createDataFrame(items, "video_id string, n int, id string, size int").repartition(5), Budget(60, 90, 120, 1), []
+    monkeypatch.setattr(Work, "save", lambda self, df, name, save=Work.save: (saved.append((name, save(self, df, name))), saved[-1][1])[1])
+    for block in (40, 1000):
+        got = {r.id: r.pack_no for r in ch.pack_by_length(df, budget, ["n"], "size", Work(spark, "t"), block=block).collect()}
+        for source in {s for s, *_ in items}:
+            own = [x for x in items if x[0] == source]
+            assert [got[x[2]] for x in own] == cp.pack_numbers([x[3] for x in own], budget) and len(got) == len(items)
+        tables = dict(saved)
+        assert ("items_at" in tables) == (block == 40) and (block == 1000 or {r.video_id for r in tables["items_at"].collect()} == {"a", "e"})
+        saved.clear()
