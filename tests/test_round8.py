@@ -182,3 +182,13 @@ def test_packs_deal_long_sources_alone(spark, monkeypatch):
         tables = dict(saved)
         assert ("items_at" in tables) == (block == 40) and (block == 1000 or {r.video_id for r in tables["items_at"].collect()} == {"a", "e"})
         saved.clear()
+
+
+def test_ids_of_packs_do_not_collide(spark):
+    """Ids have four digits at least, as the source's {n:04d}: those past 9,999 are not cut. (DuckDB's lpad() of the SQL cuts them.)"""
+    from captionloom.operators import captions as cp
+    from captionloom.work import Work
+
+    packed = spark.range(10_003).selectExpr("'v' AS video_id", "int(id) AS pack_no", "id AS n", "string(id) AS piece_id", "1 AS size")
+    ids = {r.pack_no: r.pack_id for r in cp.pack_index(packed, "piece_id", ["n"], "size", Work(spark, "t")).collect()}
+    assert len(set(ids.values())) == 10_003 and (ids[0], ids[9_998], ids[9_999], ids[10_002]) == ("review_pack_0001", "review_pack_9999", "review_pack_10000", "review_pack_10003")
