@@ -192,3 +192,21 @@ def test_ids_of_packs_do_not_collide(spark):
     packed = spark.range(10_003).selectExpr("'v' AS video_id", "int(id) AS pack_no", "id AS n", "string(id) AS piece_id", "1 AS size")
     ids = {r.pack_no: r.pack_id for r in cp.pack_index(packed, "piece_id", ["n"], "size", Work(spark, "t")).collect()}
     assert len(set(ids.values())) == 10_003 and (ids[0], ids[9_998], ids[9_999], ids[10_002]) == ("review_pack_0001", "review_pack_9999", "review_pack_10000", "review_pack_10003")
+
+
+def test_texts_are_made_and_shuffled_once(spark, tmp_path):
+    """Whether a document has words is asked of its first other character; a clip's text meets what is known of the clip in one join."""
+    from captionloom.operators import segmentation as sg
+
+    docs = [(0, "a  b"), (1, " \t\n\r\f"), (2, ""), (3, None), (4, "\xa0"), (5, "\x0b"), (6, "\n x")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.video_id: r.t for r in ad.texts(spark, str(tmp_path)).collect()} == {"d0": "a b", "d4": "\xa0", "d5": "\x0b", "d6": "x"}
+    assert physical(ad.texts(spark, str(tmp_path))).count("regexp_replace") == 1
+    facts = sg.clip_facts_of(ad.texts(spark, SF), ad.word_times)
+    clips = sg.candidates(facts, ad.segments(spark, SF), ad.consensus(spark, SF))
+    join = clips._jdf.queryExecution().optimizedPlan().children().apply(0)
+    while join.nodeName() != "Join":
+        join = join.children().apply(0)
+    rows, about = (join.children().apply(k) for k in range(2))
+    assert "Window" not in rows.toString() and "Join" not in rows.toString() and "Window" in about.toString()
+    assert "text" not in {about.output().apply(k).name() for k in range(about.output().size())}
