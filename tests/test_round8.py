@@ -210,3 +210,12 @@ def test_texts_are_made_and_shuffled_once(spark, tmp_path):
     rows, about = (join.children().apply(k) for k in range(2))
     assert "Window" not in rows.toString() and "Join" not in rows.toString() and "Window" in about.toString()
     assert "text" not in {about.output().apply(k).name() for k in range(about.output().size())}
+
+
+def test_sums_of_durations_need_no_sum_by_word(spark):
+    rows = [(["a", "bc", "é…"],), (["x" * 40],), ([],)]
+    df = spark.createDataFrame(rows, "ws array<string>")
+    own = F.aggregate(F.transform("ws", ad.duration), F.lit(0).cast("long"), lambda t, x: t + x)
+    assert all(a == b for a, b in df.select(own, ad.durations(F.col("ws"))).collect())
+    plan = physical(ad.captions(spark, SF))
+    assert plan.count("aggregate(") == 1
